@@ -82,6 +82,15 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def item_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items of all orders as a table of their own."""
+    heads = table(spark, sf_dir, "orders").select(
+        "o_orderkey", ids.order_id(F.col("o_orderdate"), F.col("o_orderkey")).alias("order_id")
+    )
+    lines = order_lines(spark, sf_dir)
+    return lines.join(heads, lines.l_orderkey == heads.o_orderkey).select("order_id", *ITEM.names)
+
+
 def _items(lines: DataFrame) -> DataFrame:
     """Items and total per order, in line order.
 
