@@ -61,7 +61,7 @@ places AS (
   SELECT cid, {crc32("cid")} AS crc
   FROM (SELECT printf('CUST-%05d', c_custkey) AS cid FROM customer)),
 drawn AS (
-  SELECT head.*, coalesce(n_items, 0) AS n_items, coalesce(total_amount, 0) AS total_amount,
+  SELECT head.*, coalesce(n_items, 0) AS n_items, CAST(coalesce(total_amount, 0) AS DECIMAL(10,2)) AS total_amount,
          ('0x' || substr(md5('fault:' || o_orderkey), 1, 8))::BIGINT % {FAULT_DRAWS} AS d
   FROM head LEFT JOIN totals ON l_orderkey = o_orderkey),
 labelled AS (SELECT *, {_LABEL} AS fault FROM drawn),

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tallybrook.functions.times import iso_seconds
-from tallybrook.schemas import OTHER_DAY
+from tallybrook.schemas import OTHER_MONTH
 
 # Identifier and text formats.
 ORDER_ID = "ORD-%s-%05d"
@@ -34,9 +34,9 @@ def email(name: Column, n: Column) -> Column:
     return F.concat(local, F.lit("."), n.cast("string"), F.lit(f"@{EMAIL_DOMAIN}"))
 
 
-def order_day(order: Column) -> Column:
-    """The eight-digit day inside an order id, or the catch-all day."""
-    return F.when(order.rlike(ORDER_ID_PATTERN), F.substring(order, 5, 8)).otherwise(OTHER_DAY)
+def order_month(order: Column) -> Column:
+    """The year and month inside an order id, or the catch-all month."""
+    return F.when(order.rlike(ORDER_ID_PATTERN), F.substring(order, 5, 6)).otherwise(OTHER_MONTH)
 
 
 def order_id_parts(order: Column) -> list[Column]:

@@ -28,7 +28,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.functions.ids import order_day
+from tallybrook.functions.ids import order_month
 from tallybrook.operators.decode import TEXT_FIELDS, decode, field, kind, settle, typed_fields
 from tallybrook.schemas import ENVELOPE, MAX_LENGTH, ORDERS, REQUIRED_FIELDS
 
@@ -103,8 +103,8 @@ def classify(envelopes: DataFrame, check_quantity: bool = False) -> DataFrame:
         .withColumn("missing_fields", missing_fields())
         .withColumn("reason", reason(check_quantity))
     )
-    day = order_day(F.col("order_id")).alias("order_day")
-    return settle(judged.select(*ENVELOPE.names, *MESSAGE_COLUMNS, day, "missing_fields", "reason"))
+    month = order_month(F.col("order_id")).alias("order_month")
+    return settle(judged.select(*ENVELOPE.names, *MESSAGE_COLUMNS, month, "missing_fields", "reason"))
 
 
 def parse_lenient(envelopes: DataFrame) -> DataFrame:

@@ -15,12 +15,13 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallybrook.functions.ids import order_day
+from tallybrook.functions.ids import order_month
 from tallybrook.operators.classify import classify, outcome_of
 from tallybrook.operators.dedup import first_copies, not_stored
 from tallybrook.schemas import ORDERS
 from tallybrook.sinks.tables import (
     COUNTERS,
+    LOOKUP_OPTIONS,
     QUARANTINE,
     Target,
     apply_updates,
@@ -31,22 +32,28 @@ from tallybrook.sinks.tables import (
     write_orders,
 )
 
-# More days than this in one batch, and the stored ids are read whole.
-MAX_DAYS = 5000
+# More months than this in one batch, and the stored ids are read whole.
+MAX_MONTHS = 1000
 # Batch number of rows gathered from finished batches; no stream uses it.
 COMPACTED = -1
 
 
-def known_days(rows: DataFrame) -> list[str] | None:
-    """Days inside the order ids, or None if there are too many to list."""
-    days = rows.select(order_day(F.col("order_id")).alias("d")).distinct().limit(MAX_DAYS + 1)
-    found = [r.d for r in days.collect()]
-    return found if len(found) <= MAX_DAYS else None
+def near(stored: DataFrame, rows: DataFrame) -> DataFrame:
+    """Stored rows that can have an order id of ``rows``.
 
-
-def of_days(stored: DataFrame, days: list[str] | None) -> DataFrame:
-    """Stored rows of the given day folders; the others are not read."""
-    return stored if days is None else stored.where(F.col("order_day").isin(days))
+    Leaves out the month folders that the ids do not name, and row groups
+    beyond the least and the greatest id. The driver learns one row per month.
+    """
+    ends = [F.min("order_id").alias("lo"), F.max("order_id").alias("hi")]
+    months = rows.groupBy(order_month(F.col("order_id")).alias("m")).agg(*ends)
+    found = months.limit(MAX_MONTHS + 1).collect()
+    if len(found) > MAX_MONTHS:
+        return stored
+    if not found:
+        return stored.where(F.lit(False))
+    low, high = min(r.lo for r in found), max(r.hi for r in found)
+    inside = F.col("order_id").between(low, high)
+    return stored.where(F.col("order_month").isin([r.m for r in found]) & inside)
 
 
 def counters(rejected: DataFrame, fit: DataFrame, stored: DataFrame) -> DataFrame:
@@ -79,13 +86,13 @@ def load_batch(
     staged = stage(judged, name, "fit")
     fit, rejected = staged.where("fit"), staged.where("not fit")
 
-    # copies from earlier batches are looked for in their own days only, and
-    # the day is part of the id, so a late copy is found however late it is
+    # copies from earlier batches are looked for in the months of their ids, so
+    # a late copy is found however late it is
     stored = read_orders(spark, target).where(F.col("batch_id") != batch_id)
-    known = of_days(stored, known_days(fit)).select("order_id")
+    known = near(stored, fit).select("order_id")
     stamp = F.current_timestamp().cast("timestamp_ntz") if processed_at is None else processed_at
     fresh = not_stored(first_copies(fit), known).withColumn("processed_at", stamp)
-    write_orders(fresh.select(*ORDERS.names, "order_day", number), target)
+    write_orders(fresh.select(*ORDERS.names, "order_month", number), target)
 
     outcome = outcome_of(F.col("reason")).alias("outcome")
     bad = rejected.select(*[outcome if c == "outcome" else number if c == "batch_id" else c for c in QUARANTINE.names])
@@ -97,25 +104,27 @@ def load_batch(
 
 
 def update_stored(spark: SparkSession, target: Target, updates: DataFrame) -> None:
-    """Apply status updates to the stored table, rewriting only the day folders
-    that hold an updated order."""
-    touched = of_days(read_orders(spark, target), known_days(updates))
+    """Apply status updates to the stored table.
+
+    Only the folders (month and batch) that hold an updated order are rewritten.
+    """
+    folder = ["order_month", "batch_id"]
+    stored = near(read_orders(spark, target), updates)
+    touched = stored.join(updates.select("order_id"), "order_id", "left_semi").select(*folder)
+    rows = stored.join(touched.distinct(), folder, "left_semi")
     name = hashlib.md5(f"{target.root}-updates".encode()).hexdigest()
     # staged, since a folder cannot be read while it is replaced
-    rewritten = stage(apply_updates(touched, updates), name, "order_day", "batch_id")
-    write_orders(rewritten, target)
+    write_orders(stage(apply_updates(rows, updates), name, *folder), target)
 
 
-def compact_day(spark: SparkSession, target: Target, day: str) -> None:
-    """Gather the files that many batches left in one day folder.
+def compact_month(spark: SparkSession, target: Target, month: str) -> None:
+    """Gather the files that many batches left in one month folder.
 
-    For days no batch writes any more: the folder is replaced as a whole.
+    For months no batch writes any more: the folder is replaced as a whole.
     """
-    rows = read_orders(spark, target).where(F.col("order_day") == day)
+    rows = read_orders(spark, target).where(F.col("order_month") == month)
     name = hashlib.md5(f"{target.root}-compact".encode()).hexdigest()
     gathered = stage(rows.withColumn("batch_id", F.lit(COMPACTED).cast("bigint")), name)
-    tidy = gathered.drop("order_day").hint("rebalance")
-    sorted_rows = tidy.sortWithinPartitions("batch_id", "customer_id", "created_at")
-    sorted_rows.write.mode("overwrite").partitionBy("batch_id").parquet(
-        f"{target.orders}/order_day={day}"
-    )
+    tidy = gathered.drop("order_month").hint("rebalance").sortWithinPartitions("batch_id", "order_id")
+    writer = tidy.write.mode("overwrite").options(**LOOKUP_OPTIONS).partitionBy("batch_id")
+    writer.parquet(f"{target.orders}/order_month={month}")

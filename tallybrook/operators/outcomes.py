@@ -26,7 +26,7 @@ def outcomes(envelopes: DataFrame, hot_copies: int = HOT_COPIES) -> DataFrame:
 def accepted_orders(envelopes: DataFrame) -> DataFrame:
     """Orders a log leads to, each once, with the place of the copy that won."""
     fit = classify(envelopes).where("reason is null")
-    return first_copies(fit).select(*MESSAGE_COLUMNS, "order_day", "partition", "offset")
+    return first_copies(fit).select(*MESSAGE_COLUMNS, "order_month", "partition", "offset")
 
 
 def reason_counts(envelopes: DataFrame) -> DataFrame:

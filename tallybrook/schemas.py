@@ -42,19 +42,19 @@ ORDERS = T.StructType(
     ]
 )
 
-# Partition columns of the stored table: the day inside the order id, so that
+# Partition columns of the stored table: the month inside the order id, so that
 # an id always lands in the same place however late a copy of it arrives, and
 # the batch that wrote the row, so that a replayed batch replaces its own files.
 ORDERS_STORED = T.StructType(
     [
         *ORDERS.fields,
-        T.StructField("order_day", T.StringType()),
+        T.StructField("order_month", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
 
-# Day of ids that do not have the usual form.
-OTHER_DAY = "other"
+# Month of ids that do not have the usual form.
+OTHER_MONTH = "other"
 
 # Column limits of the stored table.
 MAX_LENGTH = {

@@ -1,6 +1,6 @@
 """The stored tables: orders, quarantine and batch counters.
 
-All are Parquet folders partitioned by the batch that wrote them (orders by day
+All are Parquet folders partitioned by the batch that wrote them (orders by month
 as well) and written with dynamic partition overwrite, so writing a batch again
 replaces exactly what it wrote before.
 """
@@ -60,7 +60,7 @@ class Target:
 def create_tables(spark: SparkSession, target: Target) -> None:
     """Create what is not there yet; existing tables stay as they are."""
     for path, schema, parts in (
-        (target.orders, ORDERS_STORED, ["order_day", "batch_id"]),
+        (target.orders, ORDERS_STORED, ["order_month", "batch_id"]),
         (target.quarantine, QUARANTINE, ["batch_id"]),
         (target.counters, COUNTERS, ["batch_id"]),
     ):
@@ -81,20 +81,29 @@ def read_counters(spark: SparkSession, target: Target) -> DataFrame:
     return spark.read.schema(COUNTERS).parquet(target.counters)
 
 
-def overwrite_partitions(df: DataFrame, path: str, *parts: str) -> None:
+def overwrite_partitions(df: DataFrame, path: str, *parts: str, **options: str) -> None:
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*parts).parquet(path)
+    writer.options(**options).partitionBy(*parts).parquet(path)
+
+
+# Orders are sorted by id, which starts with the day: a range of ids or of days
+# skips row groups by their bounds. Customers are all over the files, so row
+# groups are skipped by a Bloom filter.
+LOOKUP_OPTIONS = {
+    "parquet.bloom.filter.enabled#customer_id": "true",
+    "parquet.bloom.filter.expected.ndv#customer_id": "1000000",
+}
 
 
 def write_orders(orders: DataFrame, target: Target) -> None:
-    """Write rows that carry their ``order_day`` and ``batch_id``.
+    """Write rows that carry their ``order_month`` and ``batch_id``.
 
-    Rebalancing gathers each day into few files and still splits a large day
-    over many tasks. Within a file rows are sorted for lookups by customer.
+    Rebalancing gathers each month into few files and still splits a large
+    month over many tasks.
     """
-    gathered = orders.select(*ORDERS_STORED.names).hint("rebalance", F.col("order_day"))
-    sorted_rows = gathered.sortWithinPartitions("order_day", "batch_id", "customer_id", "created_at")
-    overwrite_partitions(sorted_rows, target.orders, "order_day", "batch_id")
+    gathered = orders.select(*ORDERS_STORED.names).hint("rebalance", F.col("order_month"))
+    sorted_rows = gathered.sortWithinPartitions("order_month", "batch_id", "order_id")
+    overwrite_partitions(sorted_rows, target.orders, "order_month", "batch_id", **LOOKUP_OPTIONS)
 
 
 def stage(df: DataFrame, name: str, *parts: str) -> DataFrame:
@@ -123,9 +132,9 @@ def roll_back(new: DataFrame, dropped: list[str]) -> DataFrame:
     return new.drop(*dropped)
 
 
-def drop_expired_days(orders: DataFrame, first_day: str) -> DataFrame:
-    """Orders of the days kept; whole day folders are skipped, not read."""
-    return orders.where(F.col("order_day") >= F.lit(first_day))
+def unexpired(orders: DataFrame, first_month: str) -> DataFrame:
+    """Orders of the months kept; the folders of older ones are not read."""
+    return orders.where(F.col("order_month") >= F.lit(first_month))
 
 
 def with_retry(
