@@ -144,22 +144,30 @@ def customer_sql(n: str) -> dict[str, str]:
     }
 
 
+def digits(name: str, count: int) -> str:
+    parts = [f"md5('42:{name}:' || o_orderkey || ':{i}')" for i in range(-(-count // 8))]
+    return " || ".join(parts)
+
+
 _MENU = ", ".join(
-    f"('ITEM-{i:03d}', '{name}', CAST({price} AS DECIMAL(10,2)))"
-    for i, (name, _, price, _) in enumerate(MENU, 1)
+    f"({i}, 'ITEM-{i + 1:03d}', '{name}', CAST({price} AS DECIMAL(10,2)))"
+    for i, (name, _, price, _) in enumerate(MENU)
 )
 _BUYER = customer_sql("c")
 GENERATED = f"""
-menu(item_id, name, price) AS (VALUES {_MENU}),
+menu(n, item_id, name, price) AS (VALUES {_MENU}),
+digits AS (
+  SELECT o_orderkey, {digits("pick", len(MENU))} AS marks, {digits("quantity", 5)} AS amounts,
+         {draw(5, "'42'", "'count'", "o_orderkey")} + 1 AS k
+  FROM orders),
 picks AS (
-  SELECT o_orderkey, item_id, name, price,
-         {draw(5, "'42'", "'count'", "o_orderkey")} + 1 AS k,
-         row_number() OVER (PARTITION BY o_orderkey
-                            ORDER BY md5('42:pick:' || o_orderkey || ':' || item_id)) AS r,
-         {draw(3, "'42'", "'quantity'", "o_orderkey", "item_id")} + 1 AS quantity
-  FROM orders CROSS JOIN menu),
+  SELECT o_orderkey, item_id, name, price, k, amounts,
+         row_number() OVER (PARTITION BY o_orderkey ORDER BY substr(marks, n * 4 + 1, 4), n) AS r
+  FROM digits CROSS JOIN menu),
 chosen AS (
-  SELECT *, CAST(price * quantity AS DECIMAL(10,2)) AS subtotal FROM picks WHERE r <= k),
+  SELECT *, ('0x' || substr(amounts, (r - 1) * 4 + 1, 4))::BIGINT % 3 + 1 AS quantity,
+         CAST(price * quantity AS DECIMAL(10,2)) AS subtotal
+  FROM picks WHERE r <= k),
 sums AS (
   SELECT o_orderkey, count(*) AS item_count, CAST(sum(subtotal) AS DECIMAL(10,2)) AS total_amount
   FROM chosen GROUP BY 1),

@@ -13,11 +13,8 @@ from pyspark.sql import functions as F
 
 POSITION = ["timestamp", "partition", "offset"]
 
-# An id with this many copies is spread over SALTS tasks. There are at most
-# rows / HOT_COPIES such ids, 100,000 in 10^11 messages, which is what bounds
-# the broadcast in mark_copies.
-HOT_COPIES = 1_000_000
-SALTS = 256
+# Copies of one id are compared in this many groups before the groups are.
+SALTS = 64
 
 
 def first_copies(df: DataFrame, key: str = "order_id") -> DataFrame:
@@ -30,46 +27,26 @@ def first_copies(df: DataFrame, key: str = "order_id") -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(by_key)).where("_rank = 1").drop("_rank")
 
 
-def hot_keys(df: DataFrame, key: str, hot_copies: int = HOT_COPIES) -> DataFrame:
-    """Keys with very many copies and the position of their first copy."""
-    return (
-        df.groupBy(key)
-        .agg(F.count("*").alias("_copies"), F.min(F.struct(*POSITION)).alias("_first"))
-        .where(F.col("_copies") >= hot_copies)
-        .select(key, "_first")
-    )
-
-
 def mark_copies(
-    df: DataFrame,
-    key: str = "order_id",
-    candidate: Column | None = None,
-    hot_copies: int = HOT_COPIES,
+    df: DataFrame, key: str = "order_id", candidate: Column | None = None, salts: int = SALTS
 ) -> DataFrame:
     """Add ``is_copy``: true for every candidate row but the first of its key.
 
-    Unlike ``first_copies`` this keeps every row. Copies of a hot key are told
-    by comparing with the known first position and rows that are no candidates
-    need no comparison, so both are spread by a hash of their position.
+    Unlike ``first_copies`` this keeps every row. The copies of a key are spread
+    over ``salts`` groups by a hash of their position; the first of each group
+    then meet, at most ``salts`` rows per key. Rows that need no comparison
+    carry their own hash as group and spread evenly.
     """
-    candidate = F.lit(True) if candidate is None else candidate
-    position = F.struct(*POSITION)
-    hot = hot_keys(df.where(candidate), key, hot_copies)
-    spread = F.pmod(F.xxhash64(*POSITION), F.lit(SALTS))
-    tagged = (
-        df.withColumn("_candidate", F.coalesce(candidate, F.lit(False)))
-        .withColumn("_key", F.when(F.col("_candidate"), F.col(key)))
-        .join(F.broadcast(hot.withColumnRenamed(key, "_key")), "_key", "left")
-        .withColumn("_whole", F.col("_candidate") & F.col("_first").isNull())
-        .withColumn("_group", F.when(F.col("_whole"), F.col("_key")))
-        .withColumn("_salt", F.when(~F.col("_whole"), spread))
-    )
-    by_group = Window.partitionBy("_group", "_salt").orderBy(*POSITION)
-    later = F.when(F.col("_whole"), F.row_number().over(by_group) > 1).otherwise(
-        F.col("_candidate") & (position > F.col("_first"))
-    )
-    marked = tagged.withColumn("is_copy", later)
-    return marked.drop("_candidate", "_key", "_first", "_whole", "_group", "_salt")
+    candidate = F.lit(True) if candidate is None else F.coalesce(candidate, F.lit(False))
+    place = F.xxhash64(*POSITION)
+    rows = df.withColumn("_compared", candidate).withColumn("_place", place)
+    for groups in (F.pmod("_place", F.lit(salts)), F.lit(0)):
+        group = F.when(F.col("_compared"), F.col(key))
+        slot = F.when(F.col("_compared"), groups).otherwise(F.col("_place"))
+        ranked = Window.partitionBy(group, slot).orderBy(*POSITION)
+        leads = F.col("_compared") & (F.row_number().over(ranked) == 1)
+        rows = rows.withColumn("_compared", leads)
+    return rows.withColumn("is_copy", candidate & ~F.col("_compared")).drop("_compared", "_place")
 
 
 def not_stored(df: DataFrame, stored_ids: DataFrame, key: str = "order_id") -> DataFrame:

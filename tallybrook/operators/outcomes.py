@@ -6,15 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybrook.operators.classify import MESSAGE_COLUMNS, classify, outcome_of
-from tallybrook.operators.dedup import HOT_COPIES, first_copies, mark_copies
+from tallybrook.operators.dedup import first_copies, mark_copies
 from tallybrook.schemas import ENVELOPE
 
 
-def outcomes(envelopes: DataFrame, hot_copies: int = HOT_COPIES) -> DataFrame:
+def outcomes(envelopes: DataFrame) -> DataFrame:
     """One row per message with its outcome and reason, for an empty target."""
     judged = classify(envelopes)
-    fit = F.col("reason").isNull()
-    marked = mark_copies(judged, "order_id", fit, hot_copies)
+    marked = mark_copies(judged, "order_id", F.col("reason").isNull())
     final = F.when(F.col("is_copy"), "duplicate").otherwise(F.col("reason"))
     return (
         marked.withColumn("reason", final)

@@ -15,13 +15,15 @@ def parse(lines: DataFrame, text: str = "value") -> DataFrame:
 
     ``extra`` keeps the free fields as VARIANT.
     """
-    docs = parse_objects(lines.select(F.col(text).alias("text"))).where("is_object")
+    docs = parse_objects(lines.select(F.col(text).alias("text")))
     record = docs.select(
+        "is_object",
         *[field(name, "string").alias(name) for name in LOG_TEXTS],
         field("extra").alias("extra"),
         field("extra.processing_time_ms", "double").alias("processing_time_ms"),
     )
-    return settle(record.withColumn("logged_at", F.col("timestamp").try_cast("timestamp").cast("timestamp_ntz")))
+    logged_at = F.col("timestamp").try_cast("timestamp").cast("timestamp_ntz")
+    return settle(record.withColumn("logged_at", logged_at)).where("is_object").drop("is_object")
 
 
 def with_level(records: DataFrame, *levels: str) -> DataFrame:

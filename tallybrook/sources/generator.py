@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.functions import ids
-from tallybrook.functions.draws import draw
+from tallybrook.functions.draws import draw, four_digits, hex_digits
 from tallybrook.functions.times import iso_seconds
 from tallybrook.schemas import ITEM, MONEY
 
@@ -94,41 +94,47 @@ def menu(spark: SparkSession, count: int = MENU_ITEMS) -> DataFrame:
     return spark.createDataFrame(menu_rows(count), shape)
 
 
-def _menu_array(count: int) -> Column:
-    entries = [
+def with_items(
+    orders: DataFrame, seed: int, menu_size: int, min_items: int, max_items: int
+) -> DataFrame:
+    """Add ``items``: distinct items of the menu, one to three of each.
+
+    Every item of the menu gets four digits of a random text and the lowest are
+    chosen, so all choices are equally likely.
+    """
+    most = min(max_items, menu_size)
+    least = min(min_items, most)
+    number = F.col("id")
+    count = draw(most - least + 1, seed, "count", number).cast("int") + least
+    marked = [
         F.struct(
+            four_digits(F.col("_marks"), i).alias("mark"),
+            F.lit(i).alias("n"),
             F.lit(item_id).alias("item_id"),
             F.lit(name).alias("name"),
             F.lit(price).cast(MONEY).alias("price"),
         )
-        for item_id, name, _, price, _ in menu_rows(count)
+        for i, (item_id, name, _, price, _) in enumerate(menu_rows(menu_size))
     ]
-    return F.array(*entries)
-
 
-def chosen_items(order: Column, seed: int, menu_size: int, min_items: int, max_items: int) -> Column:
-    """Distinct items, ranked by a digest of order and item."""
-    most = min(max_items, menu_size)
-    least = min(min_items, most)
-    count = draw(most - least + 1, seed, "count", order).cast("int") + least
-
-    def ranked(x: Column) -> Column:
-        mark = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("pick"), order.cast("string"), x["item_id"]))
-        return F.struct(mark.alias("mark"), x.alias("x"))
-
-    def item(r: Column) -> Column:
-        quantity = (draw(3, seed, "quantity", order, r["x"]["item_id"]) + 1).cast("int")
-        price = r["x"]["price"]
+    def item(chosen: Column, place: Column) -> Column:
+        digits = four_digits(F.col("_quantities"), place)
+        quantity = (F.conv(digits, 16, 10).cast("int") % 3 + 1).cast("int")
         return F.struct(
-            r["x"]["item_id"].alias("item_id"),
-            r["x"]["name"].alias("name"),
+            chosen["item_id"].alias("item_id"),
+            chosen["name"].alias("name"),
             quantity.alias("quantity"),
-            price.alias("price"),
-            (price * quantity).cast(MONEY).alias("subtotal"),
+            chosen["price"].alias("price"),
+            (chosen["price"] * quantity).cast(MONEY).alias("subtotal"),
         )
 
-    ranking = F.array_sort(F.transform(_menu_array(menu_size), ranked))
-    return F.transform(F.slice(ranking, 1, count), item).cast(ITEMS_TYPE)
+    return (
+        orders.withColumn("_marks", hex_digits(menu_size, seed, "pick", number))
+        .withColumn("_quantities", hex_digits(most, seed, "quantity", number))
+        .withColumn("_chosen", F.slice(F.sort_array(F.array(*marked)), 1, count))
+        .withColumn("items", F.transform("_chosen", item).cast(ITEMS_TYPE))
+        .drop("_marks", "_quantities", "_chosen")
+    )
 
 
 def orders(
@@ -146,8 +152,8 @@ def orders(
         "items", F.lit(0).cast("decimal(20,2)"), lambda a, i: (a + i["subtotal"]).cast("decimal(20,2)")
     )
     return (
-        numbers.withColumn("_customer", draw(customer_count, seed, "customer", number) + 1)
-        .withColumn("items", chosen_items(number, seed, menu_size, min_items, max_items))
+        with_items(numbers, seed, menu_size, min_items, max_items)
+        .withColumn("_customer", draw(customer_count, seed, "customer", number) + 1)
         .select(
             ids.order_id(F.col("created_at"), number).alias("order_id"),
             customer["customer_id"].alias("customer_id"),
