@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 # A bare cast takes more than a message may say: "14:30:00" would mean today.
 _OFFSET = r"(Z|[+-]\d{2}(:?\d{2})?)?"
-EXTENDED = rf"^\d{{4}}-\d{{2}}-\d{{2}}([T ]\d{{2}}:\d{{2}}(:\d{{2}}(\.\d+)?)?{_OFFSET})?$"
-COMMA = rf"^\d{{4}}-\d{{2}}-\d{{2}}[T ]\d{{2}}:\d{{2}}:\d{{2}},\d+{_OFFSET}$"
-HOUR_ONLY = rf"^\d{{4}}-\d{{2}}-\d{{2}}[T ]\d{{2}}{_OFFSET}$"
+_DAY = r"\d{4}-\d{2}-\d{2}"
+EXTENDED = rf"^{_DAY}([T ]\d{{2}}:\d{{2}}:\d{{2}}(\.\d+)?{_OFFSET})?$"
+COMMA = rf"^{_DAY}[T ]\d{{2}}:\d{{2}}:\d{{2}},\d+{_OFFSET}$"
+TO_MINUTE = rf"^{_DAY}[T ]\d{{2}}:\d{{2}}{_OFFSET}$"
+TO_HOUR = rf"^{_DAY}[T ]\d{{2}}{_OFFSET}$"
 BASIC = rf"^\d{{8}}T\d{{6}}{_OFFSET}$"
 
 
@@ -21,7 +23,8 @@ def utc_wall_clock(text: Column) -> Column:
     shaped = (
         F.when(text.rlike(EXTENDED), text)
         .when(text.rlike(COMMA), F.replace(text, F.lit(","), F.lit(".")))
-        .when(text.rlike(HOUR_ONLY), F.regexp_replace(text, r"^(.{13})", "$1:00"))
+        .when(text.rlike(TO_MINUTE), F.regexp_replace(text, r"^(.{16})", "$1:00"))
+        .when(text.rlike(TO_HOUR), F.regexp_replace(text, r"^(.{13})", "$1:00:00"))
         .when(
             text.rlike(BASIC),
             F.regexp_replace(

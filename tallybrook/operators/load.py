@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.functions.ids import order_month
@@ -73,7 +73,7 @@ def load_batch(
     envelopes: DataFrame,
     target: Target,
     batch_id: int,
-    processed_at: Column | None = None,
+    processed_at: str | None = None,
     check_quantity: bool = False,
 ) -> None:
     """Store a batch; counters are written last and so mark it complete."""
@@ -90,8 +90,8 @@ def load_batch(
     # a late copy is found however late it is
     stored = read_orders(spark, target).where(F.col("batch_id") != batch_id)
     known = near(stored, fit).select("order_id")
-    stamp = F.current_timestamp().cast("timestamp_ntz") if processed_at is None else processed_at
-    fresh = not_stored(first_copies(fit), known).withColumn("processed_at", stamp)
+    now = F.current_timestamp() if processed_at is None else F.lit(processed_at)
+    fresh = not_stored(first_copies(fit), known).withColumn("processed_at", now.cast("timestamp_ntz"))
     write_orders(fresh.select(*ORDERS.names, "order_month", number), target)
 
     outcome = outcome_of(F.col("reason")).alias("outcome")

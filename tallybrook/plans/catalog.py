@@ -150,7 +150,7 @@ def topic_messages(spark, sf_dir):
 
 def _loaded(spark, sf_dir) -> tables.Target:
     target = tables.Target(run_folder(spark))
-    load.load_batch(order_messages(spark, sf_dir), target, 0, F.lit(ASOF).cast("timestamp_ntz"))
+    load.load_batch(order_messages(spark, sf_dir), target, 0, ASOF)
     return target
 
 
@@ -174,7 +174,7 @@ def pipeline_counters(spark, sf_dir):
 def pipeline_replay(spark, sf_dir):
     """The whole log loaded twice; the second run finds only copies."""
     target = _loaded(spark, sf_dir)
-    load.load_batch(order_messages(spark, sf_dir), target, 1, F.lit(ASOF).cast("timestamp_ntz"))
+    load.load_batch(order_messages(spark, sf_dir), target, 1, ASOF)
     counted = tables.read_counters(spark, target)
     return counted.select("batch_id", "outcome", "reason", "messages")
 
@@ -191,7 +191,7 @@ def pipeline_stream(spark, sf_dir):
     folder = run_folder(spark)
     source = log.file_stream(spark, _log_files(spark, sf_dir, folder), max_files=2)
     target = tables.Target(f"{folder}/tables")
-    stream.run_load(source, target, f"{folder}/checkpoint", processed_at=F.lit(ASOF).cast("timestamp_ntz"))
+    stream.run_load(source, target, f"{folder}/checkpoint", processed_at=ASOF)
     return tables.read_orders(spark, target).select(*STORED)
 
 

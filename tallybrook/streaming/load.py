@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
@@ -16,7 +16,7 @@ def start_load(
     target: Target,
     checkpoint: str,
     every: str | None = None,
-    processed_at: Column | None = None,
+    processed_at: str | None = None,
     max_retries: int = 3,
     backoff_ms: int = 1000,
 ):
