@@ -8,25 +8,32 @@ from pyspark.sql import functions as F
 from tallybrook.functions.times import iso_seconds
 from tallybrook.schemas import OTHER_MONTH
 
-# Identifier and text formats.
-ORDER_ID = "ORD-%s-%05d"
-CUSTOMER_ID = "CUST-%05d"
-ITEM_ID = "ITEM-%03d"
+# Identifier formats (ORD-yyyymmdd-00001, CUST-00001, ITEM-001).
+ORDER_PREFIX, ORDER_DIGITS = "ORD-", 5
+CUSTOMER_PREFIX, CUSTOMER_DIGITS = "CUST-", 5
+ITEM_PREFIX, ITEM_DIGITS = "ITEM-", 3
 ORDER_ID_PATTERN = r"^ORD-(\d{8})-(\d{5,})$"
 CUSTOMER_ID_PATTERN = r"^CUST-\d{5,}$"
 EMAIL_DOMAIN = "example.com"
 
 
+def padded(n: Column, digits: int) -> Column:
+    """Zeros in front up to ``digits``; longer numbers stay whole."""
+    text = n.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(digits)), F.lit("0"))
+
+
 def order_id(created_at: Column, sequence: Column) -> Column:
-    return F.format_string(ORDER_ID, F.date_format(created_at, "yyyyMMdd"), sequence)
+    day = F.date_format(created_at, "yyyyMMdd")
+    return F.concat(F.lit(ORDER_PREFIX), day, F.lit("-"), padded(sequence, ORDER_DIGITS))
 
 
 def customer_id(n: Column) -> Column:
-    return F.format_string(CUSTOMER_ID, n)
+    return F.concat(F.lit(CUSTOMER_PREFIX), padded(n, CUSTOMER_DIGITS))
 
 
 def item_id(n: Column) -> Column:
-    return F.format_string(ITEM_ID, n)
+    return F.concat(F.lit(ITEM_PREFIX), padded(n, ITEM_DIGITS))
 
 
 def email(name: Column, n: Column) -> Column:

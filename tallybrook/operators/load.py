@@ -69,6 +69,14 @@ def counters(rejected: DataFrame, fit: DataFrame, stored: DataFrame) -> DataFram
     )
 
 
+def for_stage(judged: DataFrame) -> DataFrame:
+    """Only what later steps read: raw bytes of the rejected, items of the fit."""
+    fit = F.col("reason").isNull()
+    needed = {c: F.when(~fit, F.col(c)) for c in ("key", "value")}
+    needed["items"] = F.when(fit, F.col("items"))
+    return judged.select(*[needed.get(c, F.col(c)).alias(c) for c in judged.columns])
+
+
 def load_batch(
     envelopes: DataFrame,
     target: Target,
@@ -82,9 +90,8 @@ def load_batch(
     number = F.lit(batch_id).cast("bigint").alias("batch_id")
     name = hashlib.md5(target.root.encode()).hexdigest()
 
-    judged = classify(envelopes, check_quantity).withColumn("fit", F.col("reason").isNull())
-    staged = stage(judged, name, "fit")
-    fit, rejected = staged.where("fit"), staged.where("not fit")
+    staged = stage(for_stage(classify(envelopes, check_quantity)), name)
+    fit, rejected = staged.where("reason is null"), staged.where("reason is not null")
 
     # copies from earlier batches are looked for in the months of their ids, so
     # a late copy is found however late it is
@@ -110,7 +117,7 @@ def update_stored(spark: SparkSession, target: Target, updates: DataFrame) -> No
     """
     folder = ["order_month", "batch_id"]
     stored = near(read_orders(spark, target), updates)
-    touched = stored.join(updates.select("order_id"), "order_id", "left_semi").select(*folder)
+    touched = stored.join(updates.select("order_id").distinct(), "order_id", "left_semi").select(*folder)
     rows = stored.join(touched.distinct(), folder, "left_semi")
     name = hashlib.md5(f"{target.root}-updates".encode()).hexdigest()
     # staged, since a folder cannot be read while it is replaced

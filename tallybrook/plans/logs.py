@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.operators.decode import field, parse_objects, settle
@@ -26,6 +26,11 @@ def parse(lines: DataFrame, text: str = "value") -> DataFrame:
     return settle(record.withColumn("logged_at", logged_at)).where("is_object").drop("is_object")
 
 
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """Log records from folders of JSON-lines files."""
+    return parse(spark.read.text(path))
+
+
 def with_level(records: DataFrame, *levels: str) -> DataFrame:
     return records.where(F.col("level").isin(*levels))
 

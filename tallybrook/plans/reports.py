@@ -142,7 +142,8 @@ def containing_by_lines(orders: DataFrame, lines: DataFrame, wanted: dict) -> Da
     match = lines
     for name, value in wanted.items():
         match = match.where(F.col(name) == F.lit(value))
-    return orders.join(match.select("order_id"), "order_id", "left_semi").select(*LISTED)
+    ids = match.select("order_id").distinct()
+    return orders.join(ids, "order_id", "left_semi").select(*LISTED)
 
 
 # --- latency --------------------------------------------------------------
@@ -257,7 +258,7 @@ def success_rate(counts: DataFrame) -> DataFrame:
 
 
 def sequence_breaks(
-    log: DataFrame, time: str = "created_at", value: str = "offset", bucket: str = "day"
+    log: DataFrame, time: str = "created_at", value: str = "offset", bucket: str = "hour"
 ) -> DataFrame:
     """Orders stored after a later one: per customer and partition, offsets that
     fall while the creation time rises.

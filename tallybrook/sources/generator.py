@@ -65,7 +65,7 @@ def customer_columns(n: Column, seed: int = SEED) -> dict[str, Column]:
         "customer_id": ids.customer_id(n),
         "name": name,
         "email": ids.email(name, n),
-        "phone": F.format_string("+1-555-%03d-%04d", exchange, line),
+        "phone": F.concat(F.lit("+1-555-"), ids.padded(exchange, 3), F.lit("-"), ids.padded(line, 4)),
     }
 
 
@@ -85,7 +85,8 @@ def menu_rows(count: int = MENU_ITEMS) -> list[tuple]:
         name, description, price, category = MENU[i % len(MENU)]
         version = i // len(MENU)
         shown = name if version == 0 else f"{name} {version + 1}"
-        rows.append((ids.ITEM_ID % (i + 1), shown, description, Decimal(price), category))
+        item_id = f"{ids.ITEM_PREFIX}{i + 1:0{ids.ITEM_DIGITS}d}"
+        rows.append((item_id, shown, description, Decimal(price), category))
     return rows
 
 

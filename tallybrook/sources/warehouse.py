@@ -97,10 +97,10 @@ def _items(lines: DataFrame) -> DataFrame:
     The list is as long as the message that carries it; (line, part, quantity)
     settles the order, and lines equal in all three are the same item.
     """
-    row = F.struct("l_linenumber", "l_partkey", "quantity", *[f for f in ITEM.names if f != "quantity"])
-    bare = lambda x: F.struct(*[x[f].alias(f) for f in ITEM.names])
+    place = F.struct("l_linenumber", "l_partkey", "quantity").alias("place")
+    row = F.struct(place, F.struct(*ITEM.names).alias("item"))
     return lines.groupBy("l_orderkey").agg(
-        F.transform(F.array_sort(F.collect_list(row)), bare).alias("items"),
+        F.sort_array(F.collect_list(row))["item"].alias("items"),
         F.sum("subtotal").cast(MONEY).alias("total_amount"),
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -49,6 +51,14 @@ def run_load(source: DataFrame, target: Target, checkpoint: str, timeout: float
     return query
 
 
+def stop_after_batch(query, patience: float = 60.0) -> None:
+    """Let the running batch finish, then stop; a batch cut short is run again."""
+    deadline = time.monotonic() + patience
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < deadline:
+        time.sleep(0.05)
+    query.stop()
+
+
 def first_copies_within(source: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Orders of a stream without copies that follow within ``delay``.
 

@@ -163,6 +163,15 @@ def test_a_lasting_error_fails_the_stream_and_loses_nothing(spark, folder, targe
     assert ids(spark, target) == ["ORD-20250110-00001"]
 
 
+def test_stopping_between_batches(spark, folder, target):
+    path = f"{folder}/log"
+    write_log(spark, path, [order(1), order(2)])
+    query = stream.start_load(log.file_stream(spark, path), target, f"{folder}/c", every="0 seconds")
+    query.processAllAvailable()
+    stream.stop_after_batch(query)
+    assert not query.isActive and len(ids(spark, target)) == 2
+
+
 def test_retry_waits_twice_as_long_each_time():
     waits, calls = [], []
 

@@ -113,7 +113,7 @@ def test_compaction_drops_deleted_keys(spark):
     assert [(bytes(r.key), bytes(r.value)) for r in kept] == [(b"a", b"2")]
 
 
-def test_log_lines(spark):
+def test_log_lines(spark, tmp_path):
     lines = [
         '{"timestamp":"2025-01-10T14:30:00.123Z","level":"INFO","service":"consumer","logger":"x","message":"done",'
         '"correlation_id":"ORD-1","extra":{"processing_time_ms":12.5,"customer_id":"C"}}',
@@ -125,6 +125,8 @@ def test_log_lines(spark):
     assert len(rows) == 2
     assert rows[0].processing_time_ms == 12.5 and rows[0].logged_at == datetime(2025, 1, 10, 14, 30, 0, 123000)
     assert (rows[1].correlation_id, rows[1].exception) == (None, "ValueError")
+    (tmp_path / "a.log").write_text("\n".join(lines))
+    assert logs.read(spark, str(tmp_path)).collect() == records.collect()
     assert logs.with_level(records, "ERROR").count() == 1
     assert records.select(F.try_variant_get("extra", "$.customer_id", "string")).first()[0] == "C"
 
