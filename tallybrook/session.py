@@ -37,6 +37,8 @@ def local_session(app: str, cores: int | str = 8, memory: str = "8g") -> SparkSe
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
+        # call sites in error messages cost several calls per expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
