@@ -70,7 +70,7 @@ sent AS (
                         WHEN 'sent_three_times' THEN [0, 1, 2] ELSE [0] END) AS copy
   FROM labelled),
 log AS (
-  SELECT sent.*, 'food-orders' AS topic, crc, CAST(crc % 3 AS INTEGER) AS "partition",
+  SELECT sent.*, 'order-messages' AS topic, crc, CAST(crc % 3 AS INTEGER) AS "partition",
          o_orderkey * 4 + copy AS "offset", created_at + to_seconds(copy) AS "timestamp"
   FROM sent JOIN places ON cid = customer_id),
 judged AS (
@@ -117,7 +117,7 @@ EVENT_LOGS = """
 logs AS (
   SELECT event_id AS n, date_trunc('milliseconds', ts) AS logged_at,
          CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'signup' THEN 'WARNING' ELSE 'INFO' END AS level,
-         CASE WHEN event_type IN ('click', 'view') THEN 'order-producer' ELSE 'order-consumer' END AS service,
+         CASE WHEN event_type IN ('click', 'view') THEN 'sender' ELSE 'loader' END AS service,
          'saw ' || event_type AS message,
          CASE WHEN event_type <> 'view' THEN printf('CUST-%05d', user_id) END AS correlation_id,
          value AS processing_time_ms

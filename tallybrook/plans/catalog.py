@@ -552,7 +552,7 @@ def _log_lines(spark, sf_dir) -> DataFrame:
     """Events as the JSON lines a service would log."""
     kind = F.col("event_type")
     level = F.when(kind == "error", "ERROR").when(kind == "signup", "WARNING").otherwise("INFO")
-    service = F.when(kind.isin("click", "view"), "order-producer").otherwise("order-consumer")
+    service = F.when(kind.isin("click", "view"), "sender").otherwise("loader")
     record = F.struct(
         times.epoch_to_iso_millis(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6)).alias("timestamp"),
         level.alias("level"),

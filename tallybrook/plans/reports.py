@@ -7,7 +7,7 @@ costs no more than any other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions.containment import contains_items
@@ -55,18 +55,16 @@ def unique_customers_estimate(orders: DataFrame, error: float = 0.02) -> DataFra
 
 
 def uniqueness(orders: DataFrame, items: DataFrame) -> DataFrame:
-    """Rows against distinct ids, for orders, their customers and items."""
-    order_counts = orders.agg(
-        F.count("*").alias("order_rows"),
-        F.count_distinct("order_id").alias("order_ids"),
-    )
-    item_counts = items.agg(
-        F.count("*").alias("item_rows"), F.count_distinct("item_id").alias("item_ids")
-    )
-    shape = "subject string, row_count bigint, distinct_ids bigint"
-    one = order_counts.select(F.lit("orders"), "order_rows", "order_ids").toDF("a", "b", "c")
-    two = item_counts.select(F.lit("items"), "item_rows", "item_ids").toDF("a", "b", "c")
-    return one.union(two).toDF(*[part.split()[0] for part in shape.split(", ")])
+    """Rows against distinct ids, for orders and for items."""
+
+    def counts(df: DataFrame, subject: str, column: str) -> DataFrame:
+        return df.agg(
+            F.lit(subject).alias("subject"),
+            F.count("*").alias("row_count"),
+            F.count_distinct(column).alias("distinct_ids"),
+        )
+
+    return counts(orders, "orders", "order_id").union(counts(items, "items", "item_id"))
 
 
 def item_counts(orders: DataFrame) -> DataFrame:

@@ -11,23 +11,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from tallybrook.schemas import ORDERS
-
-# The table as it is declared.
-CREATE_TABLE = """
-CREATE TABLE IF NOT EXISTS orders (
-    order_id VARCHAR(50) PRIMARY KEY,
-    customer_id VARCHAR(50) NOT NULL,
-    customer_name VARCHAR(100) NOT NULL,
-    customer_email VARCHAR(100) NOT NULL,
-    items JSONB NOT NULL,
-    total_amount DECIMAL(10,2) NOT NULL CHECK (total_amount > 0),
-    status VARCHAR(20) NOT NULL,
-    created_at TIMESTAMP NOT NULL,
-    processed_at TIMESTAMP DEFAULT CURRENT_TIMESTAMP
-)
-"""
+from pyspark.sql import types as T
+
+from tallybrook.schemas import MAX_LENGTH, ORDERS
+
+RULES = {
+    "order_id": " PRIMARY KEY",
+    "total_amount": " NOT NULL CHECK (total_amount > 0)",
+    "processed_at": " DEFAULT CURRENT_TIMESTAMP",
+}
+
+def create_statement(table: str = "orders") -> str:
+    """The table with its constraints, made from the schema and the length limits."""
+    columns = []
+    for name, kind in ((f.name, f.dataType) for f in ORDERS.fields):
+        if name in MAX_LENGTH:
+            sql = f"VARCHAR({MAX_LENGTH[name]})"
+        elif isinstance(kind, T.DecimalType):
+            sql = f"DECIMAL({kind.precision},{kind.scale})"
+        else:
+            sql = "JSONB" if isinstance(kind, T.ArrayType) else "TIMESTAMP"
+        columns.append(f"{name} {sql}{RULES.get(name, ' NOT NULL')}")
+    return f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)})"
 
 
 def write_options(url: str, table: str, batch_size: int = 5000) -> dict[str, str]:

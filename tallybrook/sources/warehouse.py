@@ -13,7 +13,7 @@ from tallybrook.functions import ids
 from tallybrook.functions.draws import draw
 from tallybrook.schemas import ENVELOPE, ITEM, MONEY, ORDERS
 
-TOPIC = "food-orders"
+TOPIC = "order-messages"
 PARTITIONS = 3
 
 # Damage done to messages: an order draws one of FAULT_DRAWS numbers, and the

@@ -50,7 +50,7 @@ def as_bytes(message):
 
 def envelopes(spark, messages, first_offset=0, partition=0):
     rows = [
-        (b"key", as_bytes(m), "food-orders", partition, first_offset + i, START + timedelta(seconds=first_offset + i))
+        (b"key", as_bytes(m), "order-messages", partition, first_offset + i, START + timedelta(seconds=first_offset + i))
         for i, m in enumerate(messages)
     ]
     return spark.createDataFrame(rows, ENVELOPE)
