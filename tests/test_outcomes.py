@@ -7,7 +7,7 @@ from decimal import ROUND_HALF_UP, Decimal, InvalidOperation
 
 import pytest
 from conftest import as_bytes, order
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -88,7 +88,7 @@ def test_reason_of_each_case(spark, log_of):
     rows = classify(log_of([m for m, _ in CASES])).select("offset", "reason").collect()
     found = {r["offset"]: r["reason"] for r in rows}
     wrong = [(CASES[i][0], CASES[i][1], found[i]) for i in range(len(CASES)) if found[i] != CASES[i][1]]
-    assert wrong == []
+    assert wrong == [], repr(wrong)[:900]
 
 
 def test_missing_fields_are_listed_in_order(log_of):
@@ -200,6 +200,8 @@ def test_one_id_holding_most_of_the_log(spark, log_of):
 
 # --- random damage against plain rules ------------------------------------
 
+# a batch costs a Spark job, so failures are shown as found
+NO_SHRINK = [Phase.explicit, Phase.reuse, Phase.generate]
 REQUIRED = list(order())
 LIMITS = {"order_id": 50, "customer_id": 50, "customer_name": 100, "customer_email": 100, "status": 20}
 
@@ -250,7 +252,16 @@ scalars = st.one_of(
     st.text(st.characters(codec="utf-8", exclude_categories=("Cs", "Cc")), max_size=110),
 )
 values = st.one_of(scalars, st.lists(scalars, max_size=2), st.dictionaries(st.text("ab", min_size=1), scalars, max_size=2))
-damage = st.lists(st.tuples(st.sampled_from(REQUIRED), st.one_of(values, st.just(...))), max_size=2)
+# a fraction in a text field is stored as Spark writes it, which the plain rules do not model; see the
+# test of such texts below
+whole_values = values.filter(lambda v: not isinstance(v, float))
+damage = st.lists(
+    st.one_of(
+        st.tuples(st.sampled_from(sorted(LIMITS)), st.one_of(whole_values, st.just(...))),
+        st.tuples(st.sampled_from(sorted(set(REQUIRED) - set(LIMITS))), st.one_of(values, st.just(...))),
+    ),
+    max_size=2,
+)
 shapes = st.sampled_from(["plain"] * 6 + ["cut", "tail", "array", "bytes", "null", "spaces"])
 
 
@@ -272,13 +283,19 @@ def raw_messages(draw):
     return data[:5] + b"\xfe" + data[5:] if shape == "bytes" else data
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck), phases=NO_SHRINK)
 @given(batch=st.lists(raw_messages(), min_size=60, max_size=120))
 def test_random_damage(spark, log_of, batch):
     rows = classify(log_of(batch)).select("offset", "reason").collect()
     found = {r["offset"]: r["reason"] for r in rows}
     wrong = [(m, expected(m), found[i]) for i, m in enumerate(batch) if found[i] != expected(m)]
-    assert wrong == []
+    assert wrong == [], repr(wrong)[:900]
+
+
+def test_fractions_in_text_fields(log_of):
+    """Stored as their text if that fits the column, failed if it does not."""
+    rows = classify(log_of([order(status=1.5), order(status=2.2981768165483216e-09)])).orderBy("offset").collect()
+    assert [(r.status, r.reason) for r in rows] == [("1.5", None), ("2.2981768165483216E-9", "out_of_range")]
 
 
 def test_times_agree_with_python(spark):
