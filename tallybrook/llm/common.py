@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybrook.session import shared_dir
@@ -32,6 +32,30 @@ def stage(df: DataFrame, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_bucketed(df: DataFrame, column: str) -> DataFrame:
+    """``stage`` in as many buckets as a shuffle has partitions: a later grouping by ``column`` does not move these rows again."""
+    name = f"llm_{uuid.uuid4().hex}"
+    writer = df.write.bucketBy(shuffle_width(df.sparkSession), column).option("compression", "zstd").option("path", run_folder(df.sparkSession))
+    writer.saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def lowest_hashes(known: DataFrame, group: str, hash_col: str, rows: int) -> DataFrame:
+    """For every value of ``group``, its ``rows`` smallest distinct hashes; a hash is any long that spreads evenly.
+
+    Ranked are only hashes below a bound that some four times ``rows`` of a group's are expected to keep, so ranking does
+    not grow with the table. Groups are label values: few.
+    """
+    counts = known.groupBy(group).agg(F.approx_count_distinct(hash_col)).collect()
+    near = F.lit(False)
+    for value, count in counts:
+        bound = -(1 << 63) + int(min(1.0, 4 * rows / max(count, 1)) * ((1 << 64) - 2048))
+        near = near | ((F.col(group) == value) & (F.col(hash_col) <= bound))
+    order = Window.partitionBy(group).orderBy(hash_col)
+    ranked = known.filter(near).select(group, hash_col).distinct().withColumn("_n", F.row_number().over(order))
+    return ranked.filter(F.col("_n") <= rows).select(group, hash_col)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

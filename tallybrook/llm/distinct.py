@@ -4,7 +4,7 @@ Texts are cut into pieces with positions; a block of documents keeps, for each
 piece, its place in the block's own word list. The word lists, not the occurrences, are shuffled:
 dealt by word hash, so each distinct word meets in one task, which works on
 it once and answers every block that holds it. The answers go back to the blocks, where
-documents are put together by position.
+documents are put together by position. The blocks themselves are stored in buckets by block and not shuffled.
 
 A very common word is one row entry per block, not per occurrence, so no key is hot.
 The block lists are packed by (block, bucket); a block has no more rows than
@@ -22,12 +22,14 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tallybrook.llm.common import exclusive_sum, gather, groups, shuffle_width, stage
+from tallybrook.llm.common import exclusive_sum, gather, groups, shuffle_width, stage_bucketed
 
 STAGED = "block long, bucket int, ids array<long>, counts binary, body binary"
 _STAGED = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("ids", pa.list_(pa.int64())), ("counts", pa.binary()), ("body", pa.binary())])
 _ANSWER = "block long, bucket int, counts binary, body binary"
 _ANSWER_ARROW = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("counts", pa.binary()), ("body", pa.binary())])
+#: Text of a block of documents.
+BLOCK_BYTES = 8 << 20
 _DOCS = -1  # the bucket of a row that holds a block's documents
 
 
@@ -36,6 +38,15 @@ def pack(values: np.ndarray | bytes) -> bytes:
     return zstandard.compress(raw, 3)
 
 
+def pack_planes(values: np.ndarray) -> bytes:
+    """Numbers by byte planes, which compress better."""
+    return pack(np.ascontiguousarray(values.astype("<u4", copy=False).view(np.uint8).reshape(-1, 4).T))
+
+
+def unpack_planes(body: bytes) -> np.ndarray:
+    return np.ascontiguousarray(unpack(body, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def unpack(body: bytes, dtype: type | None = None) -> np.ndarray | bytes:
     raw = zstandard.decompress(body) if body else b""
     return raw if dtype is None else np.frombuffer(raw, dtype)
@@ -44,7 +55,7 @@ def unpack(body: bytes, dtype: type | None = None) -> np.ndarray | bytes:
 def _to_blocks(pieces: Callable[[str], list[str]], buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
-        for batch, texts in groups(batches):
+        for batch, texts in groups(batches, limit=BLOCK_BYTES):
             known: dict[str, int] = {}
             counts, index = [], []
             for text in texts:
@@ -53,11 +64,11 @@ def _to_blocks(pieces: Callable[[str], list[str]], buckets: int) -> Callable[[It
                 index.append(np.array([known.setdefault(w, len(known)) for w in found], np.uint32))
             words = [w.encode() for w in known]
             home = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int32, len(words))
-            order = np.argsort(home, kind="stable")
+            order = np.array(sorted(range(len(words)), key=lambda i: (home[i], words[i])), np.int64)
             place = np.empty(len(words), np.uint32)
             place[order] = np.arange(len(words), dtype=np.uint32)
             flat = place[np.concatenate(index)] if index else place
-            rows = [(block, _DOCS, batch.column(0).to_pylist(), pack(np.array(counts, np.uint32)), pack(flat))]
+            rows = [(block, _DOCS, batch.column(0).to_pylist(), pack(np.array(counts, np.uint32)), pack_planes(flat))]
             for part in np.split(order, np.flatnonzero(np.diff(home[order])) + 1) if len(words) else []:
                 own = [words[i] for i in part]
                 rows.append((block, int(home[part[0]]), None, pack(np.array([len(w) for w in own], np.uint32)), pack(b"".join(own))))
@@ -105,7 +116,7 @@ def through_distinct(
     n = shuffle_width(spark)
     id_type = dict(docs.dtypes)[id_col]
     narrow = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    staged = stage(narrow.mapInArrow(_to_blocks(pieces, n), STAGED))
+    staged = stage_bucketed(narrow.mapInArrow(_to_blocks(pieces, n), STAGED), "block")
     lists = staged.filter(staged.bucket >= 0).select("block", "bucket", "counts", "body")
     answers = lists.repartition(n, "bucket").mapInArrow(_answers(make), _ANSWER)
     schema = pa.schema([("id", pa.int64()), ("value", result_type)])
@@ -121,7 +132,7 @@ def through_distinct(
         ids: list = []
         values: list = []
         for own, counts, body in zip(left.column("ids").to_pylist(), left.column("counts").to_pylist(), left.column("body").to_pylist()):
-            index = unpack(body, np.uint32)
+            index = unpack_planes(body)
             numbers = gather(flat, starts[index], lengths[index])
             ends = exclusive_sum(lengths[index])[exclusive_sum(unpack(counts, np.uint32))]
             ids += own

@@ -22,10 +22,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import exclusive_sum, groups, held_out, mixed
+from tallybrook.llm.common import exclusive_sum, groups, held_out, lowest_hashes, mixed
 
 UND = "und"
 SAMPLE_ROWS = 250
@@ -206,9 +206,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     known = docs.select(docs[lang_col].alias("lang"), docs[text_col].alias("text"), docs[id_col].cast("string").alias("id"))
     known = known.filter(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     known = known.select("lang", F.left("text", F.lit(chars)).alias("text"), F.xxhash64("id").alias("hash"))
-    # each label's smallest hashes: ranked without the texts, at most ``rows`` a label and task
-    ranked = known.select("lang", "hash").distinct().withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("hash")))
-    last = ranked.filter(F.col("n") <= rows).groupBy("lang").agg(F.max("hash")).collect()
+    last = lowest_hashes(known, "lang", "hash", rows).groupBy("lang").agg(F.max("hash")).collect()
     near = F.lit(False)
     for lang, hash_ in last:
         near = near | ((F.col("lang") == lang) & (F.col("hash") <= hash_))

@@ -30,10 +30,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import groups, held_out
+from tallybrook.llm.common import groups, held_out, lowest_hashes
 
 SAMPLE_ROWS = 2500
 SAMPLE_CHARS = 20_000
@@ -214,9 +214,8 @@ def fit(rows: list[tuple[str, int]]) -> Model | None:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model | None:
     """Fit on at most ``rows`` labelled documents of each label outside the held-out fold."""
     known = labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label")).filter(~held_out(F.col("id")) & F.col("label").isin(0, 1))
-    one = known.groupBy("id").agg(F.max("label").alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
-    sample = one.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= rows).select("id", "label")
+    one = known.groupBy("id").agg(F.max("label").alias("label")).withColumn("hash", F.xxhash64(F.col("id").cast("string")))
+    sample = one.join(F.broadcast(lowest_hashes(one, "label", "hash", rows)), ["label", "hash"], "left_semi").select("id", "label")
     texts = docs.select(docs[id_col].alias("id"), F.left(F.coalesce(docs[text_col], F.lit("")), F.lit(chars)).alias("text"))
     # the sample has at most 2 * rows ids
     found = texts.join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
