@@ -50,7 +50,7 @@ def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(url_filter.RULES, "verdict string, host string, path string")
+    rules = spark.sql(f"select * from values {', '.join(map(str, url_filter.RULES))} as r(verdict, host, path)")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
