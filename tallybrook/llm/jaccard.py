@@ -12,9 +12,11 @@ leaving one shingle out. Equal rows make candidates:
 - a key that at most ``FULL`` sets share gives all their pairs;
 - a fuller key gives only the pairs of its first set with the others (linear), and is noted for its sets. In a group of near copies
   these pairs already connect the group. A set that has noted and empty segments worth at most its slack has lost nothing, by the count above;
-- pairs of sets that both have more than that, and are not connected by then, are made from the noted keys and verified too.
+- sets that have lost more than that are joined once more among themselves, by their rarest shingles: of two that link, both hold one
+  of the other's ``size - least overlap + 1`` rarest, where a common passage does not count. Pairs within a component are not made.
 
-Every candidate is verified on the shingles themselves. Nothing is capped, sampled or dropped. Keys that are already full
+A candidate that shares keys of a scheme worth less than slack + 1, counting all that its set has lost, cannot link; every other one is verified on the
+shingles themselves. Nothing is capped, sampled or dropped. Keys that are already full
 within one group of texts do not meet in one task: their further sets go to the shuffle as finished pairs, spread evenly.
 
 Cases: null text and text without words have no set and link with nothing; fewer words than n are one shingle; repeated rows and equal texts
@@ -30,7 +32,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.llm.common import exclusive_sum, groups, mixed, shuffle_width, stage
@@ -194,11 +196,15 @@ _FOUND_ARROW = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int6
 _PAIR, _NOTE, _MISSING = 0, 1, 2
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Read rows sorted by key and node. Keeps at most FULL + 1 rows of a key."""
+def _candidates(ones: dict[int, int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    return lambda batches: _read_keys(batches, ones)
+
+
+def _read_keys(batches: Iterator[pa.RecordBatch], ones: dict[int, int]) -> Iterator[pa.RecordBatch]:
+    """Read rows sorted by key and node. Keeps at most FULL + 1 rows of a key; a pair comes with what the shared segments are worth."""
     held: list[tuple[int, int]] = []  # (node, meta) of the key at hand
     at, hub, noted = None, None, False
-    pairs: set[tuple[int, int]] = set()
+    pairs: dict[tuple[int, int, int], int] = {}
     notes: list[tuple[int, int, int]] = []
 
     def spill() -> None:
@@ -215,7 +221,12 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def add(x: tuple[int, int], y: tuple[int, int]) -> None:
         # one of the pair is of the scheme's own band, and one has the whole segment
         if (x[1] | y[1]) & _OWN and (x[1] | y[1]) & _WHOLE and x[0] != y[0]:
-            pairs.add((x[0], y[0]) if x[0] < y[0] else (y[0], x[0]))
+            pair(x[0], y[0], x[1])
+
+    def pair(x: int, y: int, meta: int) -> None:
+        scheme = meta >> 48
+        at = (x, y, scheme) if x < y else (y, x, scheme)
+        pairs[at] = pairs.get(at, 0) + (2 if (meta & ((1 << 48) - 1)) >> 3 < ones[scheme] else 1)
 
     def close() -> None:
         nonlocal hub, noted
@@ -229,7 +240,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, noted = None, False
 
     def out(missing: list[tuple[int, int]]) -> pa.RecordBatch:
-        rows = [(_PAIR, x, y, 0) for x, y in sorted(pairs)] + [(_NOTE, x, y, m) for x, y, m in notes] + [(_MISSING, x, 0, m) for x, m in missing]
+        rows = [(_PAIR, x, y, (k << 48) | n) for (x, y, k), n in pairs.items()] + [(_NOTE, x, y, m) for x, y, m in notes] + [(_MISSING, x, 0, m) for x, m in missing]
         pairs.clear()
         notes.clear()
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else ([],) * 4, _FOUND_ARROW)], schema=_FOUND_ARROW)
@@ -241,7 +252,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         missing = list(zip(node[told].tolist(), meta[told].tolist()))
         ready = hubs.is_valid().to_numpy(zero_copy_only=False)
         for x, k, m, h in zip(node[ready].tolist(), key[ready].tolist(), meta[ready].tolist(), hubs.drop_null().to_pylist()):
-            pairs.add((x, h) if x < h else (h, x))
+            pair(x, h, m)
             notes.append((x, k, m))
         rest = ~told & ~ready
         key, node, meta = key[rest], node[rest], meta[rest]
@@ -305,6 +316,33 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, pe
     return stage(full.mapInArrow(_verifier(n, percent), "u long, v long"))
 
 
+def _by_rare_shingles(sets: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b) of ``sets`` (rep, node, top, n_shingles) in different components that share one of their rarest shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, own in groups(batches):
+            found = shingle_sets(own, n)
+            sizes = np.array([len(s) for s in found], np.int64)
+            at = np.repeat(np.arange(len(found)), sizes)
+            flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(at)), pa.array(flat)], names=["node", "shingle"])
+
+    used = texts.join(sets.select(F.col("rep").alias("id"), "node"), "id").groupBy("id", "node").agg(F.first("text").alias("text"))
+    held = stage(used.select("node", "text").mapInArrow(run, "node long, shingle long"))
+    common = held.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    # a shingle of one set makes no pair, but takes a place among the rarest
+    order = Window.partitionBy("node").orderBy(F.coalesce("n", F.lit(1)), "shingle")
+    ranked = held.join(common, "shingle", "left").withColumn("place", F.row_number().over(order))
+    last = F.col("n_shingles") - F.ceil(F.lit(percent) * F.col("n_shingles") / 100) + 1
+    rare = ranked.filter(F.col("n") > 1).join(sets, "node").filter(F.col("place") <= last).select("shingle", "node", "top")
+    rare = stage(rare)
+    tops = rare.select("shingle", "top").distinct()
+    apart = tops.join(tops.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > 1), "shingle", "left_semi")
+    two = apart.join(apart.withColumnRenamed("top", "other"), "shingle").filter(F.col("top") < F.col("other"))
+    both = two.join(rare.withColumnRenamed("node", "a"), ["shingle", "top"]).join(rare.select("shingle", F.col("top").alias("other"), F.col("node").alias("b")), ["shingle", "other"])
+    return stage(both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
 def _classes(narrow: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     """(id, n_shingles, digest) of each row, and (digest, node, rep, n_shingles) of each class."""
 
@@ -341,27 +379,25 @@ def link(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, id_col: str =
     keyed = narrow.select("text").mapInArrow(_key_rows(n, bands, schemes), _KEYS)
     home = F.when(F.col("hub").isNull() & (F.col("key") != 0), F.col("key")).otherwise(F.col("node"))
     sorted_ = keyed.repartition(shuffle_width(spark), home).sortWithinPartitions("key", "node")
-    found = stage(sorted_.mapInArrow(_candidates, _FOUND))
-    pairs = found.filter(F.col("kind") == _PAIR).select("a", "b").distinct()
-    edges = _verified(pairs, classes, narrow, n, percent)
+    found = stage(sorted_.mapInArrow(_candidates({k: s.ones for k, s in schemes.items() if s}), _FOUND))
+    # what each set has lost in full and empty segments
+    scheme = F.shiftright("meta", 48)
+    rest = F.col("meta").bitwiseAND(F.lit((1 << 48) - 1))
+    ones = F.coalesce(*[F.when(F.col("scheme") == k, s.ones) for k, s in schemes.items() if s], F.lit(0))
+    slack = F.coalesce(*[F.when(F.col("scheme") == k, s.slack) for k, s in schemes.items() if s], F.lit(0))
+    noted = found.filter(F.col("kind") != _PAIR).select("kind", "a", scheme.alias("scheme"), rest.bitwiseAND(F.lit(-8)).alias("segment")).distinct()
+    segment = F.shiftright("segment", 3)
+    worth = F.when(F.col("kind") == _MISSING, segment).when(segment < ones, 2).otherwise(1)
+    lost = stage(noted.groupBy("a", "scheme").agg(F.sum(worth).alias("lost")))
+
+    shared = found.filter(F.col("kind") == _PAIR).groupBy("a", "b", scheme.alias("scheme")).agg(F.sum(rest).alias("shared"))
+    enough = shared.join(lost, ["a", "scheme"], "left").filter(F.col("shared") + F.coalesce("lost", F.lit(0)) > slack)
+    edges = _verified(enough.select("a", "b").distinct(), classes, narrow, n, percent)
     joined = components(edges)
 
-    # sets that lost more than their slack
-    scheme = F.shiftright("meta", 48)
-    segment = F.shiftright(F.col("meta").bitwiseAND(F.lit((1 << 48) - 1)), 3)
-    ones = F.coalesce(*[F.when(scheme == k, s.ones) for k, s in schemes.items() if s], F.lit(0))
-    slack = F.coalesce(*[F.when(scheme == k, s.slack) for k, s in schemes.items() if s], F.lit(0))
-    lost = found.filter(F.col("kind") != _PAIR).select("kind", "a", scheme.alias("scheme"), segment.alias("segment"), ones.alias("ones"), slack.alias("slack")).distinct()
-    worth = F.when(F.col("kind") == _MISSING, F.col("segment")).when(F.col("segment") < F.col("ones"), 2).otherwise(1)
-    poor = lost.groupBy("a", "scheme", "slack").agg(F.sum(worth).alias("lost")).filter(F.col("lost") > F.col("slack")).select("a", "scheme")
-    of_class = classes.join(joined.select(F.col("u").alias("rep"), F.col("v").alias("top")), "rep", "left").select(F.col("node").alias("a"), F.coalesce("top", "rep").alias("top"))
-    notes = found.filter(F.col("kind") == _NOTE).select("a", F.col("b").alias("key"), scheme.alias("scheme"))
-    open_ = notes.join(poor, ["a", "scheme"], "left_semi").join(of_class, "a").select("key", "a", "top").distinct()
-    open_ = stage(open_)
-    several = open_.groupBy("key").agg(F.min("top").alias("low"), F.max("top").alias("high")).filter(F.col("low") != F.col("high")).select("key")
-    rest = open_.join(several, "key", "left_semi")
-    more = rest.join(rest.select("key", F.col("a").alias("b"), F.col("top").alias("other")), "key").filter((F.col("a") < F.col("b")) & (F.col("top") != F.col("other"))).select("a", "b").distinct()
-    more = stage(more)
+    poor = lost.filter(F.col("lost") > slack).select(F.col("a").alias("node")).distinct()
+    of_class = classes.join(joined.select(F.col("u").alias("rep"), F.col("v").alias("top")), "rep", "left").withColumn("top", F.coalesce("top", "rep"))
+    more = _by_rare_shingles(stage(of_class.join(poor, "node", "left_semi").select("rep", "node", "top", "n_shingles")), narrow, n, percent)
     if not more.isEmpty():
         edges = edges.unionAll(_verified(more, classes, narrow, n, percent))
         joined = components(edges)
