@@ -334,12 +334,16 @@ def _by_rare_shingles(sets: DataFrame, texts: DataFrame, n: int, percent: int) -
     order = Window.partitionBy("node").orderBy(F.coalesce("n", F.lit(1)), "shingle")
     ranked = held.join(common, "shingle", "left").withColumn("place", F.row_number().over(order))
     last = F.col("n_shingles") - F.ceil(F.lit(percent) * F.col("n_shingles") / 100) + 1
-    rare = ranked.filter(F.col("n") > 1).join(sets, "node").filter(F.col("place") <= last).select("shingle", "node", "top")
+    rare = ranked.filter(F.col("n") > 1).join(sets, "node").filter(F.col("place") <= last).select("shingle", "node", "top", "place", F.col("n_shingles").alias("size"))
     rare = stage(rare)
     tops = rare.select("shingle", "top").distinct()
     apart = tops.join(tops.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > 1), "shingle", "left_semi")
     two = apart.join(apart.withColumnRenamed("top", "other"), "shingle").filter(F.col("top") < F.col("other"))
-    both = two.join(rare.withColumnRenamed("node", "a"), ["shingle", "top"]).join(rare.select("shingle", F.col("top").alias("other"), F.col("node").alias("b")), ["shingle", "other"])
+    left = rare.select("shingle", "top", F.col("node").alias("a"), F.col("place").alias("i"), F.col("size").alias("x"))
+    right = rare.select("shingle", F.col("top").alias("other"), F.col("node").alias("b"), F.col("place").alias("j"), F.col("size").alias("y"))
+    # were this the first shingle that they share, so many could still follow; it is for one of the rows of a pair that links
+    able = (100 + percent) * (F.least(F.col("x") - F.col("i"), F.col("y") - F.col("j")) + 1) >= percent * (F.col("x") + F.col("y"))
+    both = two.join(left, ["shingle", "top"]).join(right, ["shingle", "other"]).filter(able)
     return stage(both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
