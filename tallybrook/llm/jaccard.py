@@ -32,7 +32,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.llm.common import exclusive_sum, groups, mixed, shuffle_width, stage
@@ -336,14 +336,19 @@ def _by_rare_shingles(sets: DataFrame, texts: DataFrame, n: int, percent: int) -
     last = F.col("n_shingles") - F.ceil(F.lit(percent) * F.col("n_shingles") / 100) + 1
     rare = ranked.filter(F.col("n") > 1).join(sets, "node").filter(F.col("place") <= last).select("shingle", "node", "top", "place", F.col("n_shingles").alias("size"))
     rare = stage(rare)
-    tops = rare.select("shingle", "top").distinct()
-    apart = tops.join(tops.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > 1), "shingle", "left_semi")
-    two = apart.join(apart.withColumnRenamed("top", "other"), "shingle").filter(F.col("top") < F.col("other"))
-    left = rare.select("shingle", "top", F.col("node").alias("a"), F.col("place").alias("i"), F.col("size").alias("x"))
-    right = rare.select("shingle", F.col("top").alias("other"), F.col("node").alias("b"), F.col("place").alias("j"), F.col("size").alias("y"))
-    # were this the first shingle that they share, so many could still follow; it is for one of the rows of a pair that links
-    able = (100 + percent) * (F.least(F.col("x") - F.col("i"), F.col("y") - F.col("j")) + 1) >= percent * (F.col("x") + F.col("y"))
-    both = two.join(left, ["shingle", "top"]).join(right, ["shingle", "other"]).filter(able)
+    # were this the first shingle that two sets share, so many could still follow; it is for one of the rows of a pair that links.
+    # Asked first of whole components (the longest rest, the smallest set), then of a set and a component, then of two sets
+    tops = rare.groupBy("shingle", "top").agg(F.max(F.col("size") - F.col("place")).alias("s"), F.min("size").alias("z"))
+
+    def able(rest: str, other_rest: str, size: str, other_size: str) -> Column:
+        return (100 + percent) * (F.least(rest, other_rest) + 1) >= percent * (F.col(size) + F.col(other_size))
+
+    others = tops.select("shingle", F.col("top").alias("other"), F.col("s").alias("t"), F.col("z").alias("w"))
+    two = tops.join(others, "shingle").filter((F.col("top") < F.col("other")) & able("s", "t", "z", "w")).select("shingle", "top", "other", "t", "w")
+    left = rare.select("shingle", "top", F.col("node").alias("a"), (F.col("size") - F.col("place")).alias("i"), F.col("size").alias("x"))
+    right = rare.select("shingle", F.col("top").alias("other"), F.col("node").alias("b"), (F.col("size") - F.col("place")).alias("j"), F.col("size").alias("y"))
+    one = two.join(left, ["shingle", "top"]).filter(able("i", "t", "x", "w"))
+    both = one.join(right, ["shingle", "other"]).filter(able("i", "j", "x", "y"))
     return stage(both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
