@@ -17,6 +17,25 @@ from tallybrook.llm.fm_index import FmIndex
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+@pytest.fixture
+def docs_of(spark):
+    """Documents with the given texts, null ids and a column whose name clashes with results."""
+
+    def make(texts, first=0):
+        rows = [(first + i, t, "en", "s", 0, 1.5, "x") for i, t in enumerate(texts)]
+        return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, n_words string")
+
+    return make
+
+
+ODD = [None, "", " \n\t ", "a", "ab ab ab", "ab ab ab", "Zoë's  naïve ²½ \u2003x\x1c\x85y", "漢字 кириллица 1234 __ --", "w " * 3000, "x" * 5000, "\n\n", "the\nthe\nthe line\nthe line"]
+
+
+@pytest.fixture
+def odd():
+    return list(ODD)
+
+
 def lowered(text):
     return "".join(c.lower() if c.isascii() else c for c in text or "")
 
