@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 # A bare cast takes more than a message may say: "14:30:00" would mean today.
 _OFFSET = r"(Z|[+-]\d{2}(:?\d{2})?)?"
 _DAY = r"\d{4}-\d{2}-\d{2}"
-EXTENDED = rf"^{_DAY}([T ]\d{{2}}:\d{{2}}:\d{{2}}(\.\d+)?{_OFFSET})?$"
-COMMA = rf"^{_DAY}[T ]\d{{2}}:\d{{2}}:\d{{2}},\d+{_OFFSET}$"
-TO_MINUTE = rf"^{_DAY}[T ]\d{{2}}:\d{{2}}{_OFFSET}$"
-TO_HOUR = rf"^{_DAY}[T ]\d{{2}}{_OFFSET}$"
-BASIC = rf"^\d{{8}}T\d{{6}}{_OFFSET}$"
+EXTENDED = rf"^{_DAY}([T ]\d{{2}}:\d{{2}}:\d{{2}}(\.\d+)?{_OFFSET})?\z"
+COMMA = rf"^{_DAY}[T ]\d{{2}}:\d{{2}}:\d{{2}},\d+{_OFFSET}\z"
+TO_MINUTE = rf"^{_DAY}[T ]\d{{2}}:\d{{2}}{_OFFSET}\z"
+TO_HOUR = rf"^{_DAY}[T ]\d{{2}}{_OFFSET}\z"
+BASIC = rf"^\d{{8}}T\d{{6}}{_OFFSET}\z"
 
 
 def utc_wall_clock(text: Column) -> Column:

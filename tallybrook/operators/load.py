@@ -45,7 +45,7 @@ def near(stored: DataFrame, rows: DataFrame) -> DataFrame:
     beyond the least and the greatest id. The driver learns one row per month.
     """
     ends = [F.min("order_id").alias("lo"), F.max("order_id").alias("hi")]
-    months = rows.groupBy(order_month(F.col("order_id")).alias("m")).agg(*ends)
+    months = rows.where("order_id is not null").groupBy(order_month(F.col("order_id")).alias("m")).agg(*ends)
     found = months.limit(MAX_MONTHS + 1).collect()
     if len(found) > MAX_MONTHS:
         return stored
@@ -77,16 +77,34 @@ def for_stage(judged: DataFrame) -> DataFrame:
     return judged.select(*[needed.get(c, F.col(c)).alias(c) for c in judged.columns])
 
 
+def batch_number(batch_id: int, writer: str | None = None) -> int:
+    """Stored number of a writer's batch.
+
+    Every stream numbers its batches from 0. The upper bits hold a digest of the
+    writer, so that two writers never replace each other's rows; batches without
+    a writer keep their plain number.
+    """
+    if writer is None:
+        return batch_id
+    return ((1 + (int(hashlib.md5(writer.encode()).hexdigest(), 16) & 0x3FFFFFFF)) << 32) | batch_id
+
+
 def load_batch(
     envelopes: DataFrame,
     target: Target,
     batch_id: int,
     processed_at: str | None = None,
     check_quantity: bool = False,
+    writer: str | None = None,
 ) -> None:
-    """Store a batch; counters are written last and so mark it complete."""
+    """Store a batch; counters are written last and so mark it complete.
+
+    ``writer`` names the job or the checkpoint that numbers its batches. The same
+    writer and number replace what they stored before, and nothing else.
+    """
     spark: SparkSession = envelopes.sparkSession
     create_tables(spark, target)
+    batch_id = batch_number(batch_id, writer)
     number = F.lit(batch_id).cast("bigint").alias("batch_id")
     name = hashlib.md5(target.root.encode()).hexdigest()
 
@@ -116,9 +134,10 @@ def update_stored(spark: SparkSession, target: Target, updates: DataFrame) -> No
     Only the folders (month and batch) that hold an updated order are rewritten.
     """
     folder = ["order_month", "batch_id"]
-    stored = near(read_orders(spark, target), updates)
-    touched = stored.join(updates.select("order_id").distinct(), "order_id", "left_semi").select(*folder)
-    rows = stored.join(touched.distinct(), folder, "left_semi")
+    stored = read_orders(spark, target)
+    updated = near(stored, updates).join(updates.select("order_id").distinct(), "order_id", "left_semi")
+    # all rows of such a folder, also those beyond the range of the updated ids
+    rows = stored.join(updated.select(*folder).distinct(), folder, "left_semi")
     name = hashlib.md5(f"{target.root}-updates".encode()).hexdigest()
     # staged, since a folder cannot be read while it is replaced
     write_orders(stage(apply_updates(rows, updates), name, *folder), target)
@@ -133,5 +152,7 @@ def compact_month(spark: SparkSession, target: Target, month: str) -> None:
     name = hashlib.md5(f"{target.root}-compact".encode()).hexdigest()
     gathered = stage(rows.withColumn("batch_id", F.lit(COMPACTED).cast("bigint")), name)
     tidy = gathered.drop("order_month").hint("rebalance").sortWithinPartitions("batch_id", "order_id")
-    writer = tidy.write.mode("overwrite").options(**LOOKUP_OPTIONS).partitionBy("batch_id")
+    # the whole folder, also where the session replaces partitions only
+    writer = tidy.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = writer.options(**LOOKUP_OPTIONS).partitionBy("batch_id")
     writer.parquet(f"{target.orders}/order_month={month}")

@@ -8,6 +8,7 @@ replaces exactly what it wrote before.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -110,11 +111,12 @@ def stage(df: DataFrame, name: str, *parts: str) -> DataFrame:
     """Write a table into the shared folder and read it back.
 
     Later steps start from the files, so a lost executor does not set the work
-    back to the log. A name is reused by the next run of the same job.
+    back to the log. Every run has a folder of its own below the name, so rows of
+    an earlier run cannot come back.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stages/{name}"
-    df.write.mode("overwrite").partitionBy(*parts).parquet(path)
+    path = f"{shared_dir(spark)}/stages/{name}/{uuid.uuid4().hex}"
+    df.write.partitionBy(*parts).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

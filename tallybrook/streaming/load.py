@@ -25,13 +25,14 @@ def start_load(
     """Store a log stream; returns the running query.
 
     Progress is committed after the tables are written, and a batch can be
-    written twice without harm: each order ends up stored once. Without
+    written twice without harm: each order ends up stored once. The checkpoint
+    is the writer of the batches, since it numbers them. Without
     ``every`` the query stops when it has read what was there at the start.
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
         with_retry(
-            lambda: load_batch(batch, target, batch_id, processed_at),
+            lambda: load_batch(batch, target, batch_id, processed_at, writer=checkpoint.rstrip("/")),
             looks_transient,
             max_retries,
             backoff_ms,

@@ -150,7 +150,7 @@ def test_a_lasting_error_fails_the_stream_and_loses_nothing(spark, folder, targe
     write_log(spark, path, [order(1)])
     real, calls = stream.load_batch, []
 
-    def failing(*args):
+    def failing(*args, **how):
         calls.append(1)
         raise RuntimeError("java.net.ConnectException: refused")
 
@@ -257,3 +257,30 @@ def test_running_totals_follow_the_stored_orders(spark, folder):
     stream.start_totals(source, f"{folder}/totals", f"{folder}/c").awaitTermination()
     found = {r.customer_id: (r.orders, str(r.total_spent)) for r in stream.latest_totals(spark, f"{folder}/totals").collect()}
     assert found == {"c0": (3, "4.50"), "c1": (3, "4.50")}
+
+
+def test_writers_do_not_replace_each_other(spark, log_of, target, folder):
+    load_batch(log_of([order(n) for n in range(1, 6)]), target, 0, DONE)
+    for run, messages in enumerate(([order(6), order(1)], [order(7)])):
+        write_log(spark, f"{folder}/log{run}", messages)
+        stream.run_load(log.file_stream(spark, f"{folder}/log{run}"), target, f"{folder}/checkpoint{run}", processed_at=DONE)
+        assert len(ids(spark, target)) == 6 + run
+    load_batch(log_of([order(8)]), target, 0, DONE, writer="evening")
+    load_batch(log_of([order(8)]), target, 0, DONE, writer="evening")
+    assert ids(spark, target) == [f"ORD-20250110-0000{n}" for n in range(1, 9)]
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_compaction_and_updates_under_both_overwrite_modes(spark, log_of, target, mode):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        for batch in range(2):
+            load_batch(log_of([order(batch)], first_offset=batch), target, batch, DONE)
+        compact_month(spark, target, "202501")
+        assert len(ids(spark, target)) == 2
+        updates = spark.createDataFrame([(None, "failed", 1), ("ORD-20250110-00001", "failed", 1)], "order_id string, status string, updated_at int")
+        update_stored(spark, target, updates)
+        update_stored(spark, target, updates.where("order_id is null"))
+        assert sorted(r.status for r in tables.read_orders(spark, target).collect()) == ["failed", "pending"]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")

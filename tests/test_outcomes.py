@@ -22,7 +22,7 @@ CASES = [
     (None, "tombstone"),
     (b"\xff" + GOOD.encode(), "bad_utf8"),
     (GOOD.encode()[:-40] + b"\xc3\x28" + GOOD.encode()[-40:], "bad_utf8"),
-    ("{ invalid json }", "undecodable"),
+    ('{"order_id": }', "undecodable"),
     ("", "undecodable"),
     ("   ", "undecodable"),
     (GOOD[:-1], "undecodable"),
@@ -44,9 +44,9 @@ CASES = [
     (order(items=[]), "bad_items"),
     (order(items={"item1": "value1"}), "bad_items"),
     (order(items=None), "bad_items"),
-    (order(items="Burger"), "bad_items"),
+    (order(items="Dumplings"), "bad_items"),
     (order(items=[1, "x", None]), None),
-    (order(items=[{"name": "Burger", "quantity": "many"}]), None),
+    (order(items=[{"name": "Dumplings", "quantity": "many"}]), None),
     (order(total_amount=0), "bad_amount"),
     (order(total_amount=-10), "bad_amount"),
     (order(total_amount="10.0"), "bad_amount"),
@@ -54,7 +54,7 @@ CASES = [
     (order(total_amount=[1]), "bad_amount"),
     (order(total_amount=False), "bad_amount"),
     (order(total_amount=True), "bad_amount_type"),
-    (GOOD.replace("21.47", "NaN"), "undecodable"),
+    (GOOD.replace("17.35", "NaN"), "undecodable"),
     (order(created_at=None), "bad_timestamp"),
     (order(created_at=20250110), "bad_timestamp"),
     (order(created_at="14:30:00"), "bad_timestamp"),
@@ -80,7 +80,7 @@ CASES = [
     (order(customer_name=None), "null_violation"),
     (order(total_amount=0.004), "check_violation"),
     (order(total_amount=0.005), None),
-    (order(customer_name="José María O'Brien-Smith"), None),
+    (order(customer_name="Þóra Ósk D'Angelo-Łuk"), None),
 ]
 
 
@@ -108,8 +108,8 @@ def test_exact_money(log_of, amount, stored):
 
 
 def test_stored_fields_equal_the_message(log_of):
-    row = classify(log_of([order(customer_name="Café & Crêpe")])).first()
-    assert row.customer_name == "Café & Crêpe"
+    row = classify(log_of([order(customer_name="Süß & Ñame")])).first()
+    assert row.customer_name == "Süß & Ñame"
     assert row.created_at == datetime(2025, 1, 10, 14, 30)
     assert [i.asDict() for i in row["items"]] == [
         {**i, "price": Decimal(str(i["price"])), "subtotal": Decimal(str(i["subtotal"]))}
@@ -166,7 +166,7 @@ def test_first_copy_wins_and_bad_copies_do_not_block(log_of):
         ("processed", None), ("skipped", "duplicate"), ("skipped", "null_violation"), ("processed", None),
     ]
     stored = {r.order_id: r.customer_name for r in accepted_orders(log).collect()}
-    assert stored == {f"ORD-20250110-0000{i}": "First One" if i == 1 else "John Doe" for i in (1, 2, 3)}
+    assert stored == {f"ORD-20250110-0000{i}": "First One" if i == 1 else "Mira Stone" for i in (1, 2, 3)}
     counted = {r.reason: r.messages for r in reason_counts(log).collect()}
     assert counted == {"": 3, "duplicate": 2, "bad_amount": 1, "null_violation": 1}
 
