@@ -15,8 +15,9 @@ leaving one shingle out. Equal rows make candidates:
 - sets that have lost more than that are joined once more among themselves, by their rarest shingles: of two that link, both hold one
   of the other's ``size - least overlap + 1`` rarest, where a common passage does not count. Pairs within a component are not made.
 
-A candidate that shares keys of a scheme worth less than slack + 1, counting all that its set has lost, cannot link; every other one is verified on the
-shingles themselves. Nothing is capped, sampled or dropped. Keys that are already full
+A candidate that shares keys of a scheme worth less than slack + 1, counting all that its set has lost, cannot link. Nor can two sets whose parity
+sketches differ in more bits than two sets that link may differ in shingles: a bit tells whether the shingles dealt to it are odd in number, so each
+shingle that only one set has changes one bit at most. Every other candidate is verified on the shingles themselves. Nothing is capped, sampled or dropped. Keys that are already full
 within one group of texts do not meet in one task: their further sets go to the shuffle as finished pairs, spread evenly.
 
 Cases: null text and text without words have no set and link with nothing; fewer words than n are one shingle; repeated rows and equal texts
@@ -27,7 +28,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import operator
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +45,8 @@ WORDS = 4
 PERCENT = 85
 #: More sets than this on one key are linked through the first of them.
 FULL = 24
+#: Longs of a parity sketch, 64 bits each.
+SKETCH = [f"s{i}" for i in range(8)]
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
 
 
@@ -76,6 +81,23 @@ def _digest(own: np.ndarray) -> bytes:
     return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
 
 
+def _sketch(own: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles dealt to each bit."""
+    bits = 64 * len(SKETCH)
+    dealt = np.bincount((mixed(own, 14) % np.uint64(bits)).astype(np.int64), minlength=bits)
+    return np.packbits((dealt & 1).astype(np.uint8)).view(np.int64)
+
+
+def _may_link(left: list[str], right: list[str], x: str, y: str, percent: int) -> Column:
+    """Whether sketches of sets of x and y shingles are near enough; true where one is null."""
+    bits = reduce(operator.add, (F.bit_count(F.col(a).bitwiseXOR(F.col(b))) for a, b in zip(left, right)))
+    return F.coalesce((100 + percent) * bits <= (100 - percent) * (F.col(x) + F.col(y)), F.lit(True))
+
+
+def _sketch_as(prefix: str) -> list[Column]:
+    return [F.col(c).alias(prefix + c) for c in SKETCH]
+
+
 class Bands:
     """Sizes of band k: first[k] to first[k + 1] - 1."""
 
@@ -303,10 +325,11 @@ def _verifier(n: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
 
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """Of (a, b) classes, the (u, v) representatives that link."""
-    left = classes.select(F.col("node").alias("a"), F.col("rep").alias("u"), F.col("n_shingles").alias("x"))
-    right = classes.select(F.col("node").alias("b"), F.col("rep").alias("v"), F.col("n_shingles").alias("y"))
+    left = classes.select(F.col("node").alias("a"), F.col("rep").alias("u"), F.col("n_shingles").alias("x"), *_sketch_as("x"))
+    right = classes.select(F.col("node").alias("b"), F.col("rep").alias("v"), F.col("n_shingles").alias("y"), *_sketch_as("y"))
     sized = pairs.join(left, "a").join(right, "b").filter(F.col("u") != F.col("v"))
     near = F.lit(percent) * F.greatest("x", "y") <= F.lit(100) * F.least("x", "y")
+    near = near & _may_link([f"x{c}" for c in SKETCH], [f"y{c}" for c in SKETCH], "x", "y", percent)
     wanted = stage(sized.filter(near).select("u", "v"))
     ids = wanted.select(F.col("u").alias("id")).unionAll(wanted.select(F.col("v").alias("id"))).distinct()
     used = texts.join(ids, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
@@ -317,7 +340,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, pe
 
 
 def _by_rare_shingles(sets: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b) of ``sets`` (rep, node, top, n_shingles) in different components that share one of their rarest shingles."""
+    """(a, b) of ``sets`` (rep, node, top, n_shingles, sketch) in different components that share one of their rarest shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, own in groups(batches):
@@ -334,39 +357,44 @@ def _by_rare_shingles(sets: DataFrame, texts: DataFrame, n: int, percent: int) -
     order = Window.partitionBy("node").orderBy(F.coalesce("n", F.lit(1)), "shingle")
     ranked = held.join(common, "shingle", "left").withColumn("place", F.row_number().over(order))
     last = F.col("n_shingles") - F.ceil(F.lit(percent) * F.col("n_shingles") / 100) + 1
-    rare = ranked.filter(F.col("n") > 1).join(sets, "node").filter(F.col("place") <= last).select("shingle", "node", "top", "place", F.col("n_shingles").alias("size"))
+    rare = ranked.filter(F.col("n") > 1).join(sets, "node").filter(F.col("place") <= last).select("shingle", "node", "top", "place", F.col("n_shingles").alias("size"), *SKETCH)
     rare = stage(rare)
     # were this the first shingle that two sets share, so many could still follow; it is for one of the rows of a pair that links.
-    # Asked first of whole components (the longest rest, the smallest set), then of a set and a component, then of two sets
-    tops = rare.groupBy("shingle", "top").agg(F.max(F.col("size") - F.col("place")).alias("s"), F.min("size").alias("z"))
+    # Asked first of whole components (the longest rest, the smallest set), then of a set and a component, then of two sets. Sketches
+    # are asked wherever a side is a single set; a component with several sets has none
+    alone = sets.groupBy("top").agg(F.count("*").alias("members"))
+    of_one = [F.when(F.first("members") == 1, F.first(c)).alias(c) for c in SKETCH]
+    tops = rare.join(alone, "top").groupBy("shingle", "top").agg(F.max(F.col("size") - F.col("place")).alias("s"), F.min("size").alias("z"), *of_one)
 
     def able(rest: str, other_rest: str, size: str, other_size: str) -> Column:
         return (100 + percent) * (F.least(rest, other_rest) + 1) >= percent * (F.col(size) + F.col(other_size))
 
-    others = tops.select("shingle", F.col("top").alias("other"), F.col("s").alias("t"), F.col("z").alias("w"))
-    two = tops.join(others, "shingle").filter((F.col("top") < F.col("other")) & able("s", "t", "z", "w")).select("shingle", "top", "other", "t", "w")
-    left = rare.select("shingle", "top", F.col("node").alias("a"), (F.col("size") - F.col("place")).alias("i"), F.col("size").alias("x"))
-    right = rare.select("shingle", F.col("top").alias("other"), F.col("node").alias("b"), (F.col("size") - F.col("place")).alias("j"), F.col("size").alias("y"))
-    one = two.join(left, ["shingle", "top"]).filter(able("i", "t", "x", "w"))
-    both = one.join(right, ["shingle", "other"]).filter(able("i", "j", "x", "y"))
+    of_other, of_left, of_right = ([prefix + c for c in SKETCH] for prefix in "olr")
+    others = tops.select("shingle", F.col("top").alias("other"), F.col("s").alias("t"), F.col("z").alias("w"), *_sketch_as("o"))
+    two = tops.join(others, "shingle").filter((F.col("top") < F.col("other")) & able("s", "t", "z", "w") & _may_link(SKETCH, of_other, "z", "w", percent))
+    two = two.select("shingle", "top", "other", "t", "w", *of_other)
+    left = rare.select("shingle", "top", F.col("node").alias("a"), (F.col("size") - F.col("place")).alias("i"), F.col("size").alias("x"), *_sketch_as("l"))
+    right = rare.select("shingle", F.col("top").alias("other"), F.col("node").alias("b"), (F.col("size") - F.col("place")).alias("j"), F.col("size").alias("y"), *_sketch_as("r"))
+    one = two.join(left, ["shingle", "top"]).filter(able("i", "t", "x", "w") & _may_link(of_left, of_other, "x", "w", percent)).drop(*of_other)
+    both = one.join(right, ["shingle", "other"]).filter(able("i", "j", "x", "y") & _may_link(of_left, of_right, "x", "y", percent))
     return stage(both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def _classes(narrow: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
-    """(id, n_shingles, digest) of each row, and (digest, node, rep, n_shingles) of each class."""
+    """(id, n_shingles, digest) of each row, and (digest, node, rep, n_shingles, sketch) of each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in groups(batches):
             sets = shingle_sets(texts, n)
             digests = [_digest(s) if len(s) else None for s in sets]
             nodes = [int.from_bytes(d[:8], "little", signed=True) if d else None for d in digests]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(nodes, pa.int64())], names=["id", "n_shingles", "digest", "node"]
-            )
+            sketches = np.array([_sketch(s) for s in sets], np.int64).reshape(-1, len(SKETCH)).T
+            columns = [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.array(nodes, pa.int64()), *map(pa.array, sketches)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_shingles", "digest", "node", *SKETCH])
 
-    rows = stage(narrow.mapInArrow(run, "id long, n_shingles long, digest binary, node long"))
+    rows = stage(narrow.mapInArrow(run, "id long, n_shingles long, digest binary, node long, " + ", ".join(f"{c} long" for c in SKETCH)))
     known = rows.filter(F.col("digest").isNotNull() & F.col("id").isNotNull())
-    return rows, known.groupBy("digest").agg(F.min("id").alias("rep"), F.first("node").alias("node"), F.first("n_shingles").alias("n_shingles"))
+    return rows, known.groupBy("digest").agg(F.min("id").alias("rep"), *[F.first(c).alias(c) for c in ("node", "n_shingles", *SKETCH)])
 
 
 def link(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -406,7 +434,7 @@ def link(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, id_col: str =
 
     poor = lost.filter(F.col("lost") > slack).select(F.col("a").alias("node")).distinct()
     of_class = classes.join(joined.select(F.col("u").alias("rep"), F.col("v").alias("top")), "rep", "left").withColumn("top", F.coalesce("top", "rep"))
-    more = _by_rare_shingles(stage(of_class.join(poor, "node", "left_semi").select("rep", "node", "top", "n_shingles")), narrow, n, percent)
+    more = _by_rare_shingles(stage(of_class.join(poor, "node", "left_semi").select("rep", "node", "top", "n_shingles", *SKETCH)), narrow, n, percent)
     if not more.isEmpty():
         edges = edges.unionAll(_verified(more, classes, narrow, n, percent))
         joined = components(edges)
