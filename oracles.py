@@ -449,6 +449,10 @@ ORACLES: dict[str, str] = {
         "CASE WHEN event_type <> 'error' THEN props END AS value FROM events)) WHERE r = 1 AND value IS NOT NULL"
     ),
     "parsed_logs": over(EVENT_LOGS, "SELECT * FROM logs"),
+    "rejected_log_lines": (
+        "SELECT 'worker stopped at ' || event_id AS line FROM events WHERE event_type = 'error' "
+        "UNION ALL SELECT '[\"' || event_id || '\"]' FROM events WHERE event_type = 'signup'"
+    ),
     "error_logs": over(
         EVENT_LOGS, "SELECT logged_at, service, message, correlation_id FROM logs WHERE level = 'ERROR'"
     ),

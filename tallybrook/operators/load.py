@@ -11,6 +11,8 @@ count as stored before, and its partitions are replaced.
 from __future__ import annotations
 
 import hashlib
+import operator
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 from tallybrook.functions.ids import order_month
 from tallybrook.operators.classify import classify, outcome_of
 from tallybrook.operators.dedup import first_copies, not_stored
-from tallybrook.schemas import ORDERS
+from tallybrook.schemas import ORDERS, OTHER_MONTH
 from tallybrook.sinks.tables import (
     COUNTERS,
     LOOKUP_OPTIONS,
@@ -32,28 +34,36 @@ from tallybrook.sinks.tables import (
     write_orders,
 )
 
-# More months than this in one batch, and the stored ids are read whole.
-MAX_MONTHS = 1000
+# The months of a batch are put into at most this many ranges; more months make wider ranges.
+MAX_RANGES = 64
 # Batch number of rows gathered from finished batches; no stream uses it.
 COMPACTED = -1
 
 
+def month_ranges(months: list, most: int = MAX_RANGES) -> list[tuple[str, str, str, str]]:
+    """(first month, last month, least id, greatest id), cut at the widest gaps between months."""
+    rows = sorted(months, key=lambda r: r.m)
+    # the catch-all month comes last, far from all others
+    at = [10**6 if r.m == OTHER_MONTH else int(r.m) for r in rows]
+    gaps = sorted(range(1, len(rows)), key=lambda i: at[i] - at[i - 1], reverse=True)
+    starts = [0, *sorted(gaps[: most - 1])] if rows else []
+    parts = [rows[a:b] for a, b in zip(starts, [*starts[1:], len(rows)])]
+    return [(p[0].m, p[-1].m, min(r.lo for r in p), max(r.hi for r in p)) for p in parts]
+
+
 def near(stored: DataFrame, rows: DataFrame) -> DataFrame:
     """Stored rows that can have an order id of ``rows``.
 
-    Leaves out the month folders that the ids do not name, and row groups
-    beyond the least and the greatest id. The driver learns one row per month.
+    Leaves out the month folders that the ids do not name, and within each range
+    of months the row groups beyond its least and greatest id. The driver learns
+    one row per month, and a month is six digits.
     """
     ends = [F.min("order_id").alias("lo"), F.max("order_id").alias("hi")]
     months = rows.where("order_id is not null").groupBy(order_month(F.col("order_id")).alias("m")).agg(*ends)
-    found = months.limit(MAX_MONTHS + 1).collect()
-    if len(found) > MAX_MONTHS:
-        return stored
-    if not found:
-        return stored.where(F.lit(False))
-    low, high = min(r.lo for r in found), max(r.hi for r in found)
-    inside = F.col("order_id").between(low, high)
-    return stored.where(F.col("order_month").isin([r.m for r in found]) & inside)
+    ranges = month_ranges(months.collect())
+    month, order = F.col("order_month"), F.col("order_id")
+    inside = [month.between(first, last) & order.between(lo, hi) for first, last, lo, hi in ranges]
+    return stored.where(reduce(operator.or_, inside, F.lit(False)))
 
 
 def counters(rejected: DataFrame, fit: DataFrame, stored: DataFrame) -> DataFrame:

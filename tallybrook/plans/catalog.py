@@ -197,13 +197,11 @@ def pipeline_stream(spark, sf_dir):
 
 @query
 def stream_without_copies(spark, sf_dir):
-    """X5 option: copies dropped by watermark, without asking a table."""
+    """X5 option: copies within an hour dropped, over several micro-batches that come out of order."""
     folder = run_folder(spark)
-    source = log.file_stream(spark, _log_files(spark, sf_dir, folder))
-    kept = stream.first_copies_within(source, "1 hour").select("order_id", "customer_id", "total_amount")
-    writer = kept.writeStream.format("parquet").option("path", f"{folder}/kept")
-    writer.option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(kept.schema).parquet(f"{folder}/kept")
+    source = log.file_stream(spark, _log_files(spark, sf_dir, folder), max_files=1)
+    stream.start_first_copies(source, f"{folder}/kept", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/kept").select("order_id", "customer_id", "total_amount")
 
 
 @query
@@ -572,6 +570,16 @@ def parsed_logs(spark, sf_dir):
     return rows.select(number, "logged_at", "level", "service", "message", "correlation_id", "processing_time_ms")
 
 
+@query
+def rejected_log_lines(spark, sf_dir):
+    """L1: lines between the records that are no JSON object."""
+    n = F.col("event_id").cast("string")
+    stray = F.when(F.col("event_type") == "error", F.concat(F.lit("worker stopped at "), n))
+    stray = stray.when(F.col("event_type") == "signup", F.concat(F.lit('["'), n, F.lit('"]')))
+    strays = _events(spark, sf_dir).select(stray.alias("value")).where("value is not null")
+    return logs.rejected(_log_lines(spark, sf_dir).unionAll(strays))
+
+
 @query
 def error_logs(spark, sf_dir):
     rows = logs.with_level(logs.parse(_log_lines(spark, sf_dir)), "ERROR")

@@ -11,7 +11,7 @@ LOG_TEXTS = ["timestamp", "level", "service", "logger", "message", "correlation_
 
 
 def parse(lines: DataFrame, text: str = "value") -> DataFrame:
-    """Typed log records; lines that are no JSON object are left out.
+    """Typed log records; lines that are no JSON object are found by ``rejected``.
 
     ``extra`` keeps the free fields as VARIANT.
     """
@@ -26,6 +26,12 @@ def parse(lines: DataFrame, text: str = "value") -> DataFrame:
     return settle(record.withColumn("logged_at", logged_at)).where("is_object").drop("is_object")
 
 
+def rejected(lines: DataFrame, text: str = "value") -> DataFrame:
+    """Lines that ``parse`` leaves out, as they are; null lines too."""
+    docs = parse_objects(lines.select(F.col(text).alias("line")), "line")
+    return docs.where(~F.coalesce("is_object", F.lit(False))).select("line")
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     """Log records from folders of JSON-lines files."""
     return parse(spark.read.text(path))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from tallybrook.operators.classify import MESSAGE_COLUMNS, classify
-from tallybrook.operators.load import load_batch
-from tallybrook.sinks.tables import Target, looks_transient, with_retry
+from tallybrook.operators.dedup import first_copies
+from tallybrook.operators.load import batch_number, load_batch
+from tallybrook.sinks.tables import Target, looks_transient, overwrite_partitions, stage, with_retry
 
 
 def start_load(
@@ -63,14 +65,48 @@ def stop_after_batch(query, patience: float = 60.0) -> None:
 def first_copies_within(source: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Orders of a stream without copies that follow within ``delay``.
 
-    State stays bounded, but a copy that comes later gets through: use it where
-    no stored table can be asked.
+    State stays bounded, but a copy that comes later gets through, and Spark drops
+    every row that is behind the watermark, first copies too. Where a log may come
+    out of order use ``start_first_copies``, which loses none.
     """
     fit = classify(source).where("reason is null")
     late = fit.withWatermark("timestamp", delay)
     return late.dropDuplicatesWithinWatermark(["order_id"]).select(*MESSAGE_COLUMNS)
 
 
+def start_first_copies(source: DataFrame, path: str, checkpoint: str, delay: str = "1 hour", every: str | None = None):
+    """Store a log stream without copies that lie within ``delay`` of one kept before; no order is lost.
+
+    Nothing is held in memory and no watermark drops late rows: each batch asks the
+    table it writes, and only in the hours that lie within ``delay`` of its own rows.
+    Copies within a batch are combined before the shuffle, so one id may fill the log.
+    Of copies in different batches the one read first is kept.
+    """
+    columns = list(dict.fromkeys([*MESSAGE_COLUMNS, "timestamp"]))
+    folder = ["hour", "batch_id"]
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        number = batch_number(batch_id, checkpoint.rstrip("/"))
+        fit = first_copies(classify(batch).where("reason is null")).select(*columns)
+        hour = F.floor(F.unix_seconds("timestamp") / 3600).cast("bigint")
+        placed = fit.withColumn("hour", hour).withColumn("batch_id", F.lit(number).cast("bigint"))
+        spark = placed.sparkSession
+        spark.createDataFrame([], placed.schema).write.mode("ignore").partitionBy(*folder).parquet(path)
+        fresh = stage(placed, hashlib.md5(path.encode()).hexdigest())
+        ends = [F.expr(f"floor(unix_seconds({end}(timestamp) {sign} interval {delay}) / 3600)") for end, sign in (("min", "-"), ("max", "+"))]
+        lo, hi = fresh.agg(*ends).first()
+        earlier = spark.read.schema(placed.schema).parquet(path).where((F.col("batch_id") != number) & F.col("hour").between(F.lit(lo), F.lit(hi)))
+        seen = earlier.select("order_id", F.col("timestamp").alias("seen_at"))
+        span = F.expr(f"interval {delay}")
+        near_by = F.col("seen_at").between(F.col("timestamp") - span, F.col("timestamp") + span)
+        kept = fresh.join(seen, (fresh["order_id"] == seen["order_id"]) & near_by, "left_anti")
+        overwrite_partitions(kept, path, *folder)
+
+    trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    writer = source.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start()
+
+
 def start_totals(stored: DataFrame, path: str, checkpoint: str, every: str | None = None):
     """Running orders and revenue per customer, from a stream of stored orders.
 
@@ -99,11 +135,12 @@ def latest_totals(spark: SparkSession, path: str) -> DataFrame:
 
 
 class Progress(StreamingQueryListener):
-    """Keeps the figures of the last batches of every query of a session."""
+    """Figures of every query of a session: the last batches one by one, all of them as totals."""
 
     def __init__(self, keep: int = 100):
         self.keep = keep
         self.batches: list[dict] = []
+        self.totals: dict[str, dict[str, int]] = {}
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -111,6 +148,7 @@ class Progress(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         p = event.progress
         figures = {
+            "query": p.name or str(p.id),
             "batch_id": p.batchId,
             "rows": p.numInputRows,
             "input_rate": p.inputRowsPerSecond,
@@ -118,6 +156,9 @@ class Progress(StreamingQueryListener):
             "milliseconds": p.batchDuration,
         }
         self.batches = [*self.batches, figures][-self.keep :]
+        sums = self.totals.setdefault(figures["query"], {"batches": 0, "rows": 0, "milliseconds": 0})
+        for name, more in (("batches", 1), ("rows", p.numInputRows), ("milliseconds", p.batchDuration)):
+            sums[name] += more
 
     def onQueryIdle(self, event) -> None:
         pass

@@ -1,13 +1,14 @@
 """The loader as a batch and as a stream."""
 
 import tempfile
+import time
 from datetime import datetime
 
 import pytest
 from conftest import envelopes, order
 from pyspark.sql import functions as F
 
-from tallybrook.operators.load import compact_month, load_batch, near, update_stored
+from tallybrook.operators.load import compact_month, load_batch, month_ranges, near, update_stored
 from tallybrook.sinks import tables
 from tallybrook.sinks.tables import Target, apply_updates, evolve, roll_back, with_retry
 from tallybrook.sources import log
@@ -142,7 +143,12 @@ def test_stream_progress_is_kept(spark, folder, target):
         stream.run_load(log.file_stream(spark, path, 1), target, f"{folder}/c")
     finally:
         spark.streams.removeListener(progress)
-    assert len(progress.batches) <= 2
+    deadline = time.monotonic() + 20
+    while sum(t["rows"] for t in progress.totals.values()) < 3 and time.monotonic() < deadline:
+        time.sleep(0.1)
+    (figures,) = progress.totals.values()
+    assert figures["rows"] == 3 and figures["batches"] >= 3
+    assert len(progress.batches) == 2 and {b["query"] for b in progress.batches} == set(progress.totals)
 
 
 def test_a_lasting_error_fails_the_stream_and_loses_nothing(spark, folder, target, monkeypatch):
@@ -248,6 +254,32 @@ def test_copies_within_the_watermark_are_dropped(spark, folder):
     assert sorted(r.order_id[-1] for r in spark.table("kept").collect()) == ["1", "2"]
 
 
+def test_late_first_copies_are_kept(spark, folder):
+    """Files out of order: hours behind, and still no order lost; a hot id meets its copies in other batches."""
+    path = f"{folder}/log"
+    batches = [([order(1), order(1), order(2), "{ bad }"], 50_000), ([order(3), order(1)], 0), ([order(1)] * 20 + [order(2)], 50_010)]
+    for messages, first in batches:
+        write_log(spark, path, messages, first_offset=first)
+        time.sleep(1.1)  # files are read by their time
+    query = stream.start_first_copies(log.file_stream(spark, path, 1), f"{folder}/kept", f"{folder}/c")
+    query.awaitTermination()
+    kept = spark.read.parquet(f"{folder}/kept")
+    assert kept.select("batch_id").distinct().count() >= 2
+    assert {r.order_id[-1] for r in kept.collect()} == {"1", "2", "3"}
+    # a copy further away than the delay is a message of its own
+    assert kept.groupBy("order_id", "hour").count().where("count > 1").count() == 0
+
+
+def test_any_number_of_months_is_looked_up(spark, log_of, target):
+    load_batch(log_of([order(1), order(2, order_id="ORD-20240229-00003")]), target, 0, DONE)
+    many = [(f"ORD-{m:06d}15-00001",) for m in range(200001, 202001)] + [("ORD-20250110-00001",)]
+    batch = spark.createDataFrame(many, "order_id string")
+    months = batch.selectExpr("substr(order_id, 5, 6) m", "order_id lo", "order_id hi").collect()
+    ranges = month_ranges(months)
+    assert len(ranges) <= 64 and ranges[0][0] == "200001" and ranges[-1][1] == "202501"
+    assert [r.order_id for r in near(tables.read_orders(spark, target), batch).collect()] == ["ORD-20250110-00001"]
+
+
 def test_running_totals_follow_the_stored_orders(spark, folder):
     rows = [(f"o{n}", f"c{n % 2}", "1.50") for n in range(6)]
     made = spark.createDataFrame(rows, "order_id string, customer_id string, t string")
