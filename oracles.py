@@ -129,6 +129,16 @@ def draw(n: int, *parts: str) -> str:
     return f"(('0x' || substr(md5({text}), 1, 8))::BIGINT % {n})"
 
 
+def short(amount: str) -> str:
+    """An amount of two decimals without its trailing zeros."""
+    return f"regexp_replace(regexp_replace(CAST({amount} AS VARCHAR), '0+$', ''), '[.]$', '')"
+
+
+ITEM_TEXT = f"""'{{"item_id":"' || item_id || '","name":"' || name || '",'
+         || CASE WHEN fault = 'further_key' AND position = 0 THEN '"note":"by hand",' ELSE '' END
+         || '"price":' || {short("price")} || ',"quantity":' || quantity || ',"subtotal":' || {short("subtotal")} || '}}'"""
+
+
 def _texts(words: list[str]) -> str:
     return "[" + ", ".join(f"'{w}'" for w in words) + "]"
 
@@ -246,6 +256,11 @@ ORACLES: dict[str, str] = {
         "SELECT order_id, position, item_id, name, quantity, price, subtotal "
         "FROM accepted JOIN placed ON l_orderkey = o_orderkey",
     ),
+    "stored_items_text": over(
+        LOG + ITEMS,
+        f"SELECT order_id, '[' || string_agg({ITEM_TEXT}, ',' ORDER BY position) || ']' AS items_json "
+        "FROM accepted JOIN placed ON l_orderkey = o_orderkey GROUP BY order_id",
+    ),
     "order_totals": log(
         "SELECT order_id, total_amount, CAST(total_amount AS DECIMAL(38,2)) AS item_total FROM accepted"
     ),

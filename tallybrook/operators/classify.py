@@ -93,10 +93,12 @@ def outcome_of(reason_col: Column) -> Column:
     )
 
 
-def classify(envelopes: DataFrame, check_quantity: bool = False) -> DataFrame:
+def classify(envelopes: DataFrame, check_quantity: bool = False, whole_items: bool = False) -> DataFrame:
     """Decode and judge every message on its own; no shuffle.
 
-    Duplicates are found across messages, by ``operators.dedup``.
+    Duplicates are found across messages, by ``operators.dedup``. With
+    ``whole_items`` the items come as JSON text too (``items_json``): every key and
+    element as sent, keys sorted and numbers without trailing zeros.
     """
     judged = (
         typed_fields(decode(envelopes))
@@ -104,7 +106,8 @@ def classify(envelopes: DataFrame, check_quantity: bool = False) -> DataFrame:
         .withColumn("reason", reason(check_quantity))
     )
     month = order_month(F.col("order_id")).alias("order_month")
-    return settle(judged.select(*ENVELOPE.names, *MESSAGE_COLUMNS, month, "missing_fields", "reason"))
+    whole = [F.to_json(field("items")).alias("items_json")] if whole_items else []
+    return settle(judged.select(*ENVELOPE.names, *MESSAGE_COLUMNS, *whole, month, "missing_fields", "reason"))
 
 
 def parse_lenient(envelopes: DataFrame) -> DataFrame:

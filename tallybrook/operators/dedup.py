@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 POSITION = ["timestamp", "partition", "offset"]
 
-# Copies of one id are compared in this many groups before the groups are.
-SALTS = 64
-
 
 def first_copies(df: DataFrame, key: str = "order_id") -> DataFrame:
     """The first copy of each key.
@@ -28,15 +25,18 @@ def first_copies(df: DataFrame, key: str = "order_id") -> DataFrame:
 
 
 def mark_copies(
-    df: DataFrame, key: str = "order_id", candidate: Column | None = None, salts: int = SALTS
+    df: DataFrame, key: str = "order_id", candidate: Column | None = None, salts: int | None = None
 ) -> DataFrame:
     """Add ``is_copy``: true for every candidate row but the first of its key.
 
     Unlike ``first_copies`` this keeps every row. The copies of a key are spread
     over ``salts`` groups by a hash of their position; the first of each group
-    then meet, at most ``salts`` rows per key. Rows that need no comparison
-    carry their own hash as group and spread evenly.
+    then meet, at most ``salts`` rows per key. There are as many groups as
+    shuffle partitions, so a group grows no faster than a partition does. Rows
+    that need no comparison carry their own hash as group and spread evenly.
     """
+    if salts is None:
+        salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     candidate = F.lit(True) if candidate is None else F.coalesce(candidate, F.lit(False))
     place = F.xxhash64(*POSITION)
     rows = df.withColumn("_compared", candidate).withColumn("_place", place)

@@ -83,7 +83,7 @@ def for_stage(judged: DataFrame) -> DataFrame:
     """Only what later steps read: raw bytes of the rejected, items of the fit."""
     fit = F.col("reason").isNull()
     needed = {c: F.when(~fit, F.col(c)) for c in ("key", "value")}
-    needed["items"] = F.when(fit, F.col("items"))
+    needed |= {c: F.when(fit, F.col(c)) for c in ("items", "items_json")}
     return judged.select(*[needed.get(c, F.col(c)).alias(c) for c in judged.columns])
 
 
@@ -118,7 +118,7 @@ def load_batch(
     number = F.lit(batch_id).cast("bigint").alias("batch_id")
     name = hashlib.md5(target.root.encode()).hexdigest()
 
-    staged = stage(for_stage(classify(envelopes, check_quantity)), name)
+    staged = stage(for_stage(classify(envelopes, check_quantity, whole_items=True)), name)
     fit, rejected = staged.where("reason is null"), staged.where("reason is not null")
 
     # copies from earlier batches are looked for in the months of their ids, so
@@ -127,7 +127,7 @@ def load_batch(
     known = near(stored, fit).select("order_id")
     now = F.current_timestamp() if processed_at is None else F.lit(processed_at)
     fresh = not_stored(first_copies(fit), known).withColumn("processed_at", now.cast("timestamp_ntz"))
-    write_orders(fresh.select(*ORDERS.names, "order_month", number), target)
+    write_orders(fresh.select(*ORDERS.names, "items_json", "order_month", number), target)
 
     outcome = outcome_of(F.col("reason")).alias("outcome")
     bad = rejected.select(*[outcome if c == "outcome" else number if c == "batch_id" else c for c in QUARANTINE.names])

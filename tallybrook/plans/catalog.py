@@ -179,6 +179,12 @@ def pipeline_replay(spark, sf_dir):
     return counted.select("batch_id", "outcome", "reason", "messages")
 
 
+@query
+def stored_items_text(spark, sf_dir):
+    """Items of the loaded table as they were sent, further keys included."""
+    return tables.read_orders(spark, _loaded(spark, sf_dir)).select("order_id", "items_json")
+
+
 def _log_files(spark, sf_dir, folder: str, files: int = 4) -> str:
     path = f"{folder}/log"
     order_messages(spark, sf_dir).repartition(files, "partition", "offset").write.parquet(path)

@@ -42,12 +42,14 @@ ORDERS = T.StructType(
     ]
 )
 
-# Partition columns of the stored table: the month inside the order id, so that
+# The stored table also keeps the list of items as it was sent, as JSON text: the typed items have no place for further
+# keys, more decimals or elements that are no objects. And it has partition columns: the month inside the order id, so that
 # an id always lands in the same place however late a copy of it arrives, and
 # the batch that wrote the row, so that a replayed batch replaces its own files.
 ORDERS_STORED = T.StructType(
     [
         *ORDERS.fields,
+        T.StructField("items_json", T.StringType()),
         T.StructField("order_month", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]

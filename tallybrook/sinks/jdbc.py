@@ -68,14 +68,20 @@ def merge_statement(staging: str, table: str = "orders") -> str:
 
 
 def flat(orders: DataFrame) -> DataFrame:
-    """Items as JSON text, which is what a driver can send."""
-    return orders.select(*[F.to_json(c).alias(c) if c == "items" else F.col(c) for c in ORDERS.names])
+    """Items as JSON text, which is what a driver can send: as they came, where the rows still have that."""
+    items = F.to_json("items")
+    if "items_json" in orders.columns:
+        items = F.coalesce("items_json", items)
+    return orders.select(*[items.alias(c) if c == "items" else F.col(c) for c in ORDERS.names])
 
 
 def write(
     orders: DataFrame, url: str, staging: str, execute: Callable[[str], None], connections: int = 16
 ) -> None:
-    """``execute`` runs one statement in the database, with the caller's client."""
-    rows = flat(orders).coalesce(connections)
+    """``execute`` runs one statement in the database, with the caller's client.
+
+    The rows are dealt to the connections by a shuffle, so that what makes them keeps its own tasks.
+    """
+    rows = flat(orders).repartition(connections)
     rows.write.format("jdbc").options(**write_options(url, staging)).mode("overwrite").save()
     execute(merge_statement(staging))

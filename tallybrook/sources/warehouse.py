@@ -45,6 +45,7 @@ FAULTS = [
     "repeated_key",
     "offset_time",
     "basic_time",
+    "further_key",
 ]
 COPIES = {"sent_twice": 2, "sent_three_times": 3, "truncated_then_whole": 2}
 
@@ -191,6 +192,8 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     items = F.coalesce(F.to_json("items"), F.lit("[]"))
     items = F.when(fault == "empty_items", "[]").when(fault == "object_items", '{"a":1}').otherwise(items)
+    noted = F.regexp_replace(items, r"^\[\{", '[{"note":"by hand",')
+    items = F.when(fault == "further_key", noted).otherwise(items)
     amount = F.coalesce(F.col("total_amount"), F.lit(0).cast(MONEY)).cast("string")
     amount = (
         F.when(fault == "negative_amount", F.concat(F.lit("-"), amount))

@@ -96,10 +96,11 @@ def test_bounded_run(spark):
 
 
 def test_rate_bounds(spark):
-    for rate in (0, 1001):
+    for rate in (0, -1):
         with pytest.raises(ValueError):
             generator.rate_numbers(spark, rate)
-    assert produce.order_stream(spark, 1000).isStreaming
+    for rate in (1000, 250_000):
+        assert produce.order_stream(spark, rate).isStreaming
 
 
 def test_message_key_and_partition(spark):

@@ -1,5 +1,6 @@
 """The loader as a batch and as a stream."""
 
+import json
 import tempfile
 import time
 from datetime import datetime
@@ -9,7 +10,7 @@ from conftest import envelopes, order
 from pyspark.sql import functions as F
 
 from tallybrook.operators.load import compact_month, load_batch, month_ranges, near, update_stored
-from tallybrook.sinks import tables
+from tallybrook.sinks import jdbc, tables
 from tallybrook.sinks.tables import Target, apply_updates, evolve, roll_back, with_retry
 from tallybrook.sources import log
 from tallybrook.streaming import load as stream
@@ -53,6 +54,22 @@ def test_batch_stores_quarantines_and_counts(spark, log_of, target):
     assert [(r.offset, r.reason) for r in bad] == [(3, "undecodable"), (4, "null_violation")]
 
 
+def test_items_are_stored_as_sent(spark, log_of, target):
+    kept = [
+        [1, "two", None, [3]],
+        [{"item_id": "A", "quantity": 2.7, "price": 1.239, "note": "no onions", "parts": [{"n": 1}]}],
+        [{"quantity": "two", "price": 1e10}, {"quantity": 3000000000}, {}],
+        [{"name": "\u00e9\u4e2d \"quoted\" \\ \n"}],
+    ]
+    load_batch(log_of([order(n, items=items) for n, items in enumerate(kept)]), target, 0, DONE)
+    update_stored(spark, target, spark.createDataFrame([(order(1)["order_id"], "done", datetime(2025, 2, 1))], "order_id string, status string, updated_at timestamp_ntz"))
+    rows = tables.read_orders(spark, target).orderBy("order_id").collect()
+    assert [json.loads(r.items_json) for r in rows] == kept
+    assert rows[1].status == "done"
+    sent = jdbc.flat(tables.read_orders(spark, target)).orderBy("order_id").collect()
+    assert [json.loads(r["items"]) for r in sent] == kept
+
+
 def test_replaying_a_batch_changes_nothing(spark, log_of, target):
     first = log_of([order(1), order(2), order(2), "{ bad }"])
     load_batch(first, target, 0, DONE)
