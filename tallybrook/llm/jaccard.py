@@ -360,11 +360,10 @@ def _by_rare_shingles(sets: DataFrame, texts: DataFrame, n: int, percent: int) -
     rare = ranked.filter(F.col("n") > 1).join(sets, "node").filter(F.col("place") <= last).select("shingle", "node", "top", "place", F.col("n_shingles").alias("size"), *SKETCH)
     rare = stage(rare)
     # were this the first shingle that two sets share, so many could still follow; it is for one of the rows of a pair that links.
-    # Asked first of whole components (the longest rest, the smallest set), then of a set and a component, then of two sets. Sketches
-    # are asked wherever a side is a single set; a component with several sets has none
-    alone = sets.groupBy("top").agg(F.count("*").alias("members"))
-    of_one = [F.when(F.first("members") == 1, F.first(c)).alias(c) for c in SKETCH]
-    tops = rare.join(alone, "top").groupBy("shingle", "top").agg(F.max(F.col("size") - F.col("place")).alias("s"), F.min("size").alias("z"), *of_one)
+    # Asked first of a component's sets with the shingle together (the longest rest, the smallest set), then of a set and a component, then
+    # of two sets. Sketches are asked wherever a side is a single set; several sets together have none
+    of_one = [F.when(F.count("*") == 1, F.first(c)).alias(c) for c in SKETCH]
+    tops = rare.groupBy("shingle", "top").agg(F.max(F.col("size") - F.col("place")).alias("s"), F.min("size").alias("z"), *of_one)
 
     def able(rest: str, other_rest: str, size: str, other_size: str) -> Column:
         return (100 + percent) * (F.least(rest, other_rest) + 1) >= percent * (F.col(size) + F.col(other_size))
