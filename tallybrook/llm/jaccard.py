@@ -11,7 +11,9 @@ leaving one shingle out. Equal rows make candidates:
 
 - a key that at most ``FULL`` sets share gives all their pairs;
 - a fuller key gives only the pairs of its first set with the others (linear), and is noted for its sets. In a group of near copies
-  these pairs already connect the group. A set that has noted and empty segments worth at most its slack has lost nothing, by the count above;
+  these pairs already connect the group. A set that has noted and poor segments (with fewer shingles than tolerance plus one) worth at most
+  its slack has lost nothing, by the count above. A set whose poor segments alone are worth more has rows for them, but its partner may have
+  none, so it counts them as lost, too;
 - sets that have lost more than that are joined once more among themselves, by their rarest shingles: of two that link, both hold one
   of the other's ``size - least overlap + 1`` rarest, where a common passage does not count. Pairs within a component are not made.
 
@@ -151,7 +153,7 @@ def meta_of(scheme: int, segment: np.ndarray, flags: np.ndarray | int) -> np.nda
 
 
 def keys_of_set(own: np.ndarray, k: int, scheme: Scheme, is_own: bool) -> tuple[np.ndarray, np.ndarray, int]:
-    """(keys, metas, budget of the segments that have no row) of one set in scheme k."""
+    """(keys, metas, budget of the poor segments) of one set in scheme k. A partner may have no row for a poor segment, though this set has one."""
     segment = (mixed(own, 11) % np.uint64(scheme.segments)).astype(np.int64)
     value = mixed(own, 12)
     sums = np.zeros(scheme.segments, np.uint64)
@@ -161,14 +163,12 @@ def keys_of_set(own: np.ndarray, k: int, scheme: Scheme, is_own: bool) -> tuple[
     budget = 1 + (every < scheme.ones)
     poor = size < budget
     missing = int(budget[poor].sum())
-    if missing > scheme.slack:  # a sparse set: then it has rows for empty segments as well
-        shown, missing = every, 0
-    else:
-        shown = np.flatnonzero(size)
+    sparse = missing > scheme.slack  # then it has rows for empty segments as well
+    shown = every if sparse else np.flatnonzero(size)
     flag = _OWN if is_own else 0
     salt = mixed(every.astype(np.uint64) + np.uint64(k << 32), 13)
     keys, metas = [mixed(sums[shown] + salt[shown])], [meta_of(k, shown, flag | _WHOLE)]
-    loose = np.flatnonzero((segment < scheme.ones) & ((size[segment] > 1) | (missing == 0)))
+    loose = np.flatnonzero((segment < scheme.ones) & ((size[segment] > 1) | sparse))
     if len(loose):
         at = segment[loose]
         keys.append(mixed(sums[at] - value[loose] + salt[at]))
@@ -291,8 +291,8 @@ def _read_keys(batches: Iterator[pa.RecordBatch], ones: dict[int, int]) -> Itera
                 continue
             if held and held[-1][0] == x:
                 held[-1] = (x, held[-1][1] | m)
-                continue
-            held.append((x, m))
+            else:
+                held.append((x, m))
             if m & _NOTED or len(held) > FULL:
                 spill()
         if len(pairs) + len(notes) + len(missing) > 20_000 or missing:
