@@ -9,8 +9,8 @@ place that passes is kept. A label needs all key phrases of its template.
 Everything after the IDF is computed within the file's own row: no file's postings are shuffled, so neither a file with a
 great many hits nor a word that a third of all files share makes a hot group.
 
-score: the largest share of a template's IDF that stands in place at some start given by its rarest word; 1 for a whole
-template, 0 if no template's rarest word occurs.
+score: the largest share of a template's IDF, over all its phrases, that stands in place; of each phrase counts the best
+start that its rarest word gives. 1 for a whole template, 0 if the rarest word of no phrase occurs.
 
 Cases: a null or empty text has no words and score 0; repeated rows and null ids stay; a template word
 that no file holds has the largest IDF; an empty table gives an empty result; extra columns are left out.
@@ -19,7 +19,9 @@ that no file holds has the largest IDF; an empty table gives an empty result; ex
 from __future__ import annotations
 
 import math
+import operator
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,16 +109,16 @@ def _starts(words: list[str], order: list[int]) -> Column:
 
 
 def _aligned(words: list[str], order: list[int], rarity: dict[str, float]) -> Column:
-    """Largest share of the phrase's IDF in place, over the starts that its rarest word gives."""
-    total, j0 = sum(rarity[w] for w in words), order[0]
+    """Largest IDF of the phrase in place, over the starts that its rarest word gives."""
+    j0 = order[0]
 
-    def share(h: Column) -> Column:
+    def in_place(h: Column) -> Column:
         out = F.lit(rarity[words[j0]])
         for j in order[1:]:
             out = out + F.when(F.get("words", h["at"] - j0 + j) == words[j], rarity[words[j]]).otherwise(0.0)
-        return out / total
+        return out
 
-    return F.coalesce(F.array_max(F.transform(F.filter("hits", lambda h: h["word"] == words[j0]), share)), F.lit(0.0))
+    return F.coalesce(F.array_max(F.transform(F.filter("hits", lambda h: h["word"] == words[j0]), in_place)), F.lit(0.0))
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -134,11 +136,12 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, id_col: s
     at = F.filter(F.sequence(F.lit(0), F.size("words")), lambda i: F.coalesce(F.get("words", i).isin(rare), F.lit(False)))
     hits = worded.select("id", "words", F.transform(at, lambda i: F.struct(i.alias("at"), F.get("words", i).alias("word"))).alias("hits"))
     names = {p: f"s{i}" for i, p in enumerate(phrases)}
+    aligned = {p: f"a{i}" for i, p in enumerate(phrases)}
     found = hits.select(
         "id",
         F.size("words").cast("long").alias("n_words"),
         *[_starts(*parsed[p]).alias(names[p]) for p in phrases],
-        F.greatest(*[_aligned(*parsed[t.phrases[0]], rarity) for t in templates], F.lit(0.0), F.lit(0.0)).alias("aligned"),
+        *[_aligned(*parsed[p], rarity).alias(aligned[p]) for p in phrases],
     )
 
     def has(t: Template) -> Column:
@@ -147,6 +150,10 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, id_col: s
             out = out & (F.size(names[p]) > 0)
         return out
 
+    def share(t: Template) -> Column:
+        total = sum(rarity[w] for p in t.phrases for w in p.split())
+        return F.when(has(t), 1.0).otherwise(reduce(operator.add, (F.col(aligned[p]) for p in t.phrases)) / total)
+
     def labels(chosen: list[Template]) -> Column:
         marked = F.array(*[F.when(has(t), t.label) for t in chosen]) if chosen else F.array().cast("array<string>")
         return F.array_sort(F.array_distinct(F.filter(marked, lambda x: x.isNotNull())))
@@ -159,7 +166,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, id_col: s
         (F.concat(*places) if places else F.array().cast("array<struct<label:string,start:bigint>>")).alias("places"),
         labels(base).alias("base_labels"),
         labels(list(templates)).alias("labels"),
-        F.least(F.col("aligned"), F.lit(1.0)).alias("score"),
+        F.least(F.greatest(*[share(t) for t in templates], F.lit(0.0), F.lit(0.0)), F.lit(1.0)).alias("score"),
     )
 
 
