@@ -7,12 +7,12 @@ are located by sampled suffix positions, and overlapping places are merged into
 word positions in the document.
 
 A phrase is ``window`` consecutive words of an item; an item of fewer words is one phrase. The benchmark is the query set: it
-is worked on in blocks of about ``BLOCK_BYTES`` of text, so that what a task holds of it is bounded;
-each further block is another pass over the documents.
+is cut into pieces, each with a run of an item's windows, and worked on in blocks of about ``BLOCK_BYTES`` of distinct pieces.
+Each block is another pass over the documents, written to the shared folder before the next one, so that a task holds one block.
 
 Cases: null and empty texts have no words and no spans; an item without words or without an id is never reported (one without
 an id still marks words); repeated rows, null ids and an empty benchmark or table are fine; equal items are all reported;
-extra columns are left out. Nothing is grouped or shuffled, so no key is hot.
+extra columns are left out. Documents are neither grouped nor shuffled, so no key is hot.
 """
 
 from __future__ import annotations
@@ -26,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import exclusive_sum, groups
+from tallybrook.llm.common import exclusive_sum, groups, stage
 from tallybrook.llm.fm_index import FmIndex
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 16 << 20
+#: Windows in a piece of the benchmark; pieces overlap by a window less one word.
+PIECE = 1000
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 _SPANS_SQL = "array<struct<start:bigint,end:bigint>>"
 #: lower case for A-Z, a space for every other ASCII byte but digits and a-z
@@ -43,14 +45,14 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class Phrases:
-    """The windows of a block of items, as rows of word numbers filled from the right."""
+    """The windows of a block of pieces, as rows of word numbers filled from the right."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]], window: int):
+    def __init__(self, pieces: list[tuple[int | None, bytes]], window: int):
         self.numbers: dict[bytes, int] = {}
         found: dict[tuple[int, ...], set[int]] = {}
-        for item, text in items:
-            ids = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words_of((text or "").encode())]
-            for i in range(max(1, len(ids) - window + 1)) if ids else ():
+        for item, piece in pieces:
+            ids = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in piece.split(b" ")]
+            for i in range(max(1, len(ids) - window + 1)):
                 found.setdefault(tuple(ids[i : i + window]), set()).update([] if item is None else [item])
         self.items = [sorted(s) for s in found.values()]
         self.lengths = np.array([len(k) for k in found], np.int64)
@@ -71,6 +73,22 @@ class Phrases:
         return phrase, index.locate(rows)
 
 
+def _pieces(window: int, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(item, words of a piece): every window of an item is in one of its pieces."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in groups(batches):
+            items, pieces = [], []
+            for item, text in zip(batch.column("item").to_pylist(), texts):
+                words = words_of(text)
+                for i in range(0, max(1, len(words) - window + 1), most) if words else ():
+                    items.append(item)
+                    pieces.append(b" ".join(words[i : i + most + window - 1]))
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(pieces, pa.binary())], names=["item", "piece"])
+
+    return run
+
+
 def _merged(starts: np.ndarray, ends: np.ndarray) -> list[dict[str, int]]:
     out: list[dict[str, int]] = []
     for a, b in sorted(zip(starts.tolist(), ends.tolist())):
@@ -121,7 +139,8 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col:
     keep = ["doc_id"] if keep is None else keep
     names = [f"k{i}" for i in range(len(keep))]
     items = benchmark.select(benchmark[item_col].cast("long").alias("item"), benchmark[item_text_col].alias("text"))
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    pieces = stage(items.mapInArrow(_pieces(window, PIECE), "item long, piece binary").distinct())
+    size = pieces.agg(F.coalesce(F.sum(F.octet_length("piece")), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
     out = docs.select(
         *[docs[c].alias(n) for c, n in zip(keep, names)],
@@ -132,9 +151,12 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col:
     )
     schema = out.schema
     for block in range(blocks):
-        own = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
-        shared = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in own.collect()])
+        own = pieces.filter(F.pmod(F.xxhash64("item", "piece"), F.lit(blocks)) == block)
+        shared = docs.sparkSession.sparkContext.broadcast([(r.item, bytes(r.piece)) for r in own.collect()])
         out = out.mapInArrow(_search(_loader(shared, window)), schema)
+        if block < blocks - 1:
+            out = stage(out)
+            shared.destroy()
     return out.select(*names, "n_words", "spans", "items").toDF(*keep, "n_words", "spans", "items")
 
 
