@@ -185,9 +185,14 @@ def stored_items_text(spark, sf_dir):
     return tables.read_orders(spark, _loaded(spark, sf_dir)).select("order_id", "items_json")
 
 
-def _log_files(spark, sf_dir, folder: str, files: int = 4) -> str:
+def _stream_files(spark) -> int:
+    """Files of a stream's source: as many as a shuffle has partitions, and enough for several micro-batches."""
+    return max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _log_files(spark, sf_dir, folder: str) -> str:
     path = f"{folder}/log"
-    order_messages(spark, sf_dir).repartition(files, "partition", "offset").write.parquet(path)
+    order_messages(spark, sf_dir).repartition(_stream_files(spark), "partition", "offset").write.parquet(path)
     return path
 
 
@@ -195,7 +200,7 @@ def _log_files(spark, sf_dir, folder: str, files: int = 4) -> str:
 def pipeline_stream(spark, sf_dir):
     """The loader as a stream of several micro-batches, its table read back."""
     folder = run_folder(spark)
-    source = log.file_stream(spark, _log_files(spark, sf_dir, folder), max_files=2)
+    source = log.file_stream(spark, _log_files(spark, sf_dir, folder), max_files=-(-_stream_files(spark) // 2))
     target = tables.Target(f"{folder}/tables")
     stream.run_load(source, target, f"{folder}/checkpoint", processed_at=ASOF)
     return tables.read_orders(spark, target).select(*STORED)
@@ -205,7 +210,7 @@ def pipeline_stream(spark, sf_dir):
 def stream_without_copies(spark, sf_dir):
     """X5 option: copies within an hour dropped, over several micro-batches that come out of order."""
     folder = run_folder(spark)
-    source = log.file_stream(spark, _log_files(spark, sf_dir, folder), max_files=1)
+    source = log.file_stream(spark, _log_files(spark, sf_dir, folder), max_files=-(-_stream_files(spark) // 4))
     stream.start_first_copies(source, f"{folder}/kept", f"{folder}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{folder}/kept").select("order_id", "customer_id", "total_amount")
 
@@ -215,8 +220,8 @@ def live_revenue(spark, sf_dir):
     """Running totals over a stream of stored orders, last state read back."""
     folder = run_folder(spark)
     rows = slim(spark, sf_dir).select("order_id", "customer_id", "total_amount")
-    rows.repartition(4, "order_id").write.parquet(f"{folder}/stored")
-    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2)
+    rows.repartition(_stream_files(spark), "order_id").write.parquet(f"{folder}/stored")
+    reader = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", -(-_stream_files(spark) // 2))
     totals = f"{folder}/totals"
     stream.start_totals(reader.parquet(f"{folder}/stored"), totals, f"{folder}/checkpoint").awaitTermination()
     return stream.latest_totals(spark, totals)
