@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallybrook.llm import bpe, decontaminate, jaccard, langid, license_scan, repetition, token_counts, toxicity, url_filter, warc
+from tallybrook.llm import bpe, collocation, decontaminate, fill_middle, jaccard, langid, license_scan, repetition, token_counts, toxicity, url_filter, warc, winnow
 from tallybrook.llm.common import held_out, run_folder, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -81,7 +81,21 @@ def op10_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_warc, op3_language, op4_token_counts, op5_repetition, op6_jaccard, op7_url_filter, op8_toxicity, op9_decontaminate, op10_license)}
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.with_edits(table(spark, sf_dir, "documents"))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle.restored(fill_middle.transform(table(spark, sf_dir, "documents")))
+    digests = [F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_warc, op3_language, op4_token_counts, op5_repetition, op6_jaccard, op7_url_filter, op8_toxicity, op9_decontaminate, op10_license, op11_collocations, op12_winnowing, op13_fill_middle)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 _WARC = """
@@ -122,6 +136,35 @@ select doc_id, len(w)::bigint n_words, coalesce(n_hit, 0)::bigint n_hit, coalesc
 from d left join h using (doc_id) left join t using (doc_id)
 """
 
-ORACLES = {"op2_warc": _WARC, "op7_url_filter": _URL, "op9_decontaminate": _DECONTAMINATE}
+_COLLOCATIONS = r"""
+with w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') w from (select coalesce(lang, 'und') lang,
+  unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) piece from documents)),
+f as materialized (select lang, k, g, count(*) a from (select lang, k, array_to_string(w[i : i + k - 1], ' ') g
+  from (select lang, w, k, unnest(range(1, len(w) - k + 2)) i from w, (values (1), (2), (3)) t(k) where len(w) >= k)) group by all),
+n as (select lang, sum(a)::bigint n from f where k = 1 group by lang),
+c as materialized (select *, string_split(g, ' ') w from f where k > 1 and a >= 10),
+s as materialized (select lang, g, k, a, j, array_to_string(w[1 : j], ' ') lp, array_to_string(w[j + 1 :], ' ') rp from (select *, unnest(range(1, k)) j from c)),
+x as (select s.lang, s.g, s.k, s.a, fl.a l, fr.a r, ((1000000::hugeint * s.a * s.a) // (fl.a::hugeint * fr.a))::bigint score, j
+  from s join f fl on fl.lang = s.lang and fl.g = lp join f fr on fr.lang = s.lang and fr.g = rp),
+y as (select * from x qualify row_number() over (partition by lang, g order by score, j) = 1),
+o as (select distinct b.lang, b.g from c b join (select lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) g from c where k = 3) t
+  on t.lang = b.lang and t.g = b.g and 100 * t.a >= 50 * b.a where b.k = 2),
+z as (select y.*, row_number() over (partition by lang order by score desc, a desc, encode(g)) rank from y anti join o using (lang, g))
+select lang, rank, g as phrase, a, l, r, n, score from z join n using (lang) where rank <= 2000
+"""
+
+_FILL_MIDDLE = r"""
+with d as (select doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\x0A]*\x0A|[^\x0A]+') u, sha256('7:' || coalesce(doc_id::varchar, '')) h from documents),
+c as (select *, len(u) n, ('0x' || substr(h, 1, 8))::bigint % (len(u) + 1) x, ('0x' || substr(h, 9, 8))::bigint % (len(u) + 1) y,
+  case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or ('0x' || substr(h, 17, 8))::bigint % 100 >= 100 then 'plain'
+    when ('0x' || substr(h, 25, 8))::bigint % 100 < 50 then 'spm' else 'psm' end form from d),
+p as (select *, array_to_string(u[1 : least(x, y)], '') pre, array_to_string(u[least(x, y) + 1 : greatest(x, y)], '') mid, array_to_string(u[greatest(x, y) + 1 :], '') suf from c)
+select doc_id, n::bigint n, form, case when form <> 'plain' then length(pre) end prefix_chars, case when form <> 'plain' then length(mid) end middle_chars,
+  sha256(case form when 'plain' then t when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid else '<S>' || suf || '<P>' || pre || '<M>' || mid end) output_sha256,
+  sha256(t) restored_sha256
+from p
+"""
+
+ORACLES = {"op11_collocations": _COLLOCATIONS, "op13_fill_middle": _FILL_MIDDLE, "op2_warc": _WARC, "op7_url_filter": _URL, "op9_decontaminate": _DECONTAMINATE}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
