@@ -12,8 +12,9 @@ its edges its count without a look-up; only the ends of paths look theirs up.
 Scoring: a phrase cut after k words scores a * a / (l * r), in decimals of 38 digits; the lowest cut counts. A shorter candidate is left out if
 one that contains it is at least half as frequent.
 
-Work: each task counts the edges of a few megabytes of text at once before anything is moved, so a hot passage or word travels once for each such group;
-every level is summed before its shuffle. Rows per language are cut to the first ``top`` in each task before they meet.
+Work: each task makes the graph of a few megabytes of text before anything is moved, so a hot passage or word travels once for each such group. Edges, node flows
+and words are dealt by their hashes, each on its own, so nothing gathers at a node with many edges. They travel as packed blocks, one for each group and
+bucket: words once, numbers for the rest, some five bytes an edge. One shuffle adds up all levels. Rows per language are cut to the first ``top`` in each task before they meet.
 
 Cases: null texts have no words; a null language is ``und``; empty languages have no rows; repeated rows count as often as they stand; ties go to the smaller phrase in byte
 order; words are any bytes between blanks and tabs; extra columns are left out; an empty table gives an empty result.
@@ -27,16 +28,23 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import groups, stage
+from tallybrook.llm.common import exclusive_sum, groups, mixed, shuffle_width, stage
+from tallybrook.llm.distinct import pack, pack_planes, unpack, unpack_planes
 
 WORDS, LEAST, TOP = 3, 10, 2000
-#: Text whose edges a task counts at once.
-GROUP_BYTES = 2 << 20
+#: Text whose graph a task makes at once.
+GROUP_BYTES = 4 << 20
+#: Entries that a task holds of its buckets before it adds up equal ones.
+HELD = 2_000_000
 _BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
-_GRAMS = pa.schema([("lang", pa.string()), ("gram", pa.string()), ("n", pa.int64())])
+_BLOCK = "bucket int, sizes array<long>, lengths binary, words binary, ids binary, counts binary"
+_BLOCK_ARROW = pa.schema([("bucket", pa.int32()), ("sizes", pa.list_(pa.int64())), ("lengths", pa.binary()), ("words", pa.binary()), ("ids", pa.binary()), ("counts", pa.binary())])
+_COUNTS = "lang string, size int, gram string, n long"
+_COUNTS_ARROW = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("gram", pa.string()), ("n", pa.int64())])
 
 
 def pieces_of(text: bytes) -> list[list[bytes]]:
@@ -44,6 +52,26 @@ def pieces_of(text: bytes) -> list[list[bytes]]:
     return [words for piece in text.lower().translate(_BREAKS).split(b"\n") if (words := piece.split())]
 
 
+def coded(numbers: np.ndarray, base: int) -> np.ndarray:
+    """One number for each row of word numbers below ``base``; equal rows, equal numbers."""
+    code = numbers[:, 0].astype(np.int64)
+    for j in range(1, numbers.shape[1]):
+        if j > 1 and base ** (j + 1) >= 1 << 62:  # numbers of the rows so far instead of their codes: no code passes 64 bits
+            code = np.unique(code, return_inverse=True)[1]
+        code = code * base + numbers[:, j]
+    return code
+
+
+def added(numbers: np.ndarray, counts: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different rows with the sums of their counts, in the order of their codes."""
+    if not len(counts):
+        return numbers, counts
+    _, first, back = np.unique(coded(numbers, base), return_index=True, return_inverse=True)
+    sums = np.zeros(len(first), np.int64)
+    np.add.at(sums, back, counts)
+    return numbers[first], sums
+
+
 def count_grams(pieces: list[list[bytes]], size: int) -> tuple[list[bytes], list[tuple[np.ndarray, np.ndarray]]]:
     """Vocabulary, and for 1 to ``size`` words: (word numbers of different phrases, their counts).
 
@@ -58,29 +86,101 @@ def count_grams(pieces: list[list[bytes]], size: int) -> tuple[list[bytes], list
     out = []
     for k in range(1, size + 1):
         at = np.flatnonzero(left >= k if k == size else left == k)
-        code, back = ids[at], None
-        for j in range(1, k):
-            if j > 1:  # numbers of the phrases so far instead of their codes: no code passes 64 bits
-                code = np.unique(code, return_inverse=True)[1]
-            code = code * len(number) + ids[at + j]
-        _, first, counts = np.unique(code, return_index=True, return_counts=True)
-        out.append((ids[at[first][:, None] + np.arange(k)], counts))
+        out.append(added(ids[at[:, None] + np.arange(k)], np.ones(len(at), np.int64), max(1, len(number))))
     return list(number), out
 
 
-def _gram_rows(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def flows(found: list[tuple[np.ndarray, np.ndarray]], base: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Counts of all phrases of 1 to ``size`` words from ``count_grams``: a phrase's continuations and the pieces that end with it."""
+    out = [found[-1]]
+    for numbers, counts in reversed(found[:-1]):
+        longer, more = out[0]
+        out.insert(0, added(np.concatenate([numbers, longer[:, : numbers.shape[1]]]), np.concatenate([counts, more]), base))
+    return out
+
+
+def _blocks(size: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts of each group of texts, dealt by hash. A word is its language, a line feed and the word."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in groups(batches, limit=GROUP_BYTES):
             by_lang: dict[str, list[list[bytes]]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), texts):
                 by_lang.setdefault(lang, []).extend(pieces_of(text))
+            vocabulary: list[bytes] = []
+            levels: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(size)]
             for lang, pieces in by_lang.items():
-                vocabulary, found = count_grams(pieces, size)
-                words = pa.array(vocabulary, pa.binary()).cast(pa.string())
-                for numbers, counts in found:
-                    if len(counts):
-                        grams = pc.binary_join_element_wise(*[words.take(pa.array(c)) for c in numbers.T], " ")
-                        yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()).take(pa.array(np.zeros(len(counts), np.int64))), grams, pa.array(counts)], schema=_GRAMS)
+                words, found = count_grams(pieces, size)
+                for level, (numbers, counts) in zip(levels, flows(found, max(1, len(words)))):
+                    level.append((numbers + len(vocabulary), counts))
+                vocabulary += [lang.encode() + b"\n" + w for w in words]
+            if not vocabulary:
+                continue
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, vocabulary), np.uint64, len(vocabulary))
+            every, cuts = [], []
+            for level in levels:
+                numbers, counts = (np.concatenate(x) for x in zip(*level))
+                dealt = np.zeros(len(counts), np.uint64)
+                for column in numbers.T:
+                    dealt = mixed(dealt + hashes[column])
+                home = (dealt % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(home, kind="stable")
+                every.append((numbers[order], counts[order]))
+                cuts.append(np.searchsorted(home[order], np.arange(buckets + 1)))
+            rows = []
+            for b in range(buckets):
+                own = [(numbers[c[b] : c[b + 1]], counts[c[b] : c[b + 1]]) for (numbers, counts), c in zip(every, cuts)]
+                used, ids = np.unique(np.concatenate([n.T.ravel() for n, _ in own]), return_inverse=True)
+                if len(used):
+                    words = [vocabulary[i] for i in used.tolist()]
+                    lengths = np.fromiter(map(len, words), np.uint32, len(words))
+                    rows.append((b, [len(c) for _, c in own], pack(lengths), pack(b"".join(words)), pack_planes(ids.astype(np.uint32)), pack(np.concatenate([c for _, c in own]))))
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _BLOCK_ARROW)], schema=_BLOCK_ARROW)
+
+    return run
+
+
+def _added_up(size: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sums over the blocks of a task's buckets: frequent phrases, and all words of a language together as a phrase of no words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number: dict[bytes, int] = {}
+        held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros((0, k), np.uint32), np.zeros(0, np.int64)) for k in range(1, size + 1)]
+        new: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(size)]
+
+        def add_up() -> None:
+            for k in range(size):
+                numbers, counts = (np.concatenate(x) for x in zip(held[k], *new[k]))
+                held[k] = added(numbers, counts, max(1, len(number)))
+                new[k].clear()
+
+        waiting = 0
+        for batch in batches:
+            for sizes, lengths, words, ids, counts in zip(*(batch.column(c).to_pylist() for c in ("sizes", "lengths", "words", "ids", "counts"))):
+                ends, raw = exclusive_sum(unpack(lengths, np.uint32)).tolist(), unpack(words)
+                own = np.array([number.setdefault(raw[a:b], len(number)) for a, b in zip(ends, ends[1:])], np.uint32)
+                flat, n, at, done = own[unpack_planes(ids)], unpack(counts, np.int64), 0, 0
+                for k, m in enumerate(sizes):
+                    new[k].append((flat[at : at + m * (k + 1)].reshape(k + 1, m).T, n[done : done + m]))
+                    at, done = at + m * (k + 1), done + m
+                waiting += done
+            if waiting > HELD + sum(len(c) for _, c in held) // 2:
+                add_up()
+                waiting = 0
+        if not number:
+            return
+        add_up()
+        langs, words = zip(*(w.rsplit(b"\n", 1) for w in number))
+        words, langs = pa.array(words, pa.binary()).cast(pa.string()), pa.array(langs, pa.binary()).cast(pa.string())
+        totals: dict[str, int] = {}
+        for lang, n in zip(langs.take(pa.array(held[0][0][:, 0])).to_pylist(), held[0][1].tolist()):
+            totals[lang] = totals.get(lang, 0) + n
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*[(lang, 0, "", n) for lang, n in totals.items()]) if totals else ((),) * 4, _COUNTS_ARROW)], schema=_COUNTS_ARROW)
+        for k, (numbers, counts) in enumerate(held, 1):
+            kept = np.flatnonzero(counts >= least)
+            for part in np.array_split(kept, len(kept) // 50_000 + 1):
+                grams = pc.binary_join_element_wise(*[words.take(pa.array(c)) for c in numbers[part].T], " ")
+                yield pa.RecordBatch.from_arrays([langs.take(pa.array(numbers[part][:, 0])), pa.array(np.full(len(part), k, np.int32)), grams, pa.array(counts[part])], schema=_COUNTS_ARROW)
 
     return run
 
@@ -95,21 +195,18 @@ def _tail(size: int) -> Column:
 
 
 def graph(docs: DataFrame, words: int = WORDS, least: int = LEAST, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, size, gram, n, out): counts of all words, and of phrases of 2 to ``words`` words found at least ``least`` times.
-
-    out: the largest frequent weight of an edge out of the phrase, else 0.
-    """
+    """(lang, size, gram, n): phrases of 1 to ``words`` words found at least ``least`` times; rows of size 0 add up to all words of a language."""
+    buckets = shuffle_width(docs.sparkSession)
     narrow = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"), docs[text_col].alias("text"))
-    rows = narrow.mapInArrow(_gram_rows(words), "lang string, gram string, n long")
-    size = F.length("gram") - F.length(F.replace("gram", F.lit(" "))) + 1
-    level = rows.groupBy("lang", "gram").agg(F.sum("n").alias("n")).select("lang", size.cast("int").alias("size"), "gram", "n", F.lit(0).cast("long").alias("out"))
-    for k in range(words, 1, -1):
-        # every phrase of k words adds to the flow of the node it leaves; only frequent ones go on themselves
-        node = F.struct(F.lit(k - 1).alias("size"), _head(k).alias("gram"), "n", F.when(F.col("n") >= least, F.col("n")).otherwise(0).alias("out"))
-        own = F.struct("size", "gram", "n", "out")
-        parts = F.when(F.col("size") != k, F.array(own)).when(F.col("n") >= least, F.array(own, node)).otherwise(F.array(node))
-        level = level.select("lang", F.inline(parts)).groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"), F.max("out").alias("out"))
-    return level
+    blocks = narrow.mapInArrow(_blocks(words, buckets), _BLOCK)
+    return blocks.repartitionById(buckets, F.col("bucket")).mapInArrow(_added_up(words, least), _COUNTS)
+
+
+def _with_out(counts: DataFrame, words: int) -> DataFrame:
+    """(lang, node, n, out): frequent nodes with the largest weight of an edge that leaves them, 0 if none is frequent."""
+    largest = counts.filter(F.col("size") == words).groupBy("lang", _head(words).alias("gram")).agg(F.max("n").alias("out"))
+    nodes = counts.filter(F.col("size") == words - 1).join(largest, ["lang", "gram"], "left")
+    return nodes.select("lang", F.col("gram").alias("node"), "n", F.coalesce("out", F.lit(0)).alias("out"))
 
 
 def paths(counts: DataFrame, words: int = WORDS) -> DataFrame:
@@ -118,7 +215,7 @@ def paths(counts: DataFrame, words: int = WORDS) -> DataFrame:
     Paths are found by doubling: every unary node asks the furthest node before it that it knows, about log2(longest path) times.
     """
     edges = counts.filter(F.col("size") == words).select("lang", "gram", _head(words).alias("head"), _tail(words).alias("tail"), "n")
-    nodes = counts.filter((F.col("size") == words - 1) & (F.col("n") == F.col("out"))).select("lang", F.col("gram").alias("node"), F.col("n").alias("flow"))
+    nodes = _with_out(counts, words).filter(F.col("n") == F.col("out")).select("lang", "node", F.col("n").alias("flow"))
     into = edges.select("lang", F.col("tail").alias("node"), F.col("n").alias("flow"), F.substring_index("gram", " ", 1).alias("before"), F.col("head").alias("back"))
     out = edges.select("lang", F.col("head").alias("node"), F.col("n").alias("flow"), F.substring_index("gram", " ", -1).alias("after"))
     unary = stage(nodes.join(into, ["lang", "node", "flow"]).join(out, ["lang", "node", "flow"]))
@@ -161,7 +258,7 @@ def scored(counts: DataFrame, words: int = WORDS) -> DataFrame:
         raise ValueError("phrases are scored from a graph of three words")
     by_path = paths(counts, words)
     single = counts.filter("size = 1").select("lang", "gram", F.col("n").alias("f"))
-    pairs = counts.filter("size = 2").select("lang", "gram", F.col("n").alias("f"), "out")
+    pairs = _with_out(counts, words).select("lang", F.col("node").alias("gram"), F.col("n").alias("f"), "out")
     # edges along the paths; the inner nodes of a path have the path's count
     split = by_path.withColumn("w", F.split("phrase", " ")).select("lang", "n", "w", F.explode(F.sequence(F.lit(1), F.size("w") - 2)).alias("i"))
     word = lambda j: F.element_at("w", F.col("i") + j)
@@ -195,7 +292,7 @@ def scored(counts: DataFrame, words: int = WORDS) -> DataFrame:
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the first ``top`` phrases of every language."""
     counts = stage(graph(docs, WORDS, least, text_col, lang_col))
-    totals = counts.filter("size = 1").groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = counts.filter("size = 0").groupBy("lang").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     ranked = scored(counts).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
