@@ -7,7 +7,7 @@ documents have one label each, so training sequences are made of runs of words f
 documents of different languages: that is code-switched text with a known label for every word, from which the transitions are learned.
 
 The model is fitted on the driver on a bounded sample of the labelled rows (``SAMPLE_ROWS`` per language, chosen by a hash of the
-id; ``SAMPLE_CHARS`` characters of each). Prediction runs forward-backward over every word of every whole text; a
+id among texts of at most ``SAMPLE_CHARS`` characters; a sampled text is learned from as a whole). Prediction runs forward-backward over every word of every whole text; a
 text's label is the one with the largest mean posterior, which is its score.
 
 Cases: text that is null or has no letter is ``und`` with score 0, as is every text if nothing was there to learn from; repeated rows and null ids stay; ties go to the
@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import exclusive_sum, groups, held_out, lowest_hashes, mixed
+from tallybrook.llm.common import carried, exclusive_sum, groups, held_out, lowest_hashes, mixed
 
 UND = "und"
 SAMPLE_ROWS = 250
-SAMPLE_CHARS = 4000
+SAMPLE_CHARS = 6000
 BITS = 17
 SEQUENCE = 48  # words of a training sequence
 ROUNDS = 12
@@ -96,11 +96,11 @@ class Model:
         return np.concatenate(out)
 
 
-def posteriors(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Forward-backward over many sequences at once.
+def _passes(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Forward and backward sums over many sequences at once, by step and then by sequence.
 
     scores: (words, labels), the words of all sequences in turn. Sequences are worked on longest first, so at each
-    step the ones still running are a leading block. Returns the words' label posteriors.
+    step the ones still running are a leading block. Returns scores, forward and backward sums, each step's start, and the words' places among them.
     """
     order = np.argsort(-lengths, kind="stable")
     running = lengths[order]
@@ -108,7 +108,7 @@ def posteriors(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray,
     active = np.searchsorted(-running, -np.arange(steps), "left")  # how many are longer than t
     at = exclusive_sum(active)
     begin = exclusive_sum(lengths)[:-1][order]
-    place = np.empty(len(scores), np.int64)  # by step, then by sequence
+    place = np.empty(len(scores), np.int64)
     seq = np.repeat(np.arange(len(running)), running)
     t = np.arange(len(scores)) - np.repeat(exclusive_sum(running)[:-1], running)
     place[np.repeat(begin, running) + t] = at[t] + seq
@@ -126,10 +126,33 @@ def posteriors(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray,
         a, b = at[step + 1], at[step + 2]
         own = (e[a:b] * beta[a:b]) @ move.T
         beta[at[step] : at[step] + b - a] = own / own.sum(axis=1, keepdims=True)
+    return e, alpha, beta, at, place
+
+
+def posteriors(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The words' label posteriors, by forward-backward."""
+    _, alpha, beta, _, place = _passes(scores, lengths, transitions, first)
     both = alpha * beta
     return (both / both.sum(axis=1, keepdims=True))[place]
 
 
+def expectations(scores: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words' label posteriors, and the expected number of each pair of neighbouring labels.
+
+    A pair's probability is forward sum, transition, score and backward sum, each once, by their sum over all pairs.
+    """
+    e, alpha, beta, at, place = _passes(scores, lengths, transitions, first)
+    move = np.exp(transitions - transitions.max()).astype(e.dtype)
+    pairs = np.zeros_like(move)
+    for step in range(1, len(at) - 1):
+        a, b = at[step], at[step + 1]
+        before, after = alpha[at[step - 1] : at[step - 1] + b - a], e[a:b] * beta[a:b]
+        total = ((before @ move) * after).sum(axis=1, keepdims=True)
+        pairs += (before / total).T @ after
+    both = alpha * beta
+    return (both / both.sum(axis=1, keepdims=True))[place], pairs * move
+
+
 def fit(rows: list[tuple[str, str]], rounds: int = ROUNDS, seed: int = 7) -> Model | None:
     """Adaptive gradient steps on the exact log-likelihood gradient, over batches of made-up code-switched sequences."""
     rng = np.random.default_rng(seed)
@@ -145,7 +168,9 @@ def fit(rows: list[tuple[str, str]], rounds: int = ROUNDS, seed: int = 7) -> Mod
             held[w][y] += 1
     several = [w for w, by in held.items() if sum(by.values()) > 1]
     lexicon = {w: i for i, w in enumerate(several)}
-    languages = np.array([sum(1 << y for y in held[w]) for w in several], np.int64)
+    # a number for each set of languages: the sum of its languages' own numbers, however many there are
+    own_number = [int(x) for x in mixed(np.arange(len(labels)), 5)]
+    languages = np.array([sum(own_number[y] for y in held[w]) & 0xFFFFFFFFFFFFFFFF for w in several], np.uint64)
     vocabulary = {w: i for i, w in enumerate(held)}
     flat, sizes = features(list(held), lexicon, languages)
     starts = exclusive_sum(sizes)[:-1]
@@ -176,25 +201,23 @@ def fit(rows: list[tuple[str, str]], rounds: int = ROUNDS, seed: int = 7) -> Mod
             at = np.repeat(starts[distinct] - exclusive_sum(used)[:-1], used) + np.arange(used.sum())
             own = np.add.reduceat(weights[flat[at]], exclusive_sum(used)[:-1], axis=0)
             scores = np.exp(own - own.max(axis=1, keepdims=True))[inverse] + 1e-12
-            p = posteriors(scores, lengths, moves, first)
+            p, pairs = expectations(scores, lengths, moves, first)
             error = -p
             error[np.arange(len(y)), y] += 1
             by_word = np.zeros((len(distinct), n))
             np.add.at(by_word, inverse, error)
             gradient = np.zeros_like(weights)
             np.add.at(gradient, flat[at], np.repeat(by_word, used, axis=0))
-            # transitions: observed less expected pairs; the expected ones from the neighbours' posteriors and the edge potential
+            # transitions: observed less expected pairs
             heads = exclusive_sum(lengths)[:-1]
             inner = np.ones(len(y), bool)
             inner[heads] = False
             right = np.flatnonzero(inner)
-            edge = p[right - 1][:, :, None] * np.exp(moves - moves.max())[None] * p[right][:, None, :]
-            edge /= edge.sum(axis=(1, 2), keepdims=True)
             seen = np.zeros((n, n))
             np.add.at(seen, (y[right - 1], y[right]), 1)
             rate = 0.5 / (1 + round_ / 4)
             step(weights, g_weights, gradient / len(w) * 100 - 1e-4 * weights, rate)
-            step(moves, g_moves, (seen - edge.sum(axis=0)) / len(w) * 10 - 1e-2 * moves, rate / 5)
+            step(moves, g_moves, (seen - pairs) / len(w) * 10 - 1e-2 * moves, rate / 5)
             start_error = -p[heads].sum(axis=0)
             np.add.at(start_error, y[heads], 1)
             step(first, g_first, start_error / len(heads) - 1e-2 * first, rate / 5)
@@ -202,10 +225,10 @@ def fit(rows: list[tuple[str, str]], rounds: int = ROUNDS, seed: int = 7) -> Mod
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model | None:
-    """Fit on ``rows`` rows of every label outside the held-out fold, at most ``chars`` characters of each."""
+    """Fit on ``rows`` rows of every label outside the held-out fold, of texts with at most ``chars`` characters."""
     known = docs.select(docs[lang_col].alias("lang"), docs[text_col].alias("text"), docs[id_col].cast("string").alias("id"))
-    known = known.filter(~held_out(F.col("id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    known = known.select("lang", F.left("text", F.lit(chars)).alias("text"), F.xxhash64("id").alias("hash"))
+    known = known.filter(~held_out(F.col("id")) & F.col("lang").isNotNull() & (F.char_length("text") <= chars))
+    known = known.select("lang", "text", F.xxhash64("id").alias("hash"))
     last = lowest_hashes(known, "lang", "hash", rows).groupBy("lang").agg(F.max("hash")).collect()
     near = F.lit(False)
     for lang, hash_ in last:
@@ -240,7 +263,7 @@ def _predictor(load: Callable[[], Model | None], names: list[str]) -> Callable[[
                 mean = np.add.reduceat(p.astype(np.float64), exclusive_sum(lengths[full])[:-1], axis=0) / lengths[full][:, None]
                 for i, best, value in zip(full.tolist(), mean.argmax(axis=1).tolist(), mean.max(axis=1).tolist()):
                     labels[i], scores[i] = model.labels[best], min(1.0, value)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(labels, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
 
     return run
 
@@ -248,8 +271,7 @@ def _predictor(load: Callable[[], Model | None], names: list[str]) -> Callable[[
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns of ``keep`` with lang_pred and score."""
     keep = ["doc_id"] if keep is None else keep
-    names = [f"k{i}" for i in range(len(keep))]
-    narrow = docs.select(docs[text_col].alias("text"), *[docs[c].alias(n) for c, n in zip(keep, names)])
+    narrow, names = carried(docs, text_col, keep)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = narrow.select(*names, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
     return narrow.mapInArrow(_predictor(lambda: shared.value, names), schema).toDF(*keep, "lang_pred", "score")

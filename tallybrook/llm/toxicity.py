@@ -14,7 +14,7 @@ text's score is a logistic function of the weights of its matches, summed by kin
 negated or reported insult counts for what the labels say, not as an isolated word.
 
 The model is fitted on the driver on a bounded sample of labelled rows: ``SAMPLE_ROWS`` for each label, by a hash
-of the id, at most ``SAMPLE_CHARS`` characters of each. Scoring reads every whole text.
+of the id; sampled texts of more than ``SAMPLE_CHARS`` characters are not learned from, the others as a whole. Scoring reads every whole text.
 
 Cases: null and empty texts have no match and get the model's score for that; with no labelled rows every score is 0; null labels are not
 learned from, of several labels of a document the largest counts; repeated rows and null ids stay; extra columns are left out.
@@ -212,11 +212,11 @@ def fit(rows: list[tuple[str, int]]) -> Model | None:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model | None:
-    """Fit on at most ``rows`` labelled documents of each label outside the held-out fold."""
+    """Fit on at most ``rows`` labelled documents of each label outside the held-out fold, of at most ``chars`` characters each."""
     known = labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label")).filter(~held_out(F.col("id")) & F.col("label").isin(0, 1))
     one = known.groupBy("id").agg(F.max("label").alias("label")).withColumn("hash", F.xxhash64(F.col("id").cast("string")))
     sample = one.join(F.broadcast(lowest_hashes(one, "label", "hash", rows)), ["label", "hash"], "left_semi").select("id", "label")
-    texts = docs.select(docs[id_col].alias("id"), F.left(F.coalesce(docs[text_col], F.lit("")), F.lit(chars)).alias("text"))
+    texts = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text")).filter(F.char_length("text") <= chars)
     # the sample has at most 2 * rows ids
     found = texts.join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
     return fit([tuple(r) for r in found.orderBy("id").select("text", "label").collect()])
