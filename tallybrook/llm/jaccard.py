@@ -136,7 +136,8 @@ def allocate(most: int, size: float, sets: int) -> Scheme | None:
         rows = zeros + ones * (1 + mean)
         # a segment of one or two shingles, and what is left of it, is likely to be shared by unrelated sets
         small = math.exp(-mean) * (zeros * (mean + mean**2 / 2) + ones * (mean + mean**2 / 2 + mean**3 / 6) * (1 + mean))
-        cost = rows + 1e-4 * sets * small
+        # each such row can be shared by many sets, but a key brings at most FULL / 2 pairs a row: rows stay in proportion at every size
+        cost = rows + min(1e-4 * sets, FULL / 2) * small
         if best is None or cost < best[0]:
             best = (cost, Scheme(zeros, ones, slack))
     return best[1]
