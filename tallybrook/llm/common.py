@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -76,17 +77,23 @@ def texts_of(column: pa.Array) -> list[bytes]:
 
 
 def groups(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = GROUP_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Cut batches into runs of rows with about ``limit`` bytes of text."""
+    """Cut batches into runs of rows with about ``limit`` bytes of text. Only the run at hand is turned into Python objects."""
     for batch in batches:
-        texts = texts_of(batch.column(text))
+        column = batch.column(text)
         start = size = 0
-        for i, t in enumerate(texts):
-            if size and size + len(t) > limit:
-                yield batch.slice(start, i - start), texts[start:i]
+        for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+            if size and size + n > limit:
+                yield batch.slice(start, i - start), texts_of(column.slice(start, i - start))
                 start, size = i, 0
-            size += len(t)
-        if start < len(texts):
-            yield batch.slice(start), texts[start:]
+            size += n
+        if start < batch.num_rows:
+            yield batch.slice(start), texts_of(column.slice(start))
+
+
+def carried(docs: DataFrame, text_col: str, keep: list[str]) -> tuple[DataFrame, list[str]]:
+    """The text as ``text`` with the columns to keep, and their names there; a text that is kept itself goes to the workers once."""
+    names = ["text" if c == text_col else f"k{i}" for i, c in enumerate(keep)]
+    return docs.select(docs[text_col].alias("text"), *[docs[c].alias(n) for c, n in zip(keep, names) if n != "text"]), names
 
 
 def exclusive_sum(counts: np.ndarray) -> np.ndarray:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import exclusive_sum, groups, stage
+from tallybrook.llm.common import carried, exclusive_sum, groups, stage
 from tallybrook.llm.fm_index import FmIndex
 
 WINDOW = 13
@@ -137,14 +137,13 @@ def _search(load: Callable[[], Phrases]) -> Callable[[Iterator[pa.RecordBatch]],
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns of ``keep`` with n_words, spans (array of (start, end) in words) and items (array of item ids)."""
     keep = ["doc_id"] if keep is None else keep
-    names = [f"k{i}" for i in range(len(keep))]
+    narrow, names = carried(docs, text_col, keep)
     items = benchmark.select(benchmark[item_col].cast("long").alias("item"), benchmark[item_text_col].alias("text"))
     pieces = stage(items.mapInArrow(_pieces(window, PIECE), "item long, piece binary").distinct())
     size = pieces.agg(F.coalesce(F.sum(F.octet_length("piece")), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
-    out = docs.select(
-        *[docs[c].alias(n) for c, n in zip(keep, names)],
-        docs[text_col].alias("text"),
+    out = narrow.select(
+        "*",
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast(_SPANS_SQL).alias("spans"),
         F.array().cast("array<bigint>").alias("items"),

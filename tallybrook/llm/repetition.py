@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import exclusive_sum, groups, mixed
+from tallybrook.llm.common import carried, exclusive_sum, groups, mixed
 
 #: largest share of the characters, by window length; the base rule already looks at five words
 LIMITS = {5: 0.25, 8: 0.20, 10: 0.15}
@@ -98,8 +98,7 @@ def measure(docs: DataFrame, lengths: list[int], text_col: str = "text", keep: l
     """The columns of ``keep`` and n_words, word_chars, n_symbols, n_dup_lines, dup_line_chars,
     then for every length n repeat_words_n and repeat_chars_n."""
     keep = ["doc_id"] if keep is None else keep
-    names = [f"k{i}" for i in range(len(keep))]
-    narrow = docs.select(*[docs[c].alias(n) for c, n in zip(keep, names)], docs[text_col].alias("text"))
+    narrow, names = carried(docs, text_col, keep)
     figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "dup_line_chars", *[f"repeat_{k}_{n}" for n in lengths for k in ("words", "chars")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +115,7 @@ def measure(docs: DataFrame, lengths: list[int], text_col: str = "text", keep: l
             inside = covered_words(hashes, ends, lengths)
             for size in lengths:
                 columns += [_sums(inside[size], ends), _sums(inside[size] * chars, ends)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(c, pa.int64()) for c in columns)], names=[*names, *figures])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), *(pa.array(c, pa.int64()) for c in columns)], names=[*names, *figures])
 
     schema = narrow.select(*names, *[F.lit(0).cast("long").alias(f) for f in figures]).schema
     return narrow.mapInArrow(run, schema).toDF(*keep, *figures)
