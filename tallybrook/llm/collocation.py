@@ -12,9 +12,10 @@ its edges its count without a look-up; only the ends of paths look theirs up.
 Scoring: a phrase cut after k words scores a * a / (l * r), in decimals of 38 digits; the lowest cut counts. A shorter candidate is left out if
 one that contains it is at least half as frequent.
 
-Work: each task makes the graph of a few megabytes of text before anything is moved, so a hot passage or word travels once for each such group. Edges, node flows
-and words are dealt by their hashes, each on its own, so nothing gathers at a node with many edges. They travel as packed blocks, one for each group and
-bucket: words once, numbers for the rest, some five bytes an edge. One shuffle adds up all levels. Rows per language are cut to the first ``top`` in each task before they meet.
+Work: each task makes the graph of a few megabytes of text before anything is moved, so a hot passage or word travels once for each such group. Words are
+dealt by their hash, edges by the hash of the node they leave, where its flow is added up. A node with more than ``FULL`` times a bucket's share of a group's edges would be hot: its
+edges are dealt by their own hashes instead, and only its flow goes to the node. Where that has happened in some groups and not in others, an edge's counts from both
+places are added up at the end. All travel as packed blocks, one for each group and bucket: words once, numbers for the rest. Rows per language are cut to the first ``top`` in each task before they meet.
 
 Cases: null texts have no words; a null language is ``und``; empty languages have no rows; repeated rows count as often as they stand; ties go to the smaller phrase in byte
 order; words are any bytes between blanks and tabs; extra columns are left out; an empty table gives an empty result.
@@ -40,11 +41,14 @@ WORDS, LEAST, TOP = 3, 10, 2000
 GROUP_BYTES = 4 << 20
 #: Entries that a task holds of its buckets before it adds up equal ones.
 HELD = 2_000_000
+#: Shares of a bucket that a node's edges may take in a group.
+FULL = 4
+LEAST_FULL = 64
 _BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 _BLOCK = "bucket int, sizes array<long>, lengths binary, words binary, ids binary, counts binary"
 _BLOCK_ARROW = pa.schema([("bucket", pa.int32()), ("sizes", pa.list_(pa.int64())), ("lengths", pa.binary()), ("words", pa.binary()), ("ids", pa.binary()), ("counts", pa.binary())])
-_COUNTS = "lang string, size int, gram string, n long"
-_COUNTS_ARROW = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("gram", pa.string()), ("n", pa.int64())])
+_COUNTS = "lang string, size int, gram string, n long, part boolean"
+_COUNTS_ARROW = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("gram", pa.string()), ("n", pa.int64()), ("part", pa.bool_())])
 
 
 def pieces_of(text: bytes) -> list[list[bytes]]:
@@ -79,7 +83,7 @@ def count_grams(pieces: list[list[bytes]], size: int) -> tuple[list[bytes], list
     """
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
     flat = list(chain.from_iterable(pieces))
-    number = {w: i for i, w in enumerate(dict.fromkeys(flat))}
+    number = {w: i for i, w in enumerate(sorted(set(flat)))}  # in order, which packs better
     ids = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
     ends = np.cumsum(lengths)
     left = np.repeat(ends, lengths) - np.arange(len(flat))  # words from here to the end of the piece, this one included
@@ -99,6 +103,18 @@ def flows(found: list[tuple[np.ndarray, np.ndarray]], base: int) -> list[tuple[n
     return out
 
 
+def _levels(found: list[tuple[np.ndarray, np.ndarray]], base: int, most: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """What a group sends of ``count_grams``: counts of shorter phrases, nodes that end pieces, edges, and of nodes with more than ``most`` edges the flow and the edges apart."""
+    shorter = flows(found, base)[:-2]
+    edges, n = found[-1]
+    # edges lie in the order of their codes, so those of a node are neighbours
+    new = np.ones(len(n), bool)
+    new[1:] = (edges[1:, :-1] != edges[:-1, :-1]).any(axis=1)
+    degree = np.diff(np.append(np.flatnonzero(new), len(n)))
+    full = np.repeat(degree > most, degree)
+    return [*shorter, found[-2], (edges[~full], n[~full]), added(edges[full][:, :-1], n[full], base), (edges[full], n[full])]
+
+
 def _blocks(size: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Counts of each group of texts, dealt by hash. A word is its language, a line feed and the word."""
 
@@ -108,20 +124,22 @@ def _blocks(size: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
             for lang, text in zip(batch.column("lang").to_pylist(), texts):
                 by_lang.setdefault(lang, []).extend(pieces_of(text))
             vocabulary: list[bytes] = []
-            levels: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(size)]
+            levels: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(size + 2)]
+            most = max(LEAST_FULL, FULL * sum(map(len, texts)) / 6 / buckets)
             for lang, pieces in by_lang.items():
                 words, found = count_grams(pieces, size)
-                for level, (numbers, counts) in zip(levels, flows(found, max(1, len(words)))):
+                pieces.clear()
+                for level, (numbers, counts) in zip(levels, _levels(found, max(1, len(words)), most)):
                     level.append((numbers + len(vocabulary), counts))
                 vocabulary += [lang.encode() + b"\n" + w for w in words]
             if not vocabulary:
                 continue
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, vocabulary), np.uint64, len(vocabulary))
             every, cuts = [], []
-            for level in levels:
+            for k, level in enumerate(levels):
                 numbers, counts = (np.concatenate(x) for x in zip(*level))
                 dealt = np.zeros(len(counts), np.uint64)
-                for column in numbers.T:
+                for column in numbers.T if k != size - 1 else numbers.T[:-1]:  # edges by the node they leave
                     dealt = mixed(dealt + hashes[column])
                 home = (dealt % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(home, kind="stable")
@@ -141,17 +159,22 @@ def _blocks(size: int, buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
 
 
 def _added_up(size: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Sums over the blocks of a task's buckets: frequent phrases, and all words of a language together as a phrase of no words."""
+    """Sums over the blocks of a task's buckets: frequent phrases, and all words of a language together as a phrase of no words.
+
+    ``part``: the phrase is an edge of a node that was full somewhere, and may have another row.
+    """
+    widths = [*range(1, size + 1), size - 1, size]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number: dict[bytes, int] = {}
-        held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros((0, k), np.uint32), np.zeros(0, np.int64)) for k in range(1, size + 1)]
-        new: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(size)]
+        held: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros((0, k), np.uint32), np.zeros(0, np.int64)) for k in widths]
+        new: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in widths]
+        base = lambda: max(1, len(number))
 
         def add_up() -> None:
-            for k in range(size):
+            for k in range(len(widths)):
                 numbers, counts = (np.concatenate(x) for x in zip(held[k], *new[k]))
-                held[k] = added(numbers, counts, max(1, len(number)))
+                held[k] = added(numbers, counts, base())
                 new[k].clear()
 
         waiting = 0
@@ -160,9 +183,9 @@ def _added_up(size: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
                 ends, raw = exclusive_sum(unpack(lengths, np.uint32)).tolist(), unpack(words)
                 own = np.array([number.setdefault(raw[a:b], len(number)) for a, b in zip(ends, ends[1:])], np.uint32)
                 flat, n, at, done = own[unpack_planes(ids)], unpack(counts, np.int64), 0, 0
-                for k, m in enumerate(sizes):
-                    new[k].append((flat[at : at + m * (k + 1)].reshape(k + 1, m).T, n[done : done + m]))
-                    at, done = at + m * (k + 1), done + m
+                for k, (m, width) in enumerate(zip(sizes, widths)):
+                    new[k].append((flat[at : at + m * width].reshape(width, m).T, n[done : done + m]))
+                    at, done = at + m * width, done + m
                 waiting += done
             if waiting > HELD + sum(len(c) for _, c in held) // 2:
                 add_up()
@@ -175,12 +198,20 @@ def _added_up(size: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
         totals: dict[str, int] = {}
         for lang, n in zip(langs.take(pa.array(held[0][0][:, 0])).to_pylist(), held[0][1].tolist()):
             totals[lang] = totals.get(lang, 0) + n
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*[(lang, 0, "", n) for lang, n in totals.items()]) if totals else ((),) * 4, _COUNTS_ARROW)], schema=_COUNTS_ARROW)
-        for k, (numbers, counts) in enumerate(held, 1):
-            kept = np.flatnonzero(counts >= least)
-            for part in np.array_split(kept, len(kept) // 50_000 + 1):
-                grams = pc.binary_join_element_wise(*[words.take(pa.array(c)) for c in numbers[part].T], " ")
-                yield pa.RecordBatch.from_arrays([langs.take(pa.array(numbers[part][:, 0])), pa.array(np.full(len(part), k, np.int32)), grams, pa.array(counts[part])], schema=_COUNTS_ARROW)
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*[(lang, 0, "", n, False) for lang, n in totals.items()]) if totals else ((),) * 5, _COUNTS_ARROW)], schema=_COUNTS_ARROW)
+        (ends, end_n), (edges, n), (full, full_n), (apart, apart_n) = held[-4:]
+        nodes = added(np.concatenate([ends, edges[:, :-1], full]), np.concatenate([end_n, n, full_n]), base())
+        # of a node that was full somewhere, edges lie elsewhere as well
+        both = coded(np.concatenate([full, edges[:, :-1]]), base())
+        part = np.isin(both[len(full) :], both[: len(full)])
+        kept = [(x, c, c >= least, np.zeros(len(c), bool)) for x, c in [*held[: size - 2], nodes]]
+        kept += [(edges, n, part | (n >= least), part), (apart, apart_n, np.ones(len(apart_n), bool), np.ones(len(apart_n), bool))]
+        for numbers, counts, wanted, parts in kept:
+            found = np.flatnonzero(wanted)
+            for chosen in np.array_split(found, len(found) // 50_000 + 1):
+                grams = pc.binary_join_element_wise(*[words.take(pa.array(c)) for c in numbers[chosen].T], " ")
+                size_of = pa.array(np.full(len(chosen), numbers.shape[1], np.int32))
+                yield pa.RecordBatch.from_arrays([langs.take(pa.array(numbers[chosen][:, 0])), size_of, grams, pa.array(counts[chosen]), pa.array(parts[chosen])], schema=_COUNTS_ARROW)
 
     return run
 
@@ -199,7 +230,9 @@ def graph(docs: DataFrame, words: int = WORDS, least: int = LEAST, text_col: str
     buckets = shuffle_width(docs.sparkSession)
     narrow = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit("und")).alias("lang"), docs[text_col].alias("text"))
     blocks = narrow.mapInArrow(_blocks(words, buckets), _BLOCK)
-    return blocks.repartitionById(buckets, F.col("bucket")).mapInArrow(_added_up(words, least), _COUNTS)
+    rows = stage(blocks.repartitionById(buckets, F.col("bucket")).mapInArrow(_added_up(words, least), _COUNTS))
+    parts = rows.filter("part").groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    return rows.filter("not part").drop("part").unionAll(parts)
 
 
 def _with_out(counts: DataFrame, words: int) -> DataFrame:

@@ -65,6 +65,19 @@ def test_phrases_equal_a_plain_count(spark):
         assert sorted(map(tuple, found.collect())) == plain_phrases(texts, langs, least, top)
 
 
+def test_edges_of_full_nodes_are_dealt_apart(spark, monkeypatch):
+    """A node that is full in some groups of texts and not in others."""
+    rng = random.Random(5)
+    texts = [" ".join("x y " + f"w{rng.randrange(40)}" for _ in range(rng.choice([2, 150]))) for _ in range(40)]
+    for name, value in (("FULL", 0.001), ("LEAST_FULL", 5), ("GROUP_BYTES", 700)):
+        monkeypatch.setattr(collocation, name, value)
+    made = collocation._blocks(3, 4)(iter(table_of(spark, texts).select("lang", "text").toArrow().to_batches()))
+    apart = [sum(s[4] for s in b.column("sizes").to_pylist()) for b in made]
+    assert any(apart) and not all(apart)
+    found = collocation.collocations(table_of(spark, texts), 3, 2000)
+    assert sorted(map(tuple, found.collect())) == plain_phrases(texts, ["en"] * len(texts), 3, 2000)
+
+
 def test_phrases_of_an_empty_table(spark):
     assert collocation.collocations(table_of(spark, [])).count() == 0
     assert collocation.collocations(table_of(spark, [None, ""])).count() == 0
