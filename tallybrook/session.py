@@ -45,18 +45,23 @@ def local_session(app: str, cores: int | str = 8, memory: str = "8g") -> SparkSe
     return configure(spark)
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for staged tables and checkpoints.
 
     The cluster names it in ``spark.checkpoint.dir``. A local session without
-    that setting gets a folder of its own; a cluster without it is an error,
+    that setting gets a folder of its own, the same for the whole application; a cluster without it is an error,
     since a machine-local folder would be lost with its machine.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="tallybrook-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    # the setting is fixed once a session runs, so the folder is remembered here
+    application = spark.sparkContext.applicationId
+    if application not in _OWN_FOLDERS:
+        _OWN_FOLDERS[application] = tempfile.mkdtemp(prefix="tallybrook-")
+    return _OWN_FOLDERS[application]
