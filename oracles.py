@@ -292,6 +292,7 @@ ORACLES: dict[str, str] = {
         "SELECT round(CAST(sum(total_amount) AS DOUBLE) / count(*), 2) AS average_value FROM stored"
     ),
     "unique_customers": stored("SELECT count(DISTINCT customer_id) AS customers FROM stored"),
+    "unique_customers_estimate": stored("SELECT count(DISTINCT customer_id) AS customers, true AS within_error FROM stored"),
     "uniqueness": stored(
         "SELECT 'orders' AS subject, count(*) AS row_count, count(DISTINCT order_id) AS distinct_ids "
         "FROM stored UNION ALL SELECT 'items', count(*), count(DISTINCT item_id) FROM lines"
@@ -313,7 +314,7 @@ ORACLES: dict[str, str] = {
     ),
     "customer_time_range": stored(
         f"SELECT {LISTED} FROM stored WHERE customer_id = {CUSTOMER} "
-        "AND created_at >= TIMESTAMP '1996-01-01' AND created_at < TIMESTAMP '1999-01-01'"
+        "AND created_at >= TIMESTAMP '1996-01-01' AND created_at < TIMESTAMP '2001-04-01'"
     ),
     "orders_last_hour": stored(
         f"SELECT {LISTED} FROM stored WHERE created_at > {ASOF} - INTERVAL 1 HOUR AND created_at <= {ASOF}"
@@ -487,6 +488,12 @@ ORACLES: dict[str, str] = {
         "min(processing_time_ms) AS fastest_ms, max(processing_time_ms) AS slowest_ms "
         "FROM logs WHERE correlation_id IS NOT NULL GROUP BY 1",
     ),
+    "processing_time_percentiles": over(
+        EVENT_LOGS,
+        "SELECT service, count(*) AS records, quantile_disc(processing_time_ms, 0.5) AS median_ms, "
+        "quantile_disc(processing_time_ms, 0.95) AS p95_ms, quantile_disc(processing_time_ms, 0.99) AS p99_ms, true AS within_error "
+        "FROM logs WHERE processing_time_ms IS NOT NULL GROUP BY 1",
+    ),
     # generated data
     "generated_customers": (
         "SELECT {id} AS customer_id, {name} AS name, {email} AS email, ".format(**customer_sql("c_custkey"))
@@ -512,18 +519,32 @@ _TABLE = (
     "SELECT order_id, customer_id, customer_name, customer_email, total_amount, status, created_at FROM accepted"
 )
 ORACLES["pipeline_batch"] = ORACLES["pipeline_stream"] = log(_TABLE)
-ORACLES["pipeline_counters"] = ORACLES["outcome_counters"]
-_RECONCILE = LOG + (
-    ", kept AS (SELECT order_id FROM accepted), "
-    "produced AS (SELECT order_id, CASE o_orderstatus WHEN 'O' THEN '' ELSE 'status' END AS different "
-    "FROM head JOIN totals ON l_orderkey = o_orderkey), "
-    "compared AS (SELECT coalesce(p.order_id, k.order_id) AS order_id, "
-    "CASE WHEN k.order_id IS NULL THEN 'missing' WHEN p.order_id IS NULL THEN 'extra' "
-    "WHEN different <> '' THEN 'mismatch' ELSE 'match' END AS state, "
-    "CASE WHEN k.order_id IS NULL OR p.order_id IS NULL THEN '' ELSE different END AS different "
-    "FROM produced p FULL JOIN kept k ON p.order_id = k.order_id)"
+ORACLES["pipeline_counters"] = ORACLES["live_outcomes"] = ORACLES["outcome_counters"]
+ORACLES["stored_after_retention"] = log(_TABLE + " WHERE created_at >= TIMESTAMP '1998-01-01'")
+# two runs of 600 messages, each shared evenly among the partitions
+_RUN = (
+    'SELECT "partition", "offset" FROM (SELECT *, row_number() OVER (PARTITION BY "partition" ORDER BY "offset") AS k FROM {rest}) '
+    'ORDER BY k, "partition" LIMIT 600'
+)
+ORACLES["bounded_run"] = log(
+    f', first_run AS ({_RUN.format(rest="log")}), rest AS (SELECT * FROM log ANTI JOIN first_run USING ("partition", "offset")), '
+    f'second_run AS ({_RUN.format(rest="rest")}), runs AS (FROM first_run UNION ALL FROM second_run) '
+    'SELECT order_id, customer_id, customer_name, customer_email, total_amount, status, created_at '
+    'FROM accepted SEMI JOIN runs USING ("partition", "offset")'
+)
+ORACLES["status_asof"] = stored(
+    ", events AS (SELECT o_orderkey, status, created_at AS since FROM stored UNION ALL SELECT l_orderkey, "
+    "CASE l_linestatus WHEN 'F' THEN 'completed' ELSE 'processing' END, l_shipdate FROM lineitem) "
+    "SELECT order_id, created_at + INTERVAL 60 DAY AS asked_at, max(CASE WHEN since <= created_at + INTERVAL 60 DAY "
+    "THEN struct_pack(t := since, s := events.status) END).s AS status_then "
+    "FROM stored JOIN events ON events.o_orderkey = stored.o_orderkey GROUP BY 1, 2"
+)
+ORACLES["stream_lag"] = log(
+    'SELECT topic, "partition", count(*) AS messages, max("offset") + 1 AS log_end, '
+    f'CAST(sum(CASE WHEN "timestamp" > {ASOF} THEN 1 ELSE 0 END) AS BIGINT) AS lag FROM log GROUP BY 1, 2'
 )
-ORACLES["reconcile"] = over(_RECONCILE, "SELECT * FROM compared")
-ORACLES["reconcile_summary"] = over(
-    _RECONCILE, "SELECT state, different, count(*) AS orders FROM compared GROUP BY 1, 2"
+ORACLES["late_customers"] = log(
+    "SELECT order_id, customer_id, CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'at once' "
+    f"WHEN c_mktsegment IN ('MACHINERY', 'HOUSEHOLD') THEN CASE WHEN \"timestamp\" > {ASOF} THEN 'at once' ELSE 'after waiting' END "
+    "ELSE 'waiting' END AS state FROM accepted JOIN customer ON printf('CUST-%05d', c_custkey) = customer_id"
 )

@@ -32,6 +32,10 @@ from tallybrook.functions.ids import order_month
 from tallybrook.operators.decode import TEXT_FIELDS, decode, field, kind, settle, typed_fields
 from tallybrook.schemas import ENVELOPE, MAX_LENGTH, ORDERS, REQUIRED_FIELDS
 
+REASONS = [
+    "tombstone", "bad_utf8", "undecodable", "not_object", "missing_fields", "bad_items", "bad_quantity", "bad_amount", "bad_amount_type",
+    "bad_timestamp", "bad_text_type", "out_of_range", "null_violation", "check_violation",
+]
 SKIPPED_REASONS = ["null_violation", "check_violation", "duplicate"]
 # typed message columns, in table order, without the load time
 MESSAGE_COLUMNS = [c for c in ORDERS.names if c != "processed_at"]

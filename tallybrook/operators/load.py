@@ -12,25 +12,29 @@ from __future__ import annotations
 
 import hashlib
 import operator
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.functions.ids import order_month
-from tallybrook.operators.classify import classify, outcome_of
+from tallybrook.operators.classify import REASONS, SKIPPED_REASONS, classify, outcome_of
 from tallybrook.operators.dedup import first_copies, not_stored
 from tallybrook.schemas import ORDERS, OTHER_MONTH
 from tallybrook.sinks.tables import (
     COUNTERS,
-    LOOKUP_OPTIONS,
+    BLOOM,
     QUARANTINE,
     Target,
     apply_updates,
     create_tables,
+    customer_number,
+    order_parts,
     overwrite_partitions,
     read_orders,
     stage,
+    switch_parts,
     write_orders,
 )
 
@@ -51,32 +55,41 @@ def month_ranges(months: list, most: int = MAX_RANGES) -> list[tuple[str, str, s
     return [(p[0].m, p[-1].m, min(r.lo for r in p), max(r.hi for r in p)) for p in parts]
 
 
-def near(stored: DataFrame, rows: DataFrame) -> DataFrame:
+def month_ends(rows: DataFrame) -> list:
+    """Least and greatest id, largest customer number and times of creation of each month: the driver learns one row per month, and a month is six digits."""
+    ends = [F.min("order_id").alias("lo"), F.max("order_id").alias("hi")]
+    if "customer_id" in rows.columns:
+        ends += [F.max(customer_number()).alias("customer"), F.min("created_at").alias("first"), F.max("created_at").alias("last")]
+    return rows.where("order_id is not null").groupBy(order_month(F.col("order_id")).alias("m")).agg(*ends).collect()
+
+
+def created_bounds(ends: list) -> dict[str, tuple]:
+    return {r.m: (str(r.first), str(r.last)) for r in ends if r.first is not None}
+
+
+def near(stored: DataFrame, rows: DataFrame, ends: list | None = None) -> DataFrame:
     """Stored rows that can have an order id of ``rows``.
 
     Leaves out the month folders that the ids do not name, and within each range
-    of months the row groups beyond its least and greatest id. The driver learns
-    one row per month, and a month is six digits.
+    of months the row groups beyond its least and greatest id.
     """
-    ends = [F.min("order_id").alias("lo"), F.max("order_id").alias("hi")]
-    months = rows.where("order_id is not null").groupBy(order_month(F.col("order_id")).alias("m")).agg(*ends)
-    ranges = month_ranges(months.collect())
+    ranges = month_ranges(month_ends(rows) if ends is None else ends)
     month, order = F.col("order_month"), F.col("order_id")
     inside = [month.between(first, last) & order.between(lo, hi) for first, last, lo, hi in ranges]
     return stored.where(reduce(operator.or_, inside, F.lit(False)))
 
 
-def counters(rejected: DataFrame, fit: DataFrame, stored: DataFrame) -> DataFrame:
-    """Messages per outcome; copies are what was fit and yet not stored."""
-    reason = F.col("reason")
-    one = fit.agg(F.lit("duplicate").alias("reason"), F.count("*").alias("n"))
-    less = stored.agg(F.lit("duplicate").alias("reason"), (-F.count("*")).alias("n"))
-    done = stored.agg(F.lit(None).cast("string").alias("reason"), F.count("*").alias("n"))
-    rest = rejected.groupBy("reason").agg(F.count("*").alias("n"))
-    totals = one.union(less).union(done).union(rest).groupBy("reason").agg(F.sum("n").alias("messages"))
-    return totals.where("messages > 0").select(
-        outcome_of(reason).alias("outcome"), F.coalesce(reason, F.lit("")).alias("reason"), "messages"
-    )
+def counters(rejected: dict[str, int], fit: int, stored: int) -> list[tuple[str, str, int]]:
+    """(outcome, reason, messages): copies are what was fit and yet not stored."""
+    rows = [("skipped" if reason in SKIPPED_REASONS else "failed", reason, n) for reason, n in rejected.items()]
+    rows += [("skipped", "duplicate", fit - stored), ("processed", "", stored)]
+    return [r for r in rows if r[2]]
+
+
+def reason_figures() -> list:
+    """Messages per reason, as one row."""
+    count = lambda reason: F.count(F.when(F.col("reason").eqNullSafe(F.lit(reason)), 1))
+    return [count(None).alias("fit"), *[count(r).alias(r) for r in REASONS]]
 
 
 def for_stage(judged: DataFrame) -> DataFrame:
@@ -118,24 +131,30 @@ def load_batch(
     number = F.lit(batch_id).cast("bigint").alias("batch_id")
     name = hashlib.md5(target.root.encode()).hexdigest()
 
-    staged = stage(for_stage(classify(envelopes, check_quantity, whole_items=True)), name)
+    # figures are taken while the tables are written, so nothing is read again to be counted
+    judged, written = Observation(), Observation()
+    staged = stage(for_stage(classify(envelopes, check_quantity, whole_items=True)), name, observed=(judged, reason_figures()))
     fit, rejected = staged.where("reason is null"), staged.where("reason is not null")
+    figures = dict(judged.get)
 
     # copies from earlier batches are looked for in the months of their ids, so
     # a late copy is found however late it is
+    ends = month_ends(fit)
     stored = read_orders(spark, target).where(F.col("batch_id") != batch_id)
-    known = near(stored, fit).select("order_id")
+    known = near(stored, fit, ends).select("order_id")
     now = F.current_timestamp() if processed_at is None else F.lit(processed_at)
     fresh = not_stored(first_copies(fit), known).withColumn("processed_at", now.cast("timestamp_ntz"))
-    write_orders(fresh.select(*ORDERS.names, "items_json", "order_month", number), target)
+    largest = max((r.customer for r in ends if r.customer is not None), default=0.0)
+    parts = write_orders(fresh.select(*ORDERS.names, "items_json", "order_month", number), target, largest, written, created_bounds(ends)) if ends else []
 
     outcome = outcome_of(F.col("reason")).alias("outcome")
     bad = rejected.select(*[outcome if c == "outcome" else number if c == "batch_id" else c for c in QUARANTINE.names])
     overwrite_partitions(bad, target.quarantine, "batch_id")
+    switch_parts(spark, target, lambda p: p.batch == batch_id, parts)
 
-    written = read_orders(spark, target).where(F.col("batch_id") == batch_id)
-    counted = counters(rejected, fit, written).select("*", number)
-    overwrite_partitions(counted.select(*COUNTERS.names).coalesce(1), target.counters, "batch_id")
+    fit_rows = figures.pop("fit")
+    counted = [(*row, batch_id) for row in counters(figures, fit_rows, written.get["rows"] if ends else 0)]
+    overwrite_partitions(spark.createDataFrame(counted, COUNTERS).coalesce(1), target.counters, "batch_id")
 
 
 def update_stored(spark: SparkSession, target: Target, updates: DataFrame) -> None:
@@ -148,21 +167,23 @@ def update_stored(spark: SparkSession, target: Target, updates: DataFrame) -> No
     updated = near(stored, updates).join(updates.select("order_id").distinct(), "order_id", "left_semi")
     # all rows of such a folder, also those beyond the range of the updated ids
     rows = stored.join(updated.select(*folder).distinct(), folder, "left_semi")
-    name = hashlib.md5(f"{target.root}-updates".encode()).hexdigest()
-    # staged, since a folder cannot be read while it is replaced
-    write_orders(stage(apply_updates(rows, updates), name, *folder), target)
+    parts = write_orders(apply_updates(rows, updates), target)
+    old = {(p.month, p.batch): p for p in order_parts(spark, target)}
+    parts = [replace(p, first=old[p.month, p.batch].first, last=old[p.month, p.batch].last) for p in parts]
+    places = {(p.month, p.batch) for p in parts}
+    switch_parts(spark, target, lambda p: (p.month, p.batch) in places, parts)
 
 
 def compact_month(spark: SparkSession, target: Target, month: str) -> None:
-    """Gather the files that many batches left in one month folder.
+    """Gather the files that many batches left in one month.
 
-    For months no batch writes any more: the folder is replaced as a whole.
+    For months no batch writes any more. The gathered rows are written beside the old ones, which go when the list names the new ones.
     """
+    old = [p for p in order_parts(spark, target) if p.month == month]
     rows = read_orders(spark, target).where(F.col("order_month") == month)
-    name = hashlib.md5(f"{target.root}-compact".encode()).hexdigest()
-    gathered = stage(rows.withColumn("batch_id", F.lit(COMPACTED).cast("bigint")), name)
-    tidy = gathered.drop("order_month").hint("rebalance").sortWithinPartitions("batch_id", "order_id")
-    # the whole folder, also where the session replaces partitions only
-    writer = tidy.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer = writer.options(**LOOKUP_OPTIONS).partitionBy("batch_id")
-    writer.parquet(f"{target.orders}/order_month={month}")
+    gathered = rows.withColumn("batch_id", F.lit(COMPACTED).cast("bigint"))
+    largest = rows.agg(F.max(customer_number())).first()[0] or 0.0
+    known = old and all(p.first is not None for p in old)
+    bounds = {month: (min(p.first for p in old), max(p.last for p in old))} if known else None
+    parts = write_orders(gathered, target, largest, bounds=bounds, **BLOOM)
+    switch_parts(spark, target, lambda p: p.month == month, parts)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.functions import ids, text, times
 from tallybrook.functions.draws import draw
-from tallybrook.operators import classify, dedup, load, outcomes
+from tallybrook.operators import bounded, classify, dedup, history, load, outcomes, sketches
 from tallybrook.operators.decode import extract_order_id
 from tallybrook.plans import checks, eventlog, logs, reports
 from tallybrook.schemas import ENVELOPE, ORDERS
@@ -18,6 +18,7 @@ from tallybrook.session import configure, shared_dir
 from tallybrook.sinks import tables, topic
 from tallybrook.sources import generator, log, warehouse
 from tallybrook.sources.warehouse import order_lines, order_messages, stored_orders, table
+from tallybrook.streaming import customers, progress
 from tallybrook.streaming import load as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,9 @@ QUERIES: dict[str, Query] = {}
 # parameters of the listings
 ASOF = "1998-12-31 00:00:00"
 CUSTOMER = "CUST-00042"
+SPAN = ("1996-01-01", "2001-04-01")
+FIRST_KEPT_MONTH = "199801"
+RUN_MESSAGES = 600
 PATTERN = [{"name": "red widget"}, {"name": "hot ring"}]
 
 
@@ -45,6 +49,29 @@ def run_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/runs/{uuid.uuid4().hex}"
 
 
+def written_table(spark: SparkSession, sf_dir: str) -> tables.Target:
+    """The stored orders, written as a loader writes them."""
+    target = tables.Target(run_folder(spark))
+    rows = stored_orders(spark, sf_dir).withColumn("items_json", F.to_json("items"))
+    rows = rows.withColumn("order_month", ids.order_month(F.col("order_id"))).withColumn("batch_id", F.lit(0).cast("bigint"))
+    rows = tables.stage(rows, "written")
+    ends = load.month_ends(rows)
+    largest, bounds = max((r.customer for r in ends), default=0.0), load.created_bounds(ends)
+    tables.switch_parts(spark, target, lambda part: False, tables.write_orders(rows, target, largest, bounds=bounds))
+    return target
+
+
+_WRITTEN: dict[tuple[str, str], tables.Target] = {}
+
+
+def loaded_table(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """The stored table, written once in an application and read by every report on it; see ``read_orders`` for the times."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = written_table(spark, sf_dir)
+    return tables.read_orders(spark, _WRITTEN[key], start, end)
+
+
 # --- log to stored orders -------------------------------------------------
 
 
@@ -215,6 +242,72 @@ def stream_without_copies(spark, sf_dir):
     return spark.read.parquet(f"{folder}/kept").select("order_id", "customer_id", "total_amount")
 
 
+@query
+def live_outcomes(spark, sf_dir):
+    """Outcomes of a stream, from the figures that each batch leaves."""
+    folder = run_folder(spark)
+    source = log.file_stream(spark, _log_files(spark, sf_dir, folder), max_files=-(-_stream_files(spark) // 3))
+    target = tables.Target(f"{folder}/tables")
+    stream.run_load(source, target, f"{folder}/checkpoint", processed_at=ASOF)
+    return stream.live_outcomes(spark, target)
+
+
+def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The log up to ASOF, and what comes after it."""
+    early = F.col("timestamp") <= F.lit(ASOF).cast("timestamp")
+    messages = order_messages(spark, sf_dir)
+    return messages.where(early), messages.where(~early)
+
+
+@query
+def stream_lag(spark, sf_dir):
+    """A8, A10 from the stream's own checkpoint: it has read the log up to ASOF, and the rest has come since."""
+    folder = run_folder(spark)
+    first, rest = _halves(spark, sf_dir)
+    first.repartition(_stream_files(spark), "partition", "offset").write.parquet(f"{folder}/log")
+    source = log.file_stream(spark, f"{folder}/log", max_files=-(-_stream_files(spark) // 2))
+    source.select("offset").writeStream.format("noop").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    rest.repartition(_stream_files(spark), "partition", "offset").write.mode("append").parquet(f"{folder}/log")
+    return progress.file_stream_lag(log.files(spark, f"{folder}/log"), f"{folder}/checkpoint")
+
+
+# Customers of these market segments are known from the start, or arrive after the first half of the log; the others never do.
+KNOWN_SEGMENTS, LATE_SEGMENTS = ["AUTOMOBILE", "BUILDING"], ["MACHINERY", "HOUSEHOLD"]
+
+
+@query
+def late_customers(spark, sf_dir):
+    """D6 as a stream: orders wait for their customer. Which were kept at once, which after waiting, and which still wait."""
+    folder = run_folder(spark)
+    who = table(spark, sf_dir, "customer").select(ids.customer_id(F.col("c_custkey")).alias("customer_id"), "c_mktsegment")
+    orders = customers.WaitingOrders(spark, f"{folder}/orders", f"{folder}/customers")
+    for name, segments, part in zip(("first", "second"), (KNOWN_SEGMENTS, LATE_SEGMENTS), _halves(spark, sf_dir)):
+        who.where(F.col("c_mktsegment").isin(segments)).select("customer_id").write.parquet(f"{folder}/customers/{name}")
+        part.repartition(_stream_files(spark), "partition", "offset").write.mode("append").parquet(f"{folder}/log")
+        source = log.file_stream(spark, f"{folder}/log", max_files=_stream_files(spark))
+        customers.start_waiting(source, orders, f"{folder}/checkpoint").awaitTermination()
+    kept = orders.kept().select("order_id", "customer_id", F.when(F.col("waited"), "after waiting").otherwise("at once").alias("state"))
+    return kept.unionByName(orders.waiting().select("order_id", "customer_id", F.lit("waiting").alias("state")))
+
+
+@query
+def bounded_run(spark, sf_dir):
+    """A run of RUN_MESSAGES messages, then another of as many; what is stored after both."""
+    folder = run_folder(spark)
+    target, messages = tables.Target(f"{folder}/tables"), log.files(spark, _log_files(spark, sf_dir, folder))
+    for _ in range(2):
+        bounded.run_messages(messages, target, "bounded", RUN_MESSAGES, processed_at=ASOF)
+    return tables.read_orders(spark, target).select(*STORED)
+
+
+@query
+def stored_after_retention(spark, sf_dir):
+    """The loaded table after the months before FIRST_KEPT_MONTH were dropped."""
+    target = _loaded(spark, sf_dir)
+    tables.drop_months(spark, target, FIRST_KEPT_MONTH)
+    return tables.read_orders(spark, target).select(*STORED)
+
+
 @query
 def live_revenue(spark, sf_dir):
     """Running totals over a stream of stored orders, last state read back."""
@@ -262,7 +355,10 @@ def unique_customers(spark, sf_dir):
 
 @query
 def unique_customers_estimate(spark, sf_dir):
-    return reports.unique_customers_estimate(slim(spark, sf_dir))
+    """A6 from sketches stored per month: the exact number, and whether the merged sketches are within their error."""
+    orders = slim(spark, sf_dir)
+    kept = tables.stage(sketches.distinct_sketches(orders, ids.order_month(F.col("order_id")), "customer_id"), "sketches")
+    return sketches.distinct_report(orders, kept, "customer_id", "customers")
 
 
 @query
@@ -298,37 +394,37 @@ def latest_orders(spark, sf_dir):
 
 @query
 def customer_orders(spark, sf_dir):
-    return reports.of_customer(slim(spark, sf_dir), CUSTOMER)
+    return reports.of_customer(loaded_table(spark, sf_dir), CUSTOMER)
 
 
 @query
 def customer_history(spark, sf_dir):
-    return reports.customer_history(slim(spark, sf_dir), CUSTOMER)
+    return reports.customer_history(loaded_table(spark, sf_dir), CUSTOMER)
 
 
 @query
 def customer_time_range(spark, sf_dir):
-    return reports.customer_between(slim(spark, sf_dir), CUSTOMER, "1996-01-01", "1999-01-01")
+    return reports.customer_between(loaded_table(spark, sf_dir, *SPAN), CUSTOMER, *SPAN)
 
 
 @query
 def orders_last_hour(spark, sf_dir):
-    return reports.since(slim(spark, sf_dir), ASOF, 1)
+    return reports.since(loaded_table(spark, sf_dir, "1998-12-30", ASOF), ASOF, 1)
 
 
 @query
 def orders_last_day(spark, sf_dir):
-    return reports.since(slim(spark, sf_dir), ASOF, 24)
+    return reports.since(loaded_table(spark, sf_dir, "1998-12-30", ASOF), ASOF, 24)
 
 
 @query
 def orders_with_status(spark, sf_dir):
-    return reports.with_status(slim(spark, sf_dir), "pending")
+    return reports.with_status(loaded_table(spark, sf_dir), "pending")
 
 
 @query
 def order_lookup(spark, sf_dir):
-    return reports.by_id(slim(spark, sf_dir), "ORD-19990116-00002")
+    return reports.by_id(loaded_table(spark, sf_dir), "ORD-19990116-00002")
 
 
 @query
@@ -501,7 +597,24 @@ def _updates(spark, sf_dir) -> DataFrame:
 
 @query
 def status_updates(spark, sf_dir):
-    return tables.apply_updates(slim(spark, sf_dir), _updates(spark, sf_dir)).select(*reports.LISTED)
+    """Updates applied to the stored table, which is read back."""
+    target = written_table(spark, sf_dir)
+    load.update_stored(spark, target, _updates(spark, sf_dir))
+    return tables.read_orders(spark, target).select(*reports.LISTED)
+
+
+@query
+def status_asof(spark, sf_dir):
+    """E2 for stored orders: the status of each 60 days after it was created, from a history merged in two steps, the later events first."""
+    orders = slim(spark, sf_dir)
+    kept = history.History(spark, f"{run_folder(spark)}/history")
+    created = orders.select("order_id", "status", F.col("created_at").alias("updated_at"))
+    events = created.unionByName(_updates(spark, sf_dir))
+    late = F.col("updated_at") >= F.lit(ASOF).cast("timestamp_ntz")
+    for part in (events.where(late), events.where(~late)):
+        kept.merge(part)
+    asked = orders.select("order_id", (F.col("created_at") + F.make_dt_interval(days=F.lit(60))).alias("asked_at"))
+    return history.asof(asked, kept.read()).select("order_id", "asked_at", "status_then")
 
 
 @query
@@ -614,7 +727,11 @@ def trace_summary(spark, sf_dir):
 
 @query
 def processing_time_percentiles(spark, sf_dir):
-    return logs.processing_time_percentiles(logs.parse(_log_lines(spark, sf_dir)))
+    """L3 from sketches stored per service and day: exact percentiles, and whether the merged sketches are within their error."""
+    records = tables.stage(logs.parse(_log_lines(spark, sf_dir)).select("service", "logged_at", "processing_time_ms"), "records")
+    kept = tables.stage(sketches.quantile_sketches(records, "service", F.to_date("logged_at"), "processing_time_ms"), "sketches")
+    marks = {"median_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+    return sketches.percentile_report(records, kept, "service", "processing_time_ms", marks)
 
 
 # --- generated data -------------------------------------------------------

@@ -7,11 +7,15 @@ costs no more than any other.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybrook.functions.containment import contains_items
+from tallybrook.functions.ids import ORDER_ID_PATTERN
 from tallybrook.functions.times import micros_between
+from tallybrook.schemas import OTHER_MONTH
 
 # columns of a row listing
 LISTED = ["order_id", "customer_id", "total_amount", "status", "created_at"]
@@ -123,6 +127,8 @@ def with_status(orders: DataFrame, status: str) -> DataFrame:
 
 
 def by_id(orders: DataFrame, order_id: str) -> DataFrame:
+    if "order_month" in orders.columns:
+        orders = orders.where(F.col("order_month") == (order_id[4:10] if re.match(ORDER_ID_PATTERN, order_id) else OTHER_MONTH))
     return orders.where(F.col("order_id") == order_id).select(*LISTED).limit(1)
 
 

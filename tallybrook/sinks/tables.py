@@ -1,8 +1,11 @@
 """The stored tables: orders, quarantine and batch counters.
 
-All are Parquet folders partitioned by the batch that wrote them (orders by month
-as well) and written with dynamic partition overwrite, so writing a batch again
-replaces exactly what it wrote before.
+Quarantine and counters are Parquet folders partitioned by the batch that wrote them and written with dynamic partition
+overwrite, so writing a batch again replaces exactly what it wrote before.
+
+Orders lie in a folder for each write, month and batch. A list, replaced as a whole, names the folders that count: batches, updates,
+compaction and retention first write new folders, then switch the list, then delete what it no longer names. A reader sees the table before
+or after such a step, and a job that dies in between loses nothing.
 """
 
 from __future__ import annotations
@@ -16,8 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallybrook.functions.clustering import interleaved, scaled, within_month
 from tallybrook.schemas import ENVELOPE, ORDERS, ORDERS_STORED
 from tallybrook.session import shared_dir
+from tallybrook.sinks.listing import Listing, delete_folder, folders
 
 QUARANTINE = T.StructType(
     [
@@ -60,18 +65,64 @@ class Target:
 
 def create_tables(spark: SparkSession, target: Target) -> None:
     """Create what is not there yet; existing tables stay as they are."""
-    for path, schema, parts in (
-        (target.orders, ORDERS_STORED, ["order_month", "batch_id"]),
-        (target.quarantine, QUARANTINE, ["batch_id"]),
-        (target.counters, COUNTERS, ["batch_id"]),
-    ):
-        empty = spark.createDataFrame([], schema)
-        empty.write.mode("ignore").partitionBy(*parts).parquet(path)
+    for path, schema in ((target.quarantine, QUARANTINE), (target.counters, COUNTERS)):
+        spark.createDataFrame([], schema).write.mode("ignore").partitionBy("batch_id").parquet(path)
+
+
+@dataclass(frozen=True)
+class Part:
+    """A folder of stored orders; ``first`` and ``last`` bound the times of creation in it, where they are known.
+
+    The month is that of the id. An order may be created at another time than its id says, so times have bounds of their own.
+    """
+
+    write: str
+    month: str
+    batch: int
+    first: str | None = None
+    last: str | None = None
+
+    def may_hold(self, start: str | None, end: str | None) -> bool:
+        return (start is None or self.last is None or self.last >= start) and (end is None or self.first is None or self.first <= end)
+
+    def path(self, target: Target) -> str:
+        return f"{target.orders}/write={self.write}/order_month={self.month}/batch_id={self.batch}"
+
+
+def order_parts(spark: SparkSession, target: Target) -> list[Part]:
+    """The folders that count, one for each month and batch."""
+    return [Part(**p) for p in Listing(spark, f"{target.orders}/_lists").read() or []]
+
 
+def switch_parts(spark: SparkSession, target: Target, gone: Callable[[Part], bool], new: list[Part]) -> None:
+    """From now on ``new`` counts instead of the parts that ``gone`` picks; then those are deleted."""
+    listing = Listing(spark, f"{target.orders}/_lists")
+    before = order_parts(spark, target)
+    old = [p for p in before if gone(p)]
+    listing.replace([vars(p) for p in before if p not in old] + [vars(p) for p in new])
+    for part in old:
+        delete_folder(spark, part.path(target))
 
-def read_orders(spark: SparkSession, target: Target) -> DataFrame:
-    """Stored orders; columns that older files lack are null."""
-    return spark.read.schema(ORDERS_STORED).parquet(target.orders)
+
+def sweep_orders(spark: SparkSession, target: Target) -> int:
+    """Delete folders that no list names, which a job left that died; their number. Not while a load is running."""
+    named = {p.path(target) for p in order_parts(spark, target)}
+    left = [f for f in folders(spark, f"{target.orders}/write=*/order_month=*/batch_id=*") if not any(n.endswith(f) for n in named)]
+    for path in left:
+        delete_folder(spark, path)
+    return len(left)
+
+
+def read_orders(spark: SparkSession, target: Target, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Stored orders; columns that older files lack are null.
+
+    With ``start`` and ``end`` (texts like 2025-01-10 or 2025-01-10 14:30:00) folders are left out that hold no order created in between;
+    which of the rest are wanted is the caller's filter.
+    """
+    paths = [p.path(target) for p in order_parts(spark, target) if p.may_hold(start, end)]
+    if not paths:
+        return spark.createDataFrame([], ORDERS_STORED)
+    return spark.read.schema(ORDERS_STORED).option("basePath", target.orders).parquet(*paths).select(*ORDERS_STORED.names)
 
 
 def read_quarantine(spark: SparkSession, target: Target) -> DataFrame:
@@ -87,36 +138,53 @@ def overwrite_partitions(df: DataFrame, path: str, *parts: str, **options: str)
     writer.options(**options).partitionBy(*parts).parquet(path)
 
 
-# Orders are sorted by id, which starts with the day: a range of ids or of days
-# skips row groups by their bounds. Customers are all over the files, so row
-# groups are skipped by a Bloom filter.
-LOOKUP_OPTIONS = {
-    "parquet.bloom.filter.enabled#customer_id": "true",
-    "parquet.bloom.filter.expected.ndv#customer_id": "1000000",
-}
+# Row groups of moderate size, so that their bounds leave out more.
+ORDER_OPTIONS = {"parquet.block.size": str(16 << 20)}
+# Bloom filters are made where files are made for good.
+BLOOM = {"parquet.bloom.filter.enabled#order_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
 
+def customer_number(customer: str = "customer_id"):
+    """The digits at the end of a customer id, as a number; null where there are none."""
+    return F.regexp_extract(customer, r"(\d{1,15})$", 1).try_cast("double")
 
-def write_orders(orders: DataFrame, target: Target) -> None:
-    """Write rows that carry their ``order_month`` and ``batch_id``.
+
+def write_orders(
+    orders: DataFrame, target: Target, largest_customer: float = 1e5, observed=None, bounds: dict[str, tuple] | None = None, **options: str
+) -> list[Part]:
+    """Write rows that carry their ``order_month`` and ``batch_id``; the new folders, which no list names yet.
+
+    bounds: first and last time of creation in a month.
 
     Rebalancing gathers each month into few files and still splits a large
-    month over many tasks.
+    month over many tasks. Rows lie by customer and time of the month in turn (``interleaved``), so bounds of row groups and pages leave out
+    most of a month for a customer as well as for a range of time; an order id begins with its day.
     """
+    write = uuid.uuid4().hex
     gathered = orders.select(*ORDERS_STORED.names).hint("rebalance", F.col("order_month"))
-    sorted_rows = gathered.sortWithinPartitions("order_month", "batch_id", "order_id")
-    overwrite_partitions(sorted_rows, target.orders, "order_month", "batch_id", **LOOKUP_OPTIONS)
-
-
-def stage(df: DataFrame, name: str, *parts: str) -> DataFrame:
+    key = interleaved(scaled(customer_number(), 0, largest_customer), within_month(F.col("created_at")))
+    rows = gathered.withColumn("_near", key).sortWithinPartitions("order_month", "batch_id", "_near", "order_id").drop("_near")
+    if observed is not None:
+        # behind the last shuffle, where no task is counted twice
+        rows = rows.observe(observed, F.count(F.lit(1)).alias("rows"))
+    path = f"{target.orders}/write={write}"
+    rows.write.options(**{**ORDER_OPTIONS, **options}).partitionBy("order_month", "batch_id").parquet(path)
+    made = folders(orders.sparkSession, f"{path}/order_month=*/batch_id=*")
+    named = [[x.split("=", 1)[1] for x in f.rsplit("/", 2)[1:]] for f in made]
+    return [Part(write, month, int(batch), *(bounds or {}).get(month, ())) for month, batch in named]
+
+
+def stage(df: DataFrame, name: str, *parts: str, observed: tuple | None = None) -> DataFrame:
     """Write a table into the shared folder and read it back.
 
     Later steps start from the files, so a lost executor does not set the work
     back to the log. Every run has a folder of its own below the name, so rows of
-    an earlier run cannot come back.
+    an earlier run cannot come back. ``observed``: an observation and the figures that it takes of the rows as they are written.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stages/{name}/{uuid.uuid4().hex}"
-    df.write.partitionBy(*parts).parquet(path)
+    rows = df if observed is None else df.observe(observed[0], *observed[1])
+    rows.write.partitionBy(*parts).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -139,6 +207,15 @@ def unexpired(orders: DataFrame, first_month: str) -> DataFrame:
     return orders.where(F.col("order_month") >= F.lit(first_month))
 
 
+def drop_months(spark: SparkSession, target: Target, first_month: str) -> list[str]:
+    """Retention: months before ``first_month`` go for good; ids without a month stay. The months that went."""
+    old = lambda p: p.month.isdigit() and p.month < first_month
+    gone = sorted({p.month for p in order_parts(spark, target) if old(p)})
+    if gone:
+        switch_parts(spark, target, old, [])
+    return gone
+
+
 def with_retry(
     work: Callable[[], None],
     transient: Callable[[Exception], bool],

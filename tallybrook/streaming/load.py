@@ -12,7 +12,9 @@ from pyspark.sql.streaming.listener import StreamingQueryListener
 from tallybrook.operators.classify import MESSAGE_COLUMNS, classify
 from tallybrook.operators.dedup import first_copies
 from tallybrook.operators.load import batch_number, load_batch
-from tallybrook.sinks.tables import Target, looks_transient, overwrite_partitions, stage, with_retry
+from tallybrook.sinks.listing import folders
+from tallybrook.sinks.runs import Runs
+from tallybrook.sinks.tables import Target, looks_transient, overwrite_partitions, read_counters, stage, with_retry
 
 
 def start_load(
@@ -74,53 +76,77 @@ def first_copies_within(source: DataFrame, delay: str = "1 hour") -> DataFrame:
     return late.dropDuplicatesWithinWatermark(["order_id"]).select(*MESSAGE_COLUMNS)
 
 
-def start_first_copies(source: DataFrame, path: str, checkpoint: str, delay: str = "1 hour", every: str | None = None):
+def seen_keys(spark: SparkSession, path: str, buckets: int) -> Runs:
+    """Ids and times of the orders kept so far: each run is ``buckets`` files by a hash of the id, sorted by id."""
+    shape = "order_id string, timestamp timestamp"
+    return Runs(spark, path, shape, fold=lambda rows: rows, place=lambda rows: rows.repartition(buckets, "order_id").sortWithinPartitions("order_id"))
+
+
+def start_first_copies(source: DataFrame, path: str, checkpoint: str, delay: str = "1 hour", every: str | None = None, buckets: int = 8):
     """Store a log stream without copies that lie within ``delay`` of one kept before; no order is lost.
 
-    Nothing is held in memory and no watermark drops late rows: each batch asks the
-    table it writes, and only in the hours that lie within ``delay`` of its own rows.
-    Copies within a batch are combined before the shuffle, so one id may fill the log.
-    Of copies in different batches the one read first is kept.
+    Nothing is held in memory and no watermark drops late rows. Each batch asks a table of the keys kept before (``seen_keys``): only its runs
+    whose times come within ``delay`` of the batch's own are opened, and of these only the row groups with ids of the batch's range.
+    Finished runs are folded in levels. Copies within a batch are combined before the shuffle, so one id may fill the log.
+    Of copies in different batches the one read first is kept. A batch leaves at most ``buckets`` files.
     """
     columns = list(dict.fromkeys([*MESSAGE_COLUMNS, "timestamp"]))
-    folder = ["hour", "batch_id"]
+    seen = seen_keys(source.sparkSession, f"{path}/_seen", buckets)
 
     def store(batch: DataFrame, batch_id: int) -> None:
         number = batch_number(batch_id, checkpoint.rstrip("/"))
+        # batches before this one are committed and never come again
+        seen.fold_up(number)
         fit = first_copies(classify(batch).where("reason is null")).select(*columns)
         hour = F.floor(F.unix_seconds("timestamp") / 3600).cast("bigint")
-        placed = fit.withColumn("hour", hour).withColumn("batch_id", F.lit(number).cast("bigint"))
-        spark = placed.sparkSession
-        spark.createDataFrame([], placed.schema).write.mode("ignore").partitionBy(*folder).parquet(path)
-        fresh = stage(placed, hashlib.md5(path.encode()).hexdigest())
-        ends = [F.expr(f"floor(unix_seconds({end}(timestamp) {sign} interval {delay}) / 3600)") for end, sign in (("min", "-"), ("max", "+"))]
-        lo, hi = fresh.agg(*ends).first()
-        earlier = spark.read.schema(placed.schema).parquet(path).where((F.col("batch_id") != number) & F.col("hour").between(F.lit(lo), F.lit(hi)))
-        seen = earlier.select("order_id", F.col("timestamp").alias("seen_at"))
-        span = F.expr(f"interval {delay}")
-        near_by = F.col("seen_at").between(F.col("timestamp") - span, F.col("timestamp") + span)
-        kept = fresh.join(seen, (fresh["order_id"] == seen["order_id"]) & near_by, "left_anti")
-        overwrite_partitions(kept, path, *folder)
+        fresh = stage(fit.withColumn("hour", hour).withColumn("batch_id", F.lit(number).cast("bigint")), hashlib.md5(path.encode()).hexdigest())
+        times = [F.unix_micros(end("timestamp")) for end in (F.min, F.max)]
+        reach = F.expr(f"unix_micros(timestamp_micros(0) + interval {delay})")
+        first, last, span, lo, hi = fresh.agg(*times, F.max(reach), F.min("order_id"), F.max("order_id")).first()
+        if first is None:
+            return
+        near = [p for p in seen.parts() if not p["first"] == number == p["last"] and p["bounds"][0] <= last + span and p["bounds"][1] >= first - span]
+        earlier = seen.read(near).where(F.col("order_id").between(lo, hi) & F.unix_micros("timestamp").between(first - span, last + span))
+        earlier = earlier.select("order_id", F.col("timestamp").alias("seen_at"))
+        near_by = F.col("seen_at").between(F.col("timestamp") - F.expr(f"interval {delay}"), F.col("timestamp") + F.expr(f"interval {delay}"))
+        kept = fresh.join(earlier, (fresh["order_id"] == earlier["order_id"]) & near_by, "left_anti")
+        overwrite_partitions(kept.repartition(buckets, "order_id").sortWithinPartitions("batch_id", "order_id"), path, "batch_id")
+        if not folders(batch.sparkSession, f"{path}/batch_id={number}"):
+            return  # all of them were copies
+        written = batch.sparkSession.read.schema(fresh.schema).option("basePath", path).parquet(f"{path}/batch_id={number}")
+        seen.add(written.select("order_id", "timestamp"), number, lambda rows: [first, last])
 
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     writer = source.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start()
 
 
+def total_changes(spark: SparkSession, path: str) -> Runs:
+    """Totals of the customers that a batch changed, one run for each batch; folding keeps the last total of a customer."""
+
+    def last(rows: DataFrame) -> DataFrame:
+        newest = F.max_by(F.struct("orders", "total_spent", "batch_id"), "batch_id").alias("last")
+        return rows.groupBy("customer_id").agg(newest).select("customer_id", "last.*")
+
+    shape = "customer_id string, orders bigint, total_spent decimal(38,2), batch_id bigint"
+    return Runs(spark, path, shape, fold=last, place=lambda rows: rows.hint("rebalance", "customer_id").sortWithinPartitions("customer_id"))
+
+
 def start_totals(stored: DataFrame, path: str, checkpoint: str, every: str | None = None):
     """Running orders and revenue per customer, from a stream of stored orders.
 
-    Each batch appends the customers it changed; ``latest_totals`` reads them.
+    Each batch adds the customers it changed; ``latest_totals`` reads them. Older batches are folded in levels, so it
+    opens as many runs as the logarithm of the batches says, however long the stream has been running.
     """
     totals = stored.groupBy("customer_id").agg(
         F.count("*").alias("orders"),
         F.sum("total_amount").cast("decimal(38,2)").alias("total_spent"),
     )
+    changes = total_changes(stored.sparkSession, path)
 
     def append(changed: DataFrame, batch_id: int) -> None:
-        numbered = changed.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        writer = numbered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("batch_id").parquet(path)
+        changes.fold_up(batch_id)
+        changes.add(changed.withColumn("batch_id", F.lit(batch_id).cast("bigint")), batch_id)
 
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     writer = totals.writeStream.outputMode("update").foreachBatch(append)
@@ -128,10 +154,16 @@ def start_totals(stored: DataFrame, path: str, checkpoint: str, every: str | Non
 
 
 def latest_totals(spark: SparkSession, path: str) -> DataFrame:
-    shape = "customer_id string, orders bigint, total_spent decimal(38,2), batch_id bigint"
-    changes = spark.read.schema(shape).parquet(path)
-    last = F.max_by(F.struct("orders", "total_spent"), "batch_id").alias("last")
-    return changes.groupBy("customer_id").agg(last).select("customer_id", "last.*")
+    changes = total_changes(spark, path)
+    return changes.fold(changes.read()).drop("batch_id")
+
+
+def live_outcomes(spark: SparkSession, target: Target) -> DataFrame:
+    """Messages per outcome and reason of everything a target has taken in, while its stream may be running.
+
+    A batch's figures are observed as it is written and are in the table when it is complete; nothing is kept in the driver.
+    """
+    return read_counters(spark, target).groupBy("outcome", "reason").agg(F.sum("messages").alias("messages"))
 
 
 class Progress(StreamingQueryListener):
