@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import exclusive_sum, groups, mixed, shuffle_width, stage
+from tallybrook.llm.common import exclusive_sum, give_back, groups, mixed, shuffle_width, stage
 from tallybrook.llm.distinct import pack, pack_planes, unpack, unpack_planes
 
 WORDS, LEAST, TOP = 3, 10, 2000
@@ -212,6 +212,9 @@ def _added_up(size: int, least: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
                 grams = pc.binary_join_element_wise(*[words.take(pa.array(c)) for c in numbers[chosen].T], " ")
                 size_of = pa.array(np.full(len(chosen), numbers.shape[1], np.int32))
                 yield pa.RecordBatch.from_arrays([langs.take(pa.array(numbers[chosen][:, 0])), size_of, grams, pa.array(counts[chosen]), pa.array(parts[chosen])], schema=_COUNTS_ARROW)
+        number.clear()
+        held.clear()
+        give_back()
 
     return run
 

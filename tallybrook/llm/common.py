@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -17,13 +19,26 @@ from tallybrook.session import shared_dir
 GROUP_BYTES = 4 << 20
 
 
+#: Bytes of a batch of rows on its way to or from a Python worker, where the session names none.
+BATCH_BYTES = 16 << 20
+
+
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Ten thousand long texts, Spark's usual batch, would take much of a worker's memory."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def run_folder(spark: SparkSession) -> str:
     """A fresh folder below the shared one, so that no run sees another's files."""
-    return f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
+    return f"{shared_dir(bounded_batches(spark))}/llm-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, compression: str = "zstd") -> DataFrame:
@@ -77,7 +92,10 @@ def texts_of(column: pa.Array) -> list[bytes]:
 
 
 def groups(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = GROUP_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Cut batches into runs of rows with about ``limit`` bytes of text. Only the run at hand is turned into Python objects."""
+    """Cut batches into runs of rows with about ``limit`` bytes of text. Only the run at hand is turned into Python objects.
+
+    Workers are used again by other tasks, so what this one has freed goes back to the system at its end.
+    """
     for batch in batches:
         column = batch.column(text)
         start = size = 0
@@ -88,10 +106,23 @@ def groups(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = G
             size += n
         if start < batch.num_rows:
             yield batch.slice(start), texts_of(column.slice(start))
+        del batch, column
+    give_back()
+
+
+def give_back() -> None:
+    """Free memory of a Python worker to the system, as far as it lets itself be freed."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
 
 
 def carried(docs: DataFrame, text_col: str, keep: list[str]) -> tuple[DataFrame, list[str]]:
     """The text as ``text`` with the columns to keep, and their names there; a text that is kept itself goes to the workers once."""
+    bounded_batches(docs.sparkSession)
     names = ["text" if c == text_col else f"k{i}" for i, c in enumerate(keep)]
     return docs.select(docs[text_col].alias("text"), *[docs[c].alias(n) for c, n in zip(keep, names) if n != "text"]), names
 

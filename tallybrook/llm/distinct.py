@@ -22,7 +22,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tallybrook.llm.common import exclusive_sum, gather, groups, shuffle_width, stage_bucketed
+from tallybrook.llm.common import exclusive_sum, gather, give_back, groups, shuffle_width, stage_bucketed
 
 STAGED = "block long, bucket int, ids array<long>, counts binary, body binary"
 _STAGED = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("ids", pa.list_(pa.int64())), ("counts", pa.binary()), ("body", pa.binary())])
@@ -94,6 +94,8 @@ def _answers(make: Callable[[], Callable[[bytes], list[int]]]) -> Callable[[Iter
                     out.append(got)
                 sizes = np.fromiter(map(len, out), np.uint32, len(out))
                 yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((block, bucket, pack(sizes), pack(np.concatenate(out))), _ANSWER_ARROW)], schema=_ANSWER_ARROW)
+        known.clear()
+        give_back()
 
     return run
 
