@@ -153,6 +153,34 @@ z as (select y.*, row_number() over (partition by lang order by score desc, a de
 select lang, rank, g as phrase, a, l, r, n, score from z join n using (lang) where rank <= 2000
 """
 
+_REPETITION = r"""
+with d as (select doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
+l as (select doc_id, sum(c - 1) n, sum((c - 1) * length(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'))) chars
+  from (select doc_id, line, count(*) c from (select doc_id, unnest(string_split(t, chr(10))) line from d) where regexp_matches(line, '[^\x20\x09-\x0D]') group by all) group by doc_id),
+g as (select doc_id, k, i, array_to_string(w[i : i + k - 1], ' ') g from (select doc_id, w, k, unnest(range(1, len(w) - k + 2)) i from d, (values (5), (8), (10)) t(k) where len(w) >= k)),
+r as (select doc_id, k, i from g qualify count(*) over (partition by doc_id, k, g) > 1),
+c as (select doc_id, k, count(*) words, sum(length(w[j])) chars from (select distinct doc_id, k, unnest(range(i, i + k)) j from r) join d using (doc_id) group by doc_id, k),
+f as (select d.doc_id, len(w)::bigint n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint word_chars,
+  (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint n_symbols, coalesce(l.n, 0)::bigint n_dup_lines, coalesce(l.chars, 0)::bigint dup_line_chars,
+  coalesce(c5.words, 0)::bigint n_repeat_words, coalesce(c5.chars, 0)::bigint repeat_chars_5, coalesce(c8.chars, 0)::bigint repeat_chars_8, coalesce(c10.chars, 0)::bigint repeat_chars_10
+  from d left join l using (doc_id) left join c c5 on c5.doc_id = d.doc_id and c5.k = 5 left join c c8 on c8.doc_id = d.doc_id and c8.k = 8 left join c c10 on c10.doc_id = d.doc_id and c10.k = 10)
+select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+  not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and not (dup_line_chars > 0.3::double * word_chars or repeat_chars_5 > 0.25::double * word_chars
+    or repeat_chars_8 > 0.2::double * word_chars or repeat_chars_10 > 0.15::double * word_chars) as kept
+from f
+"""
+
+_JACCARD = r"""
+with recursive d as materialized (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+s as materialized (select distinct doc_id, array_to_string(w[i : i + 3], ' ') g from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) i from d where len(w) > 0)),
+n as materialized (select doc_id, count(*) n from s group by doc_id),
+p as (select a.doc_id x, b.doc_id y, count(*) c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by all),
+e as materialized (select x, y from p join n a on a.doc_id = x join n b on b.doc_id = y where 100 * c >= 85 * (a.n + b.n - c)),
+z as materialized (select x, y from e union all select y, x from e),
+r(x, y) as (select doc_id, doc_id from documents union select r.x, z.y from r join z on r.y = z.x)
+select m.doc_id, coalesce(n.n, 0)::bigint n_shingles, m.component_id from (select x doc_id, min(y) component_id from r group by x) m left join n using (doc_id)
+"""
+
 _FILL_MIDDLE = r"""
 with d as (select doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\x0A]*\x0A|[^\x0A]+') u, sha256('7:' || coalesce(doc_id::varchar, '')) h from documents),
 c as (select *, len(u) n, ('0x' || substr(h, 1, 8))::bigint % (len(u) + 1) x, ('0x' || substr(h, 9, 8))::bigint % (len(u) + 1) y,
@@ -165,6 +193,6 @@ select doc_id, n::bigint n, form, case when form <> 'plain' then length(pre) end
 from p
 """
 
-ORACLES = {"op11_collocations": _COLLOCATIONS, "op13_fill_middle": _FILL_MIDDLE, "op2_warc": _WARC, "op7_url_filter": _URL, "op9_decontaminate": _DECONTAMINATE}
+ORACLES = {"op5_repetition": _REPETITION, "op6_jaccard": _JACCARD, "op11_collocations": _COLLOCATIONS, "op13_fill_middle": _FILL_MIDDLE, "op2_warc": _WARC, "op7_url_filter": _URL, "op9_decontaminate": _DECONTAMINATE}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

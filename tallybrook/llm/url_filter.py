@@ -13,7 +13,8 @@ as there are rules. A cascade answers only for keys it was built over.
 
 Cases: a null url, or one without "://", has an empty host and path and no rule; an empty rule list
 gives every url the default verdict; of two fitting rules the longer key wins, and block wins over allow for the same key;
-rows are never joined or grouped, so repeated rows, null ids and extra columns stay as they are.
+rows are never joined or grouped, so repeated rows, null ids and extra columns stay as they are; columns named host, path, rule or verdict are
+replaced by the results.
 """
 
 from __future__ import annotations
@@ -113,16 +114,19 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url_col: s
     """Add host, path, rule and verdict to the rows. ``rules`` has verdict, host and path; its cascades, some 30 bits a rule, are held by every task."""
     shape = rules.select("verdict", F.concat("host", "path").alias("key"), F.length("path").alias("n"))
     lengths = sorted(r[0] for r in shape.select("n").distinct().collect() if r[0] is not None)  # bounded by the longest path
+    # other columns go along under names of their own, so that none can clash
     extra = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict")]
-    parsed = pages.select(*[pages[c] for c in extra], host_of(pages[url_col]).alias("host"), path_of(pages[url_col]).alias("path"))
+    names = [f"c{i}" for i in range(len(extra))]
+    parsed = pages.select(*[pages[c].alias(n) for c, n in zip(extra, names)], host_of(pages[url_col]).alias("host"), path_of(pages[url_col]).alias("path"))
     if not lengths:
-        return parsed.select("*", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
-    keyed = parsed.select("*", keys_of(F.col("host"), F.col("path"), lengths).alias("_keys"))
-    universe = keyed.select(F.explode("_keys").alias("key"))
+        return parsed.select("*", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict")).toDF(*extra, "host", "path", "rule", "verdict")
+    keyed = parsed.select("*", keys_of(F.col("host"), F.col("path"), lengths).alias("keys"))
+    universe = keyed.select(F.explode("keys").alias("key"))
     size = universe.agg(F.approx_count_distinct("key")).first()[0]
     marks = []
     for verdict in ("allow", "block"):
         cascade = build(shape.filter(F.col("verdict") == verdict).select("key"), universe, size)
-        marks.append(_longest(F.filter("_keys", cascade.holds), verdict))
-    best = keyed.select("*", F.array_max(F.array(*marks)).alias("_best"))
-    return best.select(*extra, "host", "path", F.col("_best.key").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
+        marks.append(_longest(F.filter("keys", cascade.holds), verdict))
+    best = keyed.select("*", F.array_max(F.array(*marks)).alias("best"))
+    out = best.select(*names, "host", "path", F.col("best.key").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+    return out.toDF(*extra, "host", "path", "rule", "verdict")
