@@ -8,10 +8,12 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import PandasUDFType
 
 from tallybrook.session import shared_dir
 
@@ -72,6 +74,40 @@ def lowest_hashes(known: DataFrame, group: str, hash_col: str, rows: int) -> Dat
     return ranked.filter(F.col("_n") <= rows).select(group, hash_col)
 
 
+#: Bits for each wanted key, and the most bits that a table of them has (32 MB).
+KEY_BITS, MOST_BITS = 16, 1 << 28
+
+
+def likely_among(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows whose long ``column`` is in ``keys`` (distinct, one column), and a few more: for a join that would else shuffle all rows.
+
+    Every task holds a table of bits, one of which is set for each key. It has ``KEY_BITS`` bits a key and ``MOST_BITS`` at most; with many more keys it
+    lets more rows pass, and at last all. The bits are put together by the tasks; the driver gets the finished table.
+    """
+    spark = rows.sparkSession
+    bits = 1 << 15
+    wanted = keys.count()
+    while bits < min(MOST_BITS, KEY_BITS * wanted):
+        bits *= 2
+    place = lambda c: F.xxhash64(c).bitwiseAND(F.lit(bits - 1))
+    name = keys.columns[0]
+    at = place(F.col(name)) + 1
+    parts = keys.groupBy(F.bitmap_bucket_number(at).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect()
+    whole = np.zeros((bits >> 15, 4096), np.uint8)
+    for part, own in parts:
+        whole[part - 1] = np.frombuffer(own, np.uint8)
+    shared = spark.sparkContext.broadcast(whole.ravel())
+
+    def held(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        table_ = shared.value
+        for p in batches:
+            v = p.to_numpy()
+            yield pd.Series(((table_[v >> 3] >> (v & 7).astype(np.uint8)) & 1).astype(bool))
+
+    # a null key is in no table
+    return rows.filter(F.col(column).isNotNull()).filter(F.pandas_udf(held, "boolean", PandasUDFType.SCALAR_ITER)(place(F.col(column))))
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import exclusive_sum, groups, mixed, shuffle_width, stage
+from tallybrook.llm.common import exclusive_sum, groups, likely_among, mixed, shuffle_width, stage
 from tallybrook.llm.components import components
 
 WORDS = 4
@@ -333,7 +333,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, pe
     near = near & _may_link([f"x{c}" for c in SKETCH], [f"y{c}" for c in SKETCH], "x", "y", percent)
     wanted = stage(sized.filter(near).select("u", "v"))
     ids = wanted.select(F.col("u").alias("id")).unionAll(wanted.select(F.col("v").alias("id"))).distinct()
-    used = texts.join(ids, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
+    used = likely_among(texts, "id", ids).join(ids, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
     used = stage(used)
     full = wanted.join(used.withColumnRenamed("id", "u").withColumnRenamed("text", "left"), "u")
     full = full.join(used.withColumnRenamed("id", "v").withColumnRenamed("text", "right"), "v").select("u", "v", "left", "right")
@@ -351,7 +351,8 @@ def _by_rare_shingles(sets: DataFrame, texts: DataFrame, n: int, percent: int) -
             flat = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(at)), pa.array(flat)], names=["node", "shingle"])
 
-    used = texts.join(sets.select(F.col("rep").alias("id"), "node"), "id").groupBy("id", "node").agg(F.first("text").alias("text"))
+    named = sets.select(F.col("rep").alias("id"), "node")
+    used = likely_among(texts, "id", named.select("id")).join(named, "id").groupBy("id", "node").agg(F.first("text").alias("text"))
     held = stage(used.select("node", "text").mapInArrow(run, "node long, shingle long"))
     common = held.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
     # a shingle of one set makes no pair, but takes a place among the rarest

@@ -71,3 +71,16 @@ def test_groups_turn_no_more_than_a_run_of_rows_into_objects(spark):
     assert [b.column("doc_id").to_pylist() for b, _ in runs] == [[0, 1, 2], [3], [4, 5]]
     assert [len(t) for _, ts in runs for t in ts] == [10, 0, 5, 100, 7, 0]
     assert np.all([b.num_rows == len(t) for b, t in runs])
+
+
+@pytest.mark.parametrize("most", [1 << 28, 1 << 15])
+def test_likely_rows_hold_all_wanted_ones(spark, monkeypatch, most):
+    from tallybrook.llm import common
+
+    monkeypatch.setattr(common, "MOST_BITS", most)
+    rows = spark.range(-50_000, 50_000).select("id", F.lit("t").alias("text")).unionAll(spark.createDataFrame([(None, "t")], "id long, text string"))
+    keys = spark.range(-20_000, 20_000, 7).select("id")
+    found = common.likely_among(rows, "id", keys)
+    assert found.join(keys, "id", "left_semi").count() == keys.count()
+    assert found.count() < (keys.count() * 2.5 if most > 1 << 15 else 100_000)
+    assert common.likely_among(rows, "id", keys.limit(0)).count() == 0
