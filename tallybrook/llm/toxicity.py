@@ -1,16 +1,17 @@
 """Toxicity by a weighted finite-state grammar (operator 8).
 
 Words are mapped to classes: insults and threats (learned from labelled texts, as whole words and as stems, each with a weight: the log
-odds of its documents), and targets, negations and reporting verbs (closed classes, listed below). Four small
-transducers read a clause word by word:
+odds of its documents; a learned word that mostly follows a modal verb is a threat), and closed classes, listed below: verbs of harm, targets, negations before
+and after a word, reporting verbs, subjects, modal verbs and first-person modals. A clause is read by two transducers, each composed once, by the
+product of its parts' reachable states:
 
-- the pattern transducer turns an insult or threat into a match;
-- the target transducer marks matches in clauses that name somebody;
-- the negation transducer marks matches within three words after a negation;
-- the reporting transducer marks matches after a reporting verb in the clause.
+- from left to right, the pattern transducer turns an insult into a match, and a verb of harm into a threat if a subject and a modal verb (or a first-person modal) stand before it in the
+  clause, else into mere harm; the target transducer marks what follows a target, the negation transducer the three words after a negation, the reporting transducer what
+  follows a reporting verb;
+- from right to left, the same is marked for what stands before a target, within three words before a following negation, or before a reporting verb.
 
-They are composed into one transducer, once, by the product of their reachable states; its output for each word is the match's kind. A
-text's score is a logistic function of the weights of its matches, summed by kind; the kinds' weights are learned as well, so that a
+The marks of both are put together: a match is a kind (insult, threat, harm) that is aimed or not, negated or not, reported or not. A
+text's score is a logistic function of the weights of its matches, summed by kind and marks; these kinds' weights are learned as well, so that a
 negated or reported insult counts for what the labels say, not as an isolated word.
 
 The model is fitted on the driver on a bounded sample of labelled rows: ``SAMPLE_ROWS`` for each label, by a hash
@@ -40,13 +41,17 @@ SAMPLE_CHARS = 20_000
 STEMS = (4, 5, 6)
 KEPT_WORDS = 300_000
 
-OTHER, END, INSULT, THREAT, TARGET, NEGATION, REPORT = range(7)
+OTHER, END, INSULT, THREAT, TARGET, NEGATION, AFTER, REPORT, SUBJECT, MODAL, PLEDGE = SYMBOLS = range(11)
 # Closed word classes in the four languages of the corpus.
 CLOSED = {
     TARGET: "you your yours he him she her they them these those people du dich dir ihr euch sie ihn tu te toi vous il elle ils elles tú usted ustedes él ella ellos ellas",
-    NEGATION: "not no never nobody neither nor cannot nicht kein keine keinen nie niemals ne pas jamais aucun aucune nunca jamás ningún ninguna",
+    NEGATION: "not no never nobody neither nor cannot kein keine keinen niemals ne aucun aucune nunca ningún ninguna",
+    AFTER: "nicht nie pas jamais jamás",
     REPORT: "said says say told called calls wrote writes claimed quoted sagte sagt schrieb nannte dit disait écrit appelé dijo dice escribió llamó",
     THREAT: "kill hurt destroy beat attack burn shoot töten schlagen vernichten tuer frapper détruire matar golpear destruir",
+    SUBJECT: "i we someone somebody ich wir jemand man je nous on yo nosotros alguien",
+    MODAL: "will shall must should going wird werden soll sollte muss va allons devons debe vamos debemos",
+    PLEDGE: "gonna werde vais voy",
 }
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
 _END = re.compile(r"[.!?;:\n]")
@@ -65,7 +70,7 @@ class Transducer:
         while at < len(order):
             a, b = order[at]
             row = {}
-            for symbol in range(7):
+            for symbol in SYMBOLS:
                 (x, m), (y, n) = self.moves[a][symbol], other.moves[b][symbol]
                 if (x, y) not in pairs:
                     pairs[x, y] = len(pairs)
@@ -75,36 +80,64 @@ class Transducer:
             at += 1
         return Transducer(moves)
 
+    def read(self, symbols: list[int]) -> list[tuple[str, ...]]:
+        """The marks put on each symbol."""
+        state, out = 0, []
+        for symbol in symbols:
+            state, marks = self.moves[state][symbol]
+            out.append(marks)
+        return out
+
 
 def _machine(states: int, move: Callable[[int, int], tuple[int, tuple[str, ...]]]) -> Transducer:
-    return Transducer([{symbol: move(state, symbol) for symbol in range(7)} for state in range(states)])
+    return Transducer([{symbol: move(state, symbol) for symbol in SYMBOLS} for state in range(states)])
 
 
 def _patterns(state: int, symbol: int) -> tuple[int, tuple[str, ...]]:
-    return 0, ("insult",) if symbol == INSULT else ("threat",) if symbol == THREAT else ()
+    """State 1: a subject was read; 2: a modal verb behind it."""
+    if symbol == INSULT:
+        return state, ("insult",)
+    if symbol == THREAT:
+        return state, ("threat" if state == 2 else "harm",)
+    after = {END: 0, SUBJECT: max(state, 1), MODAL: 2 if state else 0, PLEDGE: 2}.get(symbol, state)
+    return after, ()
+
+
+def _following(kind: int, mark: str) -> Transducer:
+    """Marks matches behind a word of the class, to the clause's end."""
+
+    def move(state: int, symbol: int) -> tuple[int, tuple[str, ...]]:
+        after = 0 if symbol == END else 1 if symbol == kind else state
+        return after, (mark,) if state and symbol in (INSULT, THREAT) else ()
 
+    return _machine(2, move)
 
-def _targets(state: int, symbol: int) -> tuple[int, tuple[str, ...]]:
-    after = 0 if symbol == END else 1 if symbol == TARGET else state
-    return after, ("aimed",) if state and symbol in (INSULT, THREAT) else ()
 
+def _negating(kinds_: tuple[int, ...]) -> Transducer:
+    """Marks matches within three words behind a negation."""
 
-def _negations(state: int, symbol: int) -> tuple[int, tuple[str, ...]]:
-    after = 0 if symbol == END else 3 if symbol == NEGATION else max(0, state - 1)
-    return after, ("negated",) if state and symbol in (INSULT, THREAT) else ()
+    def move(state: int, symbol: int) -> tuple[int, tuple[str, ...]]:
+        after = 0 if symbol == END else 3 if symbol in kinds_ else max(0, state - 1)
+        return after, ("negated",) if state and symbol in (INSULT, THREAT) else ()
 
+    return _machine(4, move)
 
-def _reports(state: int, symbol: int) -> tuple[int, tuple[str, ...]]:
-    after = 0 if symbol == END else 1 if symbol == REPORT else state
-    return after, ("reported",) if state and symbol in (INSULT, THREAT) else ()
 
+def forward_grammar() -> Transducer:
+    return _machine(3, _patterns).compose(_following(TARGET, "aimed")).compose(_negating((NEGATION, AFTER))).compose(_following(REPORT, "reported"))
 
-def grammar() -> Transducer:
-    return _machine(1, _patterns).compose(_machine(2, _targets)).compose(_machine(4, _negations)).compose(_machine(2, _reports))
+
+def backward_grammar() -> Transducer:
+    """Reads a clause from its end: what stands before a target, a following negation or a reporting verb."""
+    return _following(TARGET, "aimed").compose(_negating((AFTER,))).compose(_following(REPORT, "reported"))
+
+
+BASES, MARKS = ("insult", "threat", "harm"), ("aimed", "negated", "reported")
 
 
 def kinds() -> list[tuple[str, ...]]:
-    return sorted({marks for row in grammar().moves for _, marks in row.values() if marks})
+    """Every kind of match: what it is, and what is marked on it."""
+    return [(base, *(m for i, m in enumerate(MARKS) if n >> i & 1)) for base in BASES for n in range(1 << len(MARKS))]
 
 
 @dataclass
@@ -113,12 +146,13 @@ class Model:
     stems: dict[str, float]
     weights: np.ndarray = field(default_factory=lambda: np.zeros(len(kinds())))
     bias: float = 0.0
+    threats: set[str] = field(default_factory=set)
     closed: dict[str, int] = field(default_factory=lambda: {w: k for k, text in CLOSED.items() for w in text.split()})
 
     def entry(self, word: str) -> tuple[int, float]:
-        """Class and weight of a word. A threat verb has the weight that was learned for it, else 1."""
+        """Class and weight of a word. A threat verb has the weight that was learned for it, at least 1."""
         own = max([self.words.get(word, 0.0), *(self.stems.get(word[:n], 0.0) for n in STEMS if len(word) >= n)])
-        kind = self.closed.get(word, OTHER)
+        kind = self.closed.get(word, THREAT if word in self.threats else OTHER)
         if kind == THREAT:
             return THREAT, max(own, 1.0)
         if kind != OTHER:
@@ -127,37 +161,43 @@ class Model:
 
 
 class Reader:
-    """Runs the composed transducer over texts, and remembers the words it has met."""
+    """Runs both transducers over the clauses of texts, and remembers the words it has met."""
 
     def __init__(self, model: Model):
-        self.model, self.moves = model, grammar().moves
+        self.model, self.forward, self.backward = model, forward_grammar(), backward_grammar()
         self.kinds = {k: i for i, k in enumerate(kinds())}
-        self.known: dict[str, tuple[int, float] | None] = {}
+        self.known: dict[str, tuple[int, float]] = {}
 
-    def matches(self, text: str) -> np.ndarray:
-        """Weights of the text's matches, summed by kind."""
-        out = np.zeros(len(self.kinds))
+    def clauses(self, text: str) -> Iterator[list[tuple[int, float]]]:
+        """Classes and weights of the words of each clause with a word that could match."""
         tokens = _TOKEN.findall(text.lower())
         known = self.known
         if len(known) > KEPT_WORDS:
             known.clear()
         for w in set(tokens).difference(known):
-            entry = self.model.entry(w)
-            known[w] = None if entry[0] == OTHER else entry
+            known[w] = self.model.entry(w)
         entries = list(map(known.__getitem__, tokens))
-        if not any(e is not None and e[1] for e in entries):
-            return out  # no word that could match
-        state, quiet = 0, 0
-        for e in entries:
-            if e is None:
-                quiet += 1
+        places = [i for i, e in enumerate(entries) if e[1]]
+        done = -1
+        for i in places:
+            if i < done:
                 continue
-            for _ in range(min(quiet, 3)):  # other words only run down the negation's reach of three
-                state = self.moves[state][OTHER][0]
-            quiet = 0
-            state, marks = self.moves[state][e[0]]
-            if marks:
-                out[self.kinds[marks]] += e[1]
+            start, done = i, i
+            while start and entries[start - 1][0] != END:
+                start -= 1
+            while done < len(entries) and entries[done][0] != END:
+                done += 1
+            yield entries[start:done]
+
+    def matches(self, text: str) -> np.ndarray:
+        """Weights of the text's matches, summed by kind."""
+        out = np.zeros(len(self.kinds))
+        for clause in self.clauses(text):
+            symbols = [kind for kind, _ in clause]
+            behind = self.backward.read(symbols[::-1])[::-1]
+            for (_, weight), left, right in zip(clause, self.forward.read(symbols), behind):
+                if left:
+                    out[self.kinds[left[0], *(m for m in MARKS if m in left or m in right)]] += weight
         return out
 
     def score(self, text: str) -> float:
@@ -165,6 +205,23 @@ class Reader:
         return float(1 / (1 + np.exp(-x)))
 
 
+def _after_modals(rows: list[tuple[str, int]], words: dict[str, float], closed: dict[str, int]) -> set[str]:
+    """Of the words those that stand within three words behind a modal verb in half of their places or more, in toxic texts."""
+    places, behind = Counter(), Counter()
+    for text, label in rows:
+        if label:
+            tokens, last = _TOKEN.findall(text.lower()), -9
+            for i, w in enumerate(tokens):
+                if closed.get(w) in (MODAL, PLEDGE):
+                    last = i
+                elif _END.fullmatch(w):
+                    last = -9
+                elif w in words:
+                    places[w] += 1
+                    behind[w] += i - last <= 3
+    return {w for w, n in places.items() if 2 * behind[w] >= n}
+
+
 def _distinct_texts(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
     """One of each group of near copies, by four minima of word hashes: else a copied text's words would look like a pattern."""
     seen: set[tuple[int, ...]] = set()
@@ -196,7 +253,8 @@ def fit(rows: list[tuple[str, int]]) -> Model | None:
         return {w: float(x) for w, x in odds.items() if x >= 2.5}
 
     closed = Model({}, {}).closed
-    model = Model({w: x for w, x in chosen(words).items() if closed.get(w, THREAT) == THREAT}, chosen(stems))
+    learned = {w: x for w, x in chosen(words).items() if closed.get(w, THREAT) == THREAT}
+    model = Model(learned, chosen(stems), threats=_after_modals(rows, learned, closed))
     reader = Reader(model)
     x = np.log1p(np.array([reader.matches(text) for text, _ in rows]))
     y = np.array([label for _, label in rows], float)

@@ -224,7 +224,44 @@ def test_grammar_marks_clauses():
     assert marks("You are not a moron") == {("insult", "aimed", "negated")}
     assert marks("not at all about a moron") == {("insult",)}
     assert marks("She said moron. moron") == {("insult", "aimed", "reported"), ("insult",)}
-    assert marks("I will kill you") == {("threat",)}
+    assert marks("I will kill you") == {("threat", "aimed")}
+    assert marks("moron, that is what you are") == {("insult", "aimed")}
+    assert marks("Kill the process") == marks("this will beat the cake batter") == {("harm",)}
+    assert marks("Moron, she said") == {("insult", "aimed", "reported")}
+
+
+@pytest.mark.parametrize(
+    "text, kind",
+    [
+        ("We are going to destroy them all", ("threat", "aimed")),
+        ("I will never hurt you", ("threat", "aimed", "negated")),
+        ("He said that someone should burn you", ("threat", "aimed", "reported")),
+        ("Ich werde dich töten", ("threat", "aimed")),
+        ("Wir werden euch nicht schlagen", ("threat", "aimed", "negated")),
+        ("Ich töten nicht", ("harm", "negated")),
+        ("Je vais te frapper", ("threat", "aimed")),
+        ("Je vais détruire jamais ce mur", ("threat", "negated")),
+        ("Il dit : nous devons tuer le temps", ("threat",)),
+        ("Voy a matar a ustedes", ("threat", "aimed")),
+        ("Nunca golpear", ("harm", "negated")),
+        ("du bist ein moron", ("insult", "aimed")),
+        ("vous n'êtes pas un moron", ("insult", "aimed", "negated")),
+        ("not far from here lives a moron", ("insult",)),
+        ("You know the way. A moron does not", ("insult",)),
+    ],
+)
+def test_clauses_in_four_languages(text, kind):
+    kinds = toxicity.kinds()
+    assert [kinds[i] for i in np.flatnonzero(toxicity.Reader(toxicity.Model({"moron": 2.0}, {})).matches(text))] == [kind]
+
+
+def test_words_behind_modals_are_learned_as_threats():
+    odd = lambda n: " ".join(f"{a}{chr(97 + n % 26)}{chr(97 + n // 26)}" for a in ("bo", "ka", "ri", "tu"))
+    rows = [(f"I will squash you, {odd(n)} you blockhead", 1) for n in range(60)] + [(f"the weather will stay fine {odd(n)}", 0) for n in range(60)]
+    model = toxicity.fit(rows)
+    assert "squash" in model.threats and "blockhead" not in model.threats and "blockhead" in model.words
+    reader = toxicity.Reader(model)
+    assert reader.score("we will squash them") > 0.5 > reader.score("the weather is fine")
 
 
 def test_fm_index_equals_a_scan():
