@@ -6,7 +6,7 @@ was done to it.
 
 from __future__ import annotations
 
-from tallybrook.sources.generator import FIRST_NAMES, LAST_NAMES, MENU
+from tallybrook.sources.generator import FIRST_NAMES, LAST_NAMES, MENU, menu_rows
 from tallybrook.sources.warehouse import FAULT_DRAWS, FAULTS
 
 ASOF = "TIMESTAMP '1998-12-31 00:00:00'"
@@ -159,15 +159,16 @@ def digits(name: str, count: int) -> str:
     return " || ".join(parts)
 
 
-_MENU = ", ".join(
-    f"({i}, 'ITEM-{i + 1:03d}', '{name}', CAST({price} AS DECIMAL(10,2)))"
-    for i, (name, _, price, _) in enumerate(MENU)
-)
 _BUYER = customer_sql("c")
-GENERATED = f"""
-menu(n, item_id, name, price) AS (VALUES {_MENU}),
+
+
+def generated(customers: int = 100, items: int = len(MENU)) -> str:
+    """Generated orders of a pool of customers and the first items of the menu."""
+    menu = ", ".join(f"({i}, '{row[0]}', '{row[1]}', CAST({row[3]} AS DECIMAL(10,2)))" for i, row in enumerate(menu_rows(items)))
+    return f"""
+menu(n, item_id, name, price) AS (VALUES {menu}),
 digits AS (
-  SELECT o_orderkey, {digits("pick", len(MENU))} AS marks, {digits("quantity", 5)} AS amounts,
+  SELECT o_orderkey, {digits("pick", items)} AS marks, {digits("quantity", 5)} AS amounts,
          {draw(5, "'42'", "'count'", "o_orderkey")} + 1 AS k
   FROM orders),
 picks AS (
@@ -184,10 +185,13 @@ sums AS (
 made AS (
   SELECT o_orderkey, o_orderdate,
          'ORD-' || strftime(o_orderdate, '%Y%m%d') || '-' || printf('%05d', o_orderkey) AS order_id,
-         {draw(100, "'42'", "'customer'", "o_orderkey")} + 1 AS c
+         {draw(customers, "'42'", "'customer'", "o_orderkey")} + 1 AS c
   FROM orders)"""
 
 
+GENERATED = generated()
+
+
 def over(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}{body if body.startswith(",") else " " + body}"
 
@@ -548,3 +552,28 @@ ORACLES["late_customers"] = log(
     f"WHEN c_mktsegment IN ('MACHINERY', 'HOUSEHOLD') THEN CASE WHEN \"timestamp\" > {ASOF} THEN 'at once' ELSE 'after waiting' END "
     "ELSE 'waiting' END AS state FROM accepted JOIN customer ON printf('CUST-%05d', c_custkey) = customer_id"
 )
+ORACLES["exported_orders_with_items"] = over(
+    STORED + ITEMS,
+    "SELECT order_id, '{\"order_id\":\"' || order_id || '\",\"customer_id\":\"' || customer_id || "
+    "'\",\"customer_name\":\"' || customer_name || '\",\"customer_email\":\"' || customer_email || '\",\"items\":[' || items || "
+    "'],\"total_amount\":' || CAST(CAST(total_amount AS DOUBLE) AS VARCHAR) || ',\"status\":\"' || status || "
+    "'\",\"created_at\":\"' || strftime(created_at, '%Y-%m-%dT%H:%M:%S') || '\",\"processed_at\":\"' || "
+    "strftime(processed_at, '%Y-%m-%dT%H:%M:%S') || '\"}' AS exported FROM stored JOIN (SELECT l_orderkey, string_agg("
+    "'{\"item_id\":\"' || item_id || '\",\"name\":\"' || name || '\",\"quantity\":' || quantity || ',\"price\":' || price || "
+    "',\"subtotal\":' || subtotal || '}', ',' ORDER BY position) AS items FROM placed GROUP BY 1) ON l_orderkey = o_orderkey",
+)
+ORACLES["unsendable_orders"] = log(
+    "SELECT o_orderkey, CASE WHEN fault <> 'tombstone' THEN order_id END AS order_id, "
+    "CASE WHEN fault <> 'no_customer' THEN customer_id END AS customer_id, "
+    "CASE fault WHEN 'tombstone' THEN 'no_order_id' ELSE 'no_customer_id' END AS reason "
+    "FROM labelled WHERE fault IN ('tombstone', 'no_customer')"
+)
+ORACLES["id_uniqueness"] = " UNION ALL ".join(
+    f"SELECT '{subject}' AS subject, count(*) AS row_count, count(DISTINCT {column}) AS distinct_ids, count(*) = count(DISTINCT {column}) AS all_distinct FROM {name}"
+    for subject, column, name in (("orders", "o_orderkey", "orders"), ("customers", "c_custkey", "customer"), ("items", "p_partkey", "part"))
+)
+ORACLES["generated_orders_of_pools"] = over(
+    generated(17, 27),
+    "SELECT order_id, printf('CUST-%05d', c) AS customer_id, items, total_amount FROM made JOIN sums USING (o_orderkey) "
+    "JOIN (SELECT o_orderkey, string_agg(name || ' x' || quantity, ', ' ORDER BY r) AS items FROM chosen GROUP BY 1) USING (o_orderkey)",
+)

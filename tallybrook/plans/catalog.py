@@ -30,6 +30,7 @@ CUSTOMER = "CUST-00042"
 SPAN = ("1996-01-01", "2001-04-01")
 FIRST_KEPT_MONTH = "199801"
 RUN_MESSAGES = 600
+POOL_CUSTOMERS, POOL_ITEMS = 17, 27
 PATTERN = [{"name": "red widget"}, {"name": "hot ring"}]
 
 
@@ -546,6 +547,35 @@ def exported_orders(spark, sf_dir):
     return rows.select("order_id", ids.export_json(with_items=False).alias("exported"))
 
 
+@query
+def exported_orders_with_items(spark, sf_dir):
+    """P7 with the list of items."""
+    return stored_orders(spark, sf_dir).select("order_id", ids.export_json().alias("exported"))
+
+
+@query
+def unsendable_orders(spark, sf_dir):
+    """V4: orders that the producer holds back, with the reason."""
+    fault = warehouse.fault_label(F.col("o_orderkey"))
+    made = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(fault != "tombstone", ids.order_id(F.col("o_orderdate"), F.col("o_orderkey"))).alias("order_id"),
+        F.when(fault != "no_customer", ids.customer_id(F.col("o_custkey"))).alias("customer_id"),
+    )
+    return topic.unsendable(made).select("o_orderkey", "order_id", "customer_id", "reason")
+
+
+@query
+def id_uniqueness(spark, sf_dir):
+    """Rows against distinct ids of orders, customers and menu items."""
+    parts = {
+        "orders": table(spark, sf_dir, "orders").select(ids.order_id(F.col("o_orderdate"), F.col("o_orderkey")).alias("id")),
+        "customers": table(spark, sf_dir, "customer").select(ids.customer_id(F.col("c_custkey")).alias("id")),
+        "items": table(spark, sf_dir, "part").select(ids.item_id(F.col("p_partkey")).alias("id")),
+    }
+    return reports.id_uniqueness(parts)
+
+
 @query
 def display_texts(spark, sf_dir):
     rows = slim(spark, sf_dir)
@@ -765,6 +795,16 @@ def generated_items(spark, sf_dir):
     return reports.order_items(_generated(spark, sf_dir))
 
 
+@query
+def generated_orders_of_pools(spark, sf_dir):
+    """Other sizes of the customer pool and the menu, which goes on past its fixed items."""
+    rows = table(spark, sf_dir, "orders")
+    numbers = rows.select(F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("created_at"))
+    made = generator.orders(numbers, customer_count=POOL_CUSTOMERS, menu_size=POOL_ITEMS)
+    names = F.array_join(F.transform("items", lambda i: F.concat(i["name"], F.lit(" x"), i["quantity"])), ", ")
+    return made.select("order_id", "customer_id", names.alias("items"), "total_amount")
+
+
 @query
 def customer_draws(spark, sf_dir):
     """How evenly order numbers fall on the pool."""

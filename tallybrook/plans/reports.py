@@ -8,6 +8,7 @@ costs no more than any other.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -71,6 +72,14 @@ def uniqueness(orders: DataFrame, items: DataFrame) -> DataFrame:
     return counts(orders, "orders", "order_id").union(counts(items, "items", "item_id"))
 
 
+def id_uniqueness(parts: dict[str, DataFrame]) -> DataFrame:
+    """Rows against distinct values of ``id``, for each named table; equal where every id is there once."""
+    counts = [
+        rows.agg(F.lit(name).alias("subject"), F.count("*").alias("row_count"), F.count_distinct("id").alias("distinct_ids")) for name, rows in parts.items()
+    ]
+    return reduce(DataFrame.unionByName, counts).withColumn("all_distinct", F.col("row_count") == F.col("distinct_ids"))
+
+
 def item_counts(orders: DataFrame) -> DataFrame:
     return orders.select("order_id", F.size("items").cast("bigint").alias("item_count"))
 
