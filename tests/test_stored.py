@@ -284,3 +284,65 @@ def test_counters_name_every_reason():
     assert load_module.counters({"bad_utf8": 2, "null_violation": 1, "tombstone": 0}, 5, 3) == [
         ("failed", "bad_utf8", 2), ("skipped", "null_violation", 1), ("skipped", "duplicate", 2), ("processed", "", 3),
     ]
+
+
+# --- progress and waiting orders ----------------------------------------------
+
+
+def test_offsets_of_a_broker_stream_are_read_from_its_checkpoint(spark, folder):
+    from tallybrook.streaming import progress
+
+    for name in ("offsets", "commits"):
+        os.makedirs(f"{folder}/c/{name}")
+    for batch in range(3):
+        with open(f"{folder}/c/offsets/{batch}", "w") as f:
+            f.write('v1\n{"batchWatermarkMs":0,"conf":{"x":"y"}}\n{"orders":{"0":%d,"1":7}}' % (10 * batch))
+    assert progress.committed_offsets(spark, f"{folder}/c").count() == 0
+    for batch in range(2):
+        with open(f"{folder}/c/commits/{batch}", "w") as f:
+            f.write('v1\n{"nextBatchWatermarkMs":0}')
+    # the third batch was planned and never committed
+    assert sorted(tuple(r) for r in progress.committed_offsets(spark, f"{folder}/c").collect()) == [("orders", 0, 10), ("orders", 1, 7)]
+
+
+def test_lag_of_an_interrupted_stream(spark, folder):
+    from tallybrook.streaming import progress
+
+    path, calls = f"{folder}/my log", []
+    for i in range(3):
+        envelopes(spark, [order(i), order(i + 10)], i * 10).coalesce(1).write.mode("append").parquet(path)
+
+    def dies(batch, number):
+        calls.append(number)
+        if number == 2:
+            raise RuntimeError("lost")
+
+    def run(work):
+        source = log.file_stream(spark, path, 1)
+        return source.writeStream.foreachBatch(work).option("checkpointLocation", f"{folder}/c").trigger(availableNow=True).start()
+
+    with pytest.raises(Exception, match="lost"):
+        run(dies).awaitTermination()
+    lag = lambda: [tuple(r) for r in progress.file_stream_lag(log.files(spark, path), f"{folder}/c").collect()]
+    assert lag() == [("order-messages", 0, 6, 22, 2)]
+    run(lambda batch, number: None).awaitTermination()
+    assert lag() == [("order-messages", 0, 6, 22, 0)]
+
+
+def test_orders_wait_and_a_batch_that_comes_again_changes_nothing(spark, log_of, folder):
+    from tallybrook.streaming.customers import WaitingOrders
+
+    known = lambda name, *numbers: spark.createDataFrame([(f"CUST-{n:05d}",) for n in numbers], "customer_id string").write.parquet(f"{folder}/customers/{name}")
+    orders = WaitingOrders(spark, f"{folder}/orders", f"{folder}/customers")
+    state = lambda: (sorted((r.order_id[-1], r.waited) for r in orders.kept().collect()), sorted(r.order_id[-1] for r in orders.waiting().collect()))
+    known("a", 1)
+    orders.store(log_of([order(1), order(2), order(3), order(1)]), 0)  # customers 1, 2, 3
+    assert state() == ([("1", False)], ["2", "3"])
+    known("b", 2)
+    for _ in range(2):
+        orders.store(log_of([order(6), order(4)], first_offset=10), 1)  # customers 1 and 4
+        assert state() == ([("1", False), ("2", True), ("6", False)], ["3", "4"])
+    orders.store(log_of([order(8)], first_offset=20), 2)  # customer 3 is still unknown
+    known("c", 3, 4)
+    orders.store(log_of([order(9)], first_offset=30), 3)  # customer 4, known by now
+    assert state() == ([("1", False), ("2", True), ("3", True), ("4", True), ("6", False), ("8", True), ("9", False)], [])
