@@ -13,7 +13,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import PandasUDFType
 
 from tallybrook.session import shared_dir
 
@@ -22,7 +21,7 @@ GROUP_BYTES = 4 << 20
 
 
 #: Bytes of a batch of rows on its way to or from a Python worker, where the session names none.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> SparkSession:
@@ -105,7 +104,7 @@ def likely_among(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
             yield pd.Series(((table_[v >> 3] >> (v & 7).astype(np.uint8)) & 1).astype(bool))
 
     # a null key is in no table
-    return rows.filter(F.col(column).isNotNull()).filter(F.pandas_udf(held, "boolean", PandasUDFType.SCALAR_ITER)(place(F.col(column))))
+    return rows.filter(F.col(column).isNotNull()).filter(F.pandas_udf(held, "boolean")(place(F.col(column))))
 
 
 def shuffle_width(spark: SparkSession) -> int:

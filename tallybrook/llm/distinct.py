@@ -139,6 +139,8 @@ def through_distinct(
             ends = exclusive_sum(lengths[index])[exclusive_sum(unpack(counts, np.uint32))]
             ids += own
             values += combine(numbers, ends)
+        del sizes, bodies, flat
+        give_back()
         return pa.table([pa.array(ids, pa.int64()), pa.array(values, result_type)], schema=schema)
 
     held = staged.filter(staged.bucket == _DOCS).select("block", "ids", "counts", "body")

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import exclusive_sum, groups, likely_among, mixed, shuffle_width, stage
+from tallybrook.llm.common import exclusive_sum, give_back, groups, likely_among, mixed, shuffle_width, stage
 from tallybrook.llm.components import components
 
 WORDS = 4
@@ -300,6 +300,7 @@ def _read_keys(batches: Iterator[pa.RecordBatch], ones: dict[int, int]) -> Itera
             yield out(missing)
     close()
     yield out([])
+    give_back()
 
 
 def _verifier(n: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -320,6 +321,8 @@ def _verifier(n: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             kept = batch.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column("u"), kept.column("v")], names=["u", "v"])
+        last = (None, set())
+        give_back()
 
     return run
 

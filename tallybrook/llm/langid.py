@@ -34,7 +34,9 @@ BITS = 17
 SEQUENCE = 48  # words of a training sequence
 ROUNDS = 12
 #: Distinct words whose scores a worker keeps; beyond it starts anew.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 100_000
+#: Text whose words a worker labels at once.
+GROUP_BYTES = 2 << 20
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -242,7 +244,7 @@ def _predictor(load: Callable[[], Model | None], names: list[str]) -> Callable[[
         model = load()
         known: dict[str, int] = {}
         table = np.zeros((0, len(model.labels) if model else 1), np.float32)
-        for batch, raw in groups(batches):
+        for batch, raw in groups(batches, limit=GROUP_BYTES):
             texts = [t.decode("utf-8", "replace") for t in raw]
             words = [words_of(t) if model else [] for t in texts]
             # a run of number signs like superscripts is a "word" too, but no letter
