@@ -145,6 +145,12 @@ def groups(batches: Iterator[pa.RecordBatch], text: str = "text", limit: int = G
     give_back()
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Shuffle files of finished steps go when the driver collects its garbage, which by itself it does every half hour only."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def give_back() -> None:
     """Free memory of a Python worker to the system, as far as it lets itself be freed."""
     gc.collect()

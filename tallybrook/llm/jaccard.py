@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import exclusive_sum, give_back, groups, likely_among, mixed, shuffle_width, stage
+from tallybrook.llm.common import drop_shuffles, exclusive_sum, give_back, groups, likely_among, mixed, shuffle_width, stage
 from tallybrook.llm.components import components
 
 WORDS = 4
@@ -340,7 +340,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, pe
     used = stage(used)
     full = wanted.join(used.withColumnRenamed("id", "u").withColumnRenamed("text", "left"), "u")
     full = full.join(used.withColumnRenamed("id", "v").withColumnRenamed("text", "right"), "v").select("u", "v", "left", "right")
-    return stage(full.mapInArrow(_verifier(n, percent), "u long, v long"))
+    linked = stage(full.mapInArrow(_verifier(n, percent), "u long, v long"))
+    del full, used, ids, sized
+    drop_shuffles(texts.sparkSession)
+    return linked
 
 
 def _by_rare_shingles(sets: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -421,6 +424,8 @@ def link(docs: DataFrame, n: int = WORDS, percent: int = PERCENT, id_col: str =
     home = F.when(F.col("hub").isNull() & (F.col("key") != 0), F.col("key")).otherwise(F.col("node"))
     sorted_ = keyed.repartition(shuffle_width(spark), home).sortWithinPartitions("key", "node")
     found = stage(sorted_.mapInArrow(_candidates({k: s.ones for k, s in schemes.items() if s}), _FOUND))
+    del keyed, sorted_
+    drop_shuffles(spark)
     # what each set has lost in full and empty segments
     scheme = F.shiftright("meta", 48)
     rest = F.col("meta").bitwiseAND(F.lit((1 << 48) - 1))
