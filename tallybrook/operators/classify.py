@@ -110,8 +110,11 @@ def classify(envelopes: DataFrame, check_quantity: bool = False, whole_items: bo
         .withColumn("reason", reason(check_quantity))
     )
     month = order_month(F.col("order_id")).alias("order_month")
-    whole = [F.to_json(field("items")).alias("items_json")] if whole_items else []
-    return settle(judged.select(*ENVELOPE.names, *MESSAGE_COLUMNS, *whole, month, "missing_fields", "reason"))
+    whole = [field("items").alias("items_json")] if whole_items else []
+    settled = settle(judged.select(*ENVELOPE.names, *MESSAGE_COLUMNS, *whole, "missing_fields", "reason"))
+    # neither needs a parse; within the fused code of the parse they would make a method too long for the JVM to compile
+    later = {"items_json": F.to_json("items_json").alias("items_json")}
+    return settled.select(*[later.get(c, F.col(c)) for c in settled.columns[:-2]], month, "missing_fields", "reason")
 
 
 def parse_lenient(envelopes: DataFrame) -> DataFrame:

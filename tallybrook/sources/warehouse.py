@@ -6,6 +6,8 @@ are damaged on purpose); its lines become the items.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -239,7 +241,7 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.col("body").cast("binary"))
     )
     sent = created + F.make_dt_interval(secs=F.col("copy"))
-    return (
+    messages = (
         rows.withColumn("opening", opening)
         .withColumn("items_text", items)
         .withColumn("amount_text", amount)
@@ -256,3 +258,6 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .select(*ENVELOPE.names)
     )
+    # An observation ends the fused code. With the decoding and judging of a reader in it, its longest method has some 12,700 bytes,
+    # and the JVM compiles none beyond 8000.
+    return messages.observe(f"messages-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))

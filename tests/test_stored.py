@@ -346,3 +346,15 @@ def test_orders_wait_and_a_batch_that_comes_again_changes_nothing(spark, log_of,
     known("c", 3, 4)
     orders.store(log_of([order(9)], first_offset=30), 3)  # customer 4, known by now
     assert state() == ([("1", False), ("2", True), ("3", True), ("4", True), ("6", False), ("8", True), ("9", False)], [])
+
+
+def test_judging_the_derived_log_is_compiled_in_two(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = load_module.for_stage(load_module.classify(catalog.order_messages(spark, SF), whole_items=True))
+        debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+        stages = debug.codegenStringSeq(rows._jdf.queryExecution().executedPlan())
+        # the JVM compiles no method beyond 8000 bytes
+        assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) <= 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
