@@ -201,8 +201,11 @@ def pipeline_counters(spark, sf_dir):
 @query
 def pipeline_replay(spark, sf_dir):
     """The whole log loaded twice; the second run finds only copies."""
-    target = _loaded(spark, sf_dir)
-    load.load_batch(order_messages(spark, sf_dir), target, 1, ASOF)
+    folder = run_folder(spark)
+    # a replay reads the log again, it does not make it again
+    messages, target = log.files(spark, _log_files(spark, sf_dir, folder)), tables.Target(f"{folder}/tables")
+    for batch_id in range(2):
+        load.load_batch(messages, target, batch_id, ASOF)
     counted = tables.read_counters(spark, target)
     return counted.select("batch_id", "outcome", "reason", "messages")
 

@@ -358,3 +358,10 @@ def test_judging_the_derived_log_is_compiled_in_two(spark):
         assert max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) <= 8000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_a_replay_makes_the_log_once(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(catalog, "order_messages", lambda spark, sf_dir, make=catalog.order_messages: made.append(sf_dir) or make(spark, sf_dir))
+    assert {r.batch_id for r in catalog.QUERIES["pipeline_replay"](spark, SF).collect()} == {0, 1}
+    assert len(made) == 1
