@@ -154,16 +154,20 @@ def write_orders(
 ) -> list[Part]:
     """Write rows that carry their ``order_month`` and ``batch_id``; the new folders, which no list names yet.
 
-    bounds: first and last time of creation in a month.
+    bounds: first and last time of creation in a month. Rows without ``items_json`` get the text of their typed items, behind the shuffle
+    and the sort, so that it travels with neither.
 
     Rebalancing gathers each month into few files and still splits a large
     month over many tasks. Rows lie by customer and time of the month in turn (``interleaved``), so bounds of row groups and pages leave out
     most of a month for a customer as well as for a range of time; an order id begins with its day.
     """
     write = uuid.uuid4().hex
-    gathered = orders.select(*ORDERS_STORED.names).hint("rebalance", F.col("order_month"))
+    gathered = orders.select(*[c for c in ORDERS_STORED.names if c in (*orders.columns, *ORDERS.names)]).hint("rebalance", F.col("order_month"))
     key = interleaved(scaled(customer_number(), 0, largest_customer), within_month(F.col("created_at")))
     rows = gathered.withColumn("_near", key).sortWithinPartitions("order_month", "batch_id", "_near", "order_id").drop("_near")
+    if "items_json" not in orders.columns:
+        rows = rows.withColumn("items_json", F.to_json("items"))
+    rows = rows.select(*ORDERS_STORED.names)
     if observed is not None:
         # behind the last shuffle, where no task is counted twice
         rows = rows.observe(observed, F.count(F.lit(1)).alias("rows"))

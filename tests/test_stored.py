@@ -365,3 +365,10 @@ def test_a_replay_makes_the_log_once(spark, monkeypatch):
     monkeypatch.setattr(catalog, "order_messages", lambda spark, sf_dir, make=catalog.order_messages: made.append(sf_dir) or make(spark, sf_dir))
     assert {r.batch_id for r in catalog.QUERIES["pipeline_replay"](spark, SF).collect()} == {0, 1}
     assert len(made) == 1
+
+
+def test_items_text_is_made_where_rows_have_none(spark, target):
+    rows = catalog.stored_orders(spark, SF).limit(20).withColumn("order_month", F.lit("202501")).withColumn("batch_id", F.lit(0).cast("bigint"))
+    tables.switch_parts(spark, target, lambda p: False, tables.write_orders(rows, target))
+    read = tables.read_orders(spark, target)
+    assert read.count() == 20 and read.where(~F.col("items_json").eqNullSafe(F.to_json("items"))).count() == 0
