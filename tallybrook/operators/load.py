@@ -33,6 +33,7 @@ from tallybrook.sinks.tables import (
     order_parts,
     overwrite_partitions,
     read_orders,
+    read_parts,
     stage,
     switch_parts,
     write_orders,
@@ -160,15 +161,17 @@ def load_batch(
 def update_stored(spark: SparkSession, target: Target, updates: DataFrame) -> None:
     """Apply status updates to the stored table.
 
-    Only the folders (month and batch) that hold an updated order are rewritten.
+    Only the folders (month and batch) that hold an updated order are rewritten. The driver learns which those are, as it
+    knows the list of all folders anyway; so their rows are read by path and not joined to be picked.
     """
     folder = ["order_month", "batch_id"]
-    stored = read_orders(spark, target)
-    updated = near(stored, updates).join(updates.select("order_id").distinct(), "order_id", "left_semi")
+    before = order_parts(spark, target)
+    updated = near(read_parts(spark, target, before), updates).join(updates.select("order_id").distinct(), "order_id", "left_semi")
+    touched = {tuple(r) for r in updated.select(*folder).distinct().collect()}
     # all rows of such a folder, also those beyond the range of the updated ids
-    rows = stored.join(updated.select(*folder).distinct(), folder, "left_semi")
+    rows = read_parts(spark, target, [p for p in before if (p.month, p.batch) in touched])
     parts = write_orders(apply_updates(rows, updates), target)
-    old = {(p.month, p.batch): p for p in order_parts(spark, target)}
+    old = {(p.month, p.batch): p for p in before}
     parts = [replace(p, first=old[p.month, p.batch].first, last=old[p.month, p.batch].last) for p in parts]
     places = {(p.month, p.batch) for p in parts}
     switch_parts(spark, target, lambda p: (p.month, p.batch) in places, parts)

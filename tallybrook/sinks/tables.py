@@ -119,7 +119,11 @@ def read_orders(spark: SparkSession, target: Target, start: str | None = None, e
     With ``start`` and ``end`` (texts like 2025-01-10 or 2025-01-10 14:30:00) folders are left out that hold no order created in between;
     which of the rest are wanted is the caller's filter.
     """
-    paths = [p.path(target) for p in order_parts(spark, target) if p.may_hold(start, end)]
+    return read_parts(spark, target, [p for p in order_parts(spark, target) if p.may_hold(start, end)])
+
+
+def read_parts(spark: SparkSession, target: Target, parts: list[Part]) -> DataFrame:
+    paths = [p.path(target) for p in parts]
     if not paths:
         return spark.createDataFrame([], ORDERS_STORED)
     return spark.read.schema(ORDERS_STORED).option("basePath", target.orders).parquet(*paths).select(*ORDERS_STORED.names)

@@ -372,3 +372,11 @@ def test_items_text_is_made_where_rows_have_none(spark, target):
     tables.switch_parts(spark, target, lambda p: False, tables.write_orders(rows, target))
     read = tables.read_orders(spark, target)
     assert read.count() == 20 and read.where(~F.col("items_json").eqNullSafe(F.to_json("items"))).count() == 0
+
+
+def test_updates_pick_folders_without_a_join(spark, target, monkeypatch):
+    load_batch(envelopes(spark, [order(1), order(2)]), target, 0, DONE)
+    plans, write = [], load_module.write_orders
+    monkeypatch.setattr(load_module, "write_orders", lambda rows, *a, **k: plans.append(rows._jdf.queryExecution().analyzed().toString()) or write(rows, *a, **k))
+    update_stored(spark, target, spark.createDataFrame([(order(1)["order_id"], "done", 1)], "order_id string, status string, updated_at int"))
+    assert plans[0].count("Join ") == 1
