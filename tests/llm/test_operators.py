@@ -81,6 +81,19 @@ def test_warc_round_trip(spark):
         assert bytes(r.record) == head + (bytes(r.payload) if size else b"") + b"\r\n\r\n" and size in (0, len(r.payload))
 
 
+def test_warc_reads_the_records_themselves(spark):
+    pages = spark.createDataFrame([(1, "http://a/", "x" * 200), (2, "http://b/", "x" * 200), (3, "http://c/", "short")], "page_id long, url string, html string")
+    archive = warc.write(pages, run_folder(spark))
+    assert warc.read(spark, warc.Archive(archive.folder)).count() == 3  # another session has no table of the buckets
+    # one record says another length than its payload has; digest and payload are as they should be
+    wrong = archive.records(spark).withColumn("headers", F.regexp_replace(F.col("headers").cast("string"), "Content-Length: (200|5)\r", "Content-Length: 4\r").cast("binary"))
+    folder = run_folder(spark)
+    archive.payloads(spark).write.parquet(f"{folder}/payloads")
+    wrong.write.parquet(f"{folder}/records")
+    with pytest.raises(Exception, match="missing or damaged"):
+        warc.read(spark, warc.Archive(folder)).collect()
+
+
 def test_forward_backward_equals_all_paths():
     rng = np.random.default_rng(1)
     lengths, n = np.array([3, 1, 5]), 3
