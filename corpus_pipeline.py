@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.llm import bpe, decontaminate, jaccard, langid, repetition
-from tallybrook.llm.common import run_folder, table
+from tallybrook.llm.common import own_shuffles_dropped, run_folder, table
 
 #: A text whose best language has a smaller share is not in a language that the model knows.
 LEAST_LANGUAGE = 0.3
@@ -71,6 +71,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, folder = table(spark, sf_dir, "documents"), run_folder(spark)
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        kept = stage(spark, docs, sf_dir)
+        with own_shuffles_dropped(spark):
+            kept.write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -6,6 +6,7 @@ import ctypes
 import gc
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -42,10 +43,25 @@ def run_folder(spark: SparkSession) -> str:
     return f"{shared_dir(bounded_batches(spark))}/llm-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def own_shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of what is written within, as soon as it is written."""
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def stage(df: DataFrame, compression: str = "zstd") -> DataFrame:
-    """Write a table into the shared folder and read it back: cuts the lineage, survives lost executors."""
+    """Write a table into the shared folder and read it back: cuts the lineage, survives lost executors, and leaves no shuffle files."""
     path = run_folder(df.sparkSession)
-    df.write.option("compression", compression).parquet(path)
+    with own_shuffles_dropped(df.sparkSession):
+        df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

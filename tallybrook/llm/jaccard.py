@@ -31,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import math
 import operator
+import zlib
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -303,6 +304,12 @@ def _read_keys(batches: Iterator[pa.RecordBatch], ones: dict[int, int]) -> Itera
     give_back()
 
 
+def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A text is shuffled with each of its pairs, so it travels compressed."""
+    for batch, texts in groups(batches):
+        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([zlib.compress(t, 1) for t in texts], pa.binary())], names=["id", "zipped"])
+
+
 def _verifier(n: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Compare the shingles themselves: words become numbers, and shingles rows of numbers."""
 
@@ -313,10 +320,10 @@ def _verifier(n: int, percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iter
         last: tuple[bytes | None, set] = (None, set())
         for batch in batches:
             keep = []
-            for left, right in zip(batch.column("left").cast(pa.binary()).to_pylist(), batch.column("right").cast(pa.binary()).to_pylist()):
+            for left, right in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
                 if last[0] != left:
-                    last = (left, shingles(words_of(left or b"")))
-                x, y = last[1], shingles(words_of(right or b""))
+                    last = (left, shingles(words_of(zlib.decompress(left))))
+                x, y = last[1], shingles(words_of(zlib.decompress(right)))
                 both = len(x & y)
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             kept = batch.filter(pa.array(keep, pa.bool_()))
@@ -336,10 +343,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, pe
     near = near & _may_link([f"x{c}" for c in SKETCH], [f"y{c}" for c in SKETCH], "x", "y", percent)
     wanted = stage(sized.filter(near).select("u", "v"))
     ids = wanted.select(F.col("u").alias("id")).unionAll(wanted.select(F.col("v").alias("id"))).distinct()
-    used = likely_among(texts, "id", ids).join(ids, "id", "left_semi").groupBy("id").agg(F.first("text").alias("text"))
-    used = stage(used)
-    full = wanted.join(used.withColumnRenamed("id", "u").withColumnRenamed("text", "left"), "u")
-    full = full.join(used.withColumnRenamed("id", "v").withColumnRenamed("text", "right"), "v").select("u", "v", "left", "right")
+    zipped = likely_among(texts, "id", ids).select("id", "text").mapInArrow(_zipped, "id long, zipped binary")
+    used = stage(zipped.join(ids, "id", "left_semi").groupBy("id").agg(F.first("zipped").alias("zipped")))
+    full = wanted.join(used.withColumnRenamed("id", "u").withColumnRenamed("zipped", "left"), "u")
+    full = full.join(used.withColumnRenamed("id", "v").withColumnRenamed("zipped", "right"), "v").select("u", "v", "left", "right")
     linked = stage(full.mapInArrow(_verifier(n, percent), "u long, v long"))
     del full, used, ids, sized
     drop_shuffles(texts.sparkSession)
