@@ -5,11 +5,10 @@ from __future__ import annotations
 import ctypes
 import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -93,11 +92,12 @@ def lowest_hashes(known: DataFrame, group: str, hash_col: str, rows: int) -> Dat
 KEY_BITS, MOST_BITS = 16, 1 << 28
 
 
-def likely_among(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+def likely_among(rows: DataFrame, column: str, keys: DataFrame, then: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None, schema: str | None = None) -> DataFrame:
     """Rows whose long ``column`` is in ``keys`` (distinct, one column), and a few more: for a join that would else shuffle all rows.
 
     Every task holds a table of bits, one of which is set for each key. It has ``KEY_BITS`` bits a key and ``MOST_BITS`` at most; with many more keys it
-    lets more rows pass, and at last all. The bits are put together by the tasks; the driver gets the finished table.
+    lets more rows pass, and at last all. The bits are put together by the tasks; the driver gets the finished table. What is to be done ``then`` with these rows,
+    giving rows of ``schema``, the same Python worker does: a second one for each task would stay in the executor's memory.
     """
     spark = rows.sparkSession
     bits = 1 << 15
@@ -113,14 +113,16 @@ def likely_among(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
         whole[part - 1] = np.frombuffer(own, np.uint8)
     shared = spark.sparkContext.broadcast(whole.ravel())
 
-    def held(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_ = shared.value
-        for p in batches:
-            v = p.to_numpy()
-            yield pd.Series(((table_[v >> 3] >> (v & 7).astype(np.uint8)) & 1).astype(bool))
+        for batch in batches:
+            v = batch.column(batch.num_columns - 1).to_numpy()
+            set_ = ((table_[v >> 3] >> (v & 7).astype(np.uint8)) & 1).astype(bool)
+            yield batch.select(range(batch.num_columns - 1)).filter(pa.array(set_))
 
     # a null key is in no table
-    return rows.filter(F.col(column).isNotNull()).filter(F.pandas_udf(held, "boolean")(place(F.col(column))))
+    placed = rows.filter(F.col(column).isNotNull()).select("*", place(F.col(column)).alias("_place"))
+    return placed.mapInArrow(held if then is None else lambda batches: then(held(batches)), rows.schema if then is None else schema)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -31,7 +31,8 @@ from tallybrook.llm.fm_index import FmIndex
 
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 16 << 20
+#: Text of a shard. Its suffix order takes some twenty bytes of memory for each byte, beside all else that an executor holds by then.
+SHARD_BYTES = 4 << 20
 #: Windows in a piece of the benchmark; pieces overlap by a window less one word.
 PIECE = 1000
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

@@ -343,7 +343,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, n: int, pe
     near = near & _may_link([f"x{c}" for c in SKETCH], [f"y{c}" for c in SKETCH], "x", "y", percent)
     wanted = stage(sized.filter(near).select("u", "v"))
     ids = wanted.select(F.col("u").alias("id")).unionAll(wanted.select(F.col("v").alias("id"))).distinct()
-    zipped = likely_among(texts, "id", ids).select("id", "text").mapInArrow(_zipped, "id long, zipped binary")
+    zipped = likely_among(texts.select("id", "text"), "id", ids, _zipped, "id long, zipped binary")
     used = stage(zipped.join(ids, "id", "left_semi").groupBy("id").agg(F.first("zipped").alias("zipped")))
     full = wanted.join(used.withColumnRenamed("id", "u").withColumnRenamed("zipped", "left"), "u")
     full = full.join(used.withColumnRenamed("id", "v").withColumnRenamed("zipped", "right"), "v").select("u", "v", "left", "right")

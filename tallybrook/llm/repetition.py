@@ -28,6 +28,8 @@ from tallybrook.llm.common import carried, exclusive_sum, groups, mixed
 #: largest share of the characters, by window length; the base rule already looks at five words
 LIMITS = {5: 0.25, 8: 0.20, 10: 0.15}
 LINE_LIMIT = 0.30
+#: Text whose words a worker compares at once: some fifty bytes of memory for each byte of it.
+GROUP_BYTES = 2 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _SYMBOLS = b"#*$%&|<>"
@@ -102,7 +104,7 @@ def measure(docs: DataFrame, lengths: list[int], text_col: str = "text", keep: l
     figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "dup_line_chars", *[f"repeat_{k}_{n}" for n in lengths for k in ("words", "chars")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in groups(batches):
+        for batch, texts in groups(batches, limit=GROUP_BYTES):
             split = [t.split() for t in texts]
             ends = exclusive_sum(np.array([len(w) for w in split], np.int64))
             flat = [w for words in split for w in words]
