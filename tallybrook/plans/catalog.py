@@ -638,10 +638,11 @@ def status_updates(spark, sf_dir):
 @query
 def status_asof(spark, sf_dir):
     """E2 for stored orders: the status of each 60 days after it was created, from a history merged in two steps, the later events first."""
-    orders = slim(spark, sf_dir)
+    # made once: orders are read three times, and a merge reads its events for their months and again for their intervals
+    orders = tables.stage(slim(spark, sf_dir).select("order_id", "status", "created_at"), "asof-orders")
     kept = history.History(spark, f"{run_folder(spark)}/history")
     created = orders.select("order_id", "status", F.col("created_at").alias("updated_at"))
-    events = created.unionByName(_updates(spark, sf_dir))
+    events = tables.stage(created.unionByName(_updates(spark, sf_dir)), "asof-events")
     late = F.col("updated_at") >= F.lit(ASOF).cast("timestamp_ntz")
     for part in (events.where(late), events.where(~late)):
         kept.merge(part)
