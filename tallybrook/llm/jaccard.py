@@ -48,6 +48,8 @@ WORDS = 4
 PERCENT = 85
 #: More sets than this on one key are linked through the first of them.
 FULL = 24
+#: Text that a worker turns into shingles at once, and pairs and notes that it holds at once: both become many Python objects.
+TEXT_BYTES, HELD_ROWS = 1 << 20, 100_000
 #: Longs of a parity sketch, 64 bits each.
 SKETCH = [f"s{i}" for i in range(8)]
 _ODD = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
@@ -181,7 +183,7 @@ def keys_of_set(own: np.ndarray, k: int, scheme: Scheme, is_own: bool) -> tuple[
 def _key_rows(n: int, bands: Bands, schemes: dict[int, Scheme | None]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # 16 bytes for each class of this task's input
-        for _, texts in groups(batches):
+        for _, texts in groups(batches, limit=TEXT_BYTES):
             keys, nodes, metas = [], [], []
             for own in shingle_sets(texts, n):
                 digest = _digest(own)
@@ -289,6 +291,8 @@ def _read_keys(batches: Iterator[pa.RecordBatch], ones: dict[int, int]) -> Itera
             if k != at:
                 close()
                 at = k
+                if len(pairs) + len(notes) > HELD_ROWS:
+                    yield out([])
             if single:
                 continue
             if held and held[-1][0] == x:
@@ -357,7 +361,7 @@ def _by_rare_shingles(sets: DataFrame, texts: DataFrame, n: int, percent: int) -
     """(a, b) of ``sets`` (rep, node, top, n_shingles, sketch) in different components that share one of their rarest shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, own in groups(batches):
+        for batch, own in groups(batches, limit=TEXT_BYTES):
             found = shingle_sets(own, n)
             sizes = np.array([len(s) for s in found], np.int64)
             at = np.repeat(np.arange(len(found)), sizes)
@@ -398,7 +402,7 @@ def _classes(narrow: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
     """(id, n_shingles, digest) of each row, and (digest, node, rep, n_shingles, sketch) of each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in groups(batches):
+        for batch, texts in groups(batches, limit=TEXT_BYTES):
             sets = shingle_sets(texts, n)
             digests = [_digest(s) if len(s) else None for s in sets]
             nodes = [int.from_bytes(d[:8], "little", signed=True) if d else None for d in digests]
