@@ -43,12 +43,11 @@ MESSAGE_COLUMNS = [c for c in ORDERS.names if c != "processed_at"]
 
 def missing_fields() -> Column:
     """Names of the required keys an object does not carry, comma separated."""
-    typed = {**{f: F.col(f) for f in TEXT_FIELDS}, "created_at": F.col("created_text")}
+    typed = {**{f: F.col(f) for f in TEXT_FIELDS}, "items": F.col("items"), "total_amount": F.col("amount_kind"), "created_at": F.col("created_text")}
     names = []
     for f in REQUIRED_FIELDS:
         # a typed value proves the key is there; only a null needs another look
-        gone = field(f).isNull()
-        names.append(F.when(typed[f].isNull() & gone if f in typed else gone, F.lit(f)))
+        names.append(F.when(typed[f].isNull() & field(f).isNull(), F.lit(f)))
     return F.when(F.col("is_object"), F.concat_ws(",", *names))
 
 

@@ -1,9 +1,13 @@
-"""Costly steps are done once: the fields of a message in one look-up, the events of a history in one pass over the lines."""
+"""Costly steps are done once: a message's items are not built again to see whether they are there, the events of a history come in one pass over the lines."""
+
+import re
 
 from tallybrook.operators import history
+from tallybrook.operators.classify import missing_fields
+from tallybrook.operators.decode import decode, typed_fields
 from tallybrook.plans import catalog
 
-from conftest import SF
+from conftest import SF, order
 
 
 def test_a_merge_does_not_make_its_events_again(spark, monkeypatch):
@@ -16,3 +20,12 @@ def test_a_merge_does_not_make_its_events_again(spark, monkeypatch):
     monkeypatch.setattr(history.History, "merge", seen)
     assert catalog.QUERIES["status_asof"](spark, SF).count() > 0
     assert len(plans) == 2 and not any("l_shipdate" in p or "lineitem" in p for p in plans)
+
+
+def test_a_missing_key_is_looked_up_only_where_its_typed_value_is_null(spark, log_of):
+    judged = typed_fields(decode(log_of([order(), order(items=None), order(items=...), order(total_amount=None), order(total_amount=...), order(items="x")])))
+    rows = judged.select("offset", missing_fields().alias("missing"))
+    looked_up = rows._jdf.queryExecution().analyzed().toString().split("missing#")[0].split("CASE WHEN is_object", 1)[1]
+    for typed, key in (("items", "items"), ("amount_kind", "total_amount"), ("created_text", "created_at")):
+        assert re.search(rf"isnull\({typed}#\d+\) AND isnull\(try_variant_get\(doc#\d+, \$\[0\]\.{key},", looked_up), looked_up
+    assert [r.missing for r in rows.orderBy("offset").collect()] == ["", "", "items", "", "total_amount", ""]
