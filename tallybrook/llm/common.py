@@ -6,7 +6,6 @@ import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallybrook.session import shared_dir
+from tallybrook.session import CLEANUP as _CLEANUP
+from tallybrook.session import own_shuffles_dropped, shared_dir
 
 #: Input text that is worked on at once in a Python worker; one longer text is a group of its own.
 GROUP_BYTES = 4 << 20
@@ -42,20 +42,6 @@ def run_folder(spark: SparkSession) -> str:
     return f"{shared_dir(bounded_batches(spark))}/llm-{uuid.uuid4().hex}"
 
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-@contextmanager
-def own_shuffles_dropped(spark: SparkSession) -> Iterator[None]:
-    """Spark deletes the shuffle files of what is written within, as soon as it is written."""
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(_CLEANUP, before)
-
-
 def stage(df: DataFrame, compression: str = "zstd") -> DataFrame:
     """Write a table into the shared folder and read it back: cuts the lineage, survives lost executors, and leaves no shuffle files."""
     path = run_folder(df.sparkSession)

@@ -8,6 +8,8 @@ copies of an id together.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,19 @@ def first_copies(df: DataFrame, key: str = "order_id") -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(by_key)).where("_rank = 1").drop("_rank")
 
 
+def only_rows(staged: DataFrame, rows: int, wanted: DataFrame, stage: Callable[..., DataFrame]) -> DataFrame:
+    """Those of the ``rows`` rows of a staged table whose ``_row`` is in ``wanted``, a staged table as well, which holds no others.
+
+    Wide rows are not shuffled for their copies: those to leave out are looked up, by number alone. Usually they are few, and Spark sends
+    them to every task; it joins by a shuffle if they are many.
+    """
+    if wanted.count() == rows:
+        return staged
+    # uncompressed, so that its size on disk tells Spark what it takes in memory
+    others = stage(staged.select("_row").join(wanted, "_row", "left_anti"), compression="uncompressed")
+    return staged.join(others, "_row", "left_anti")
+
+
 def mark_copies(
     df: DataFrame, key: str = "order_id", candidate: Column | None = None, salts: int | None = None
 ) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tallybrook.functions.ids import order_month
 from tallybrook.operators.classify import REASONS, SKIPPED_REASONS, classify, outcome_of
-from tallybrook.operators.dedup import first_copies, not_stored
+from tallybrook.operators.dedup import POSITION, first_copies, not_stored, only_rows
 from tallybrook.schemas import ORDERS, OTHER_MONTH
 from tallybrook.sinks.tables import (
     COUNTERS,
@@ -34,7 +34,7 @@ from tallybrook.sinks.tables import (
     overwrite_partitions,
     read_orders,
     read_parts,
-    stage,
+    scratch,
     switch_parts,
     write_orders,
 )
@@ -134,27 +134,34 @@ def load_batch(
 
     # figures are taken while the tables are written, so nothing is read again to be counted
     judged, written = Observation(), Observation()
-    staged = stage(for_stage(classify(envelopes, check_quantity, whole_items=True)), name, observed=(judged, reason_figures()))
-    fit, rejected = staged.where("reason is null"), staged.where("reason is not null")
-    figures = dict(judged.get)
-
-    # copies from earlier batches are looked for in the months of their ids, so
-    # a late copy is found however late it is
-    ends = month_ends(fit)
-    stored = read_orders(spark, target).where(F.col("batch_id") != batch_id)
-    known = near(stored, fit, ends).select("order_id")
-    now = F.current_timestamp() if processed_at is None else F.lit(processed_at)
-    fresh = not_stored(first_copies(fit), known).withColumn("processed_at", now.cast("timestamp_ntz"))
-    largest = max((r.customer for r in ends if r.customer is not None), default=0.0)
-    parts = write_orders(fresh.select(*ORDERS.names, "items_json", "order_month", number), target, largest, written, created_bounds(ends)) if ends else []
-
     outcome = outcome_of(F.col("reason")).alias("outcome")
-    bad = rejected.select(*[outcome if c == "outcome" else number if c == "batch_id" else c for c in QUARANTINE.names])
-    overwrite_partitions(bad, target.quarantine, "batch_id")
+    with scratch(spark, name) as stage:
+        rows = for_stage(classify(envelopes, check_quantity, whole_items=True)).observe(judged, *reason_figures())
+        staged = stage(rows.withColumn("_row", F.monotonically_increasing_id()))
+        fit, rejected = staged.where("reason is null"), staged.where("reason is not null")
+        figures = dict(judged.get)
+        fit_rows = figures.pop("fit")
+
+        # copies from earlier batches are looked for in the months of their ids, so
+        # a late copy is found however late it is
+        ends = month_ends(fit)
+        stored = read_orders(spark, target).where(F.col("batch_id") != batch_id)
+        known = near(stored, fit, ends).select("order_id")
+        fresh = stage(not_stored(first_copies(fit.select("order_id", *POSITION, "_row")), known).select("_row"))
+        parts, stored_rows = [], 0
+        if not fresh.isEmpty():
+            now = F.current_timestamp() if processed_at is None else F.lit(processed_at)
+            kept = only_rows(fit, fit_rows, fresh, stage).withColumn("processed_at", now.cast("timestamp_ntz"))
+            largest = max((r.customer for r in ends if r.customer is not None), default=0.0)
+            orders = kept.select(*ORDERS.names, "items_json", "order_month", number)
+            parts = write_orders(orders, target, largest, written, created_bounds(ends))
+            stored_rows = written.get["rows"]
+
+        bad = rejected.select(*[outcome if c == "outcome" else number if c == "batch_id" else c for c in QUARANTINE.names])
+        overwrite_partitions(bad, target.quarantine, "batch_id")
     switch_parts(spark, target, lambda p: p.batch == batch_id, parts)
 
-    fit_rows = figures.pop("fit")
-    counted = [(*row, batch_id) for row in counters(figures, fit_rows, written.get["rows"] if ends else 0)]
+    counted = [(*row, batch_id) for row in counters(figures, fit_rows, stored_rows)]
     overwrite_partitions(spark.createDataFrame(counted, COUNTERS).coalesce(1), target.counters, "batch_id")
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +30,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def own_shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Spark deletes the shuffle files of what is written within, as soon as it is written."""
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def local_session(app: str, cores: int | str = 8, memory: str = "8g") -> SparkSession:
     """One-machine session for tests and bench.py; a cluster brings its own."""
     spark = (

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 
 from tallybrook.functions.clustering import interleaved, scaled, within_month
 from tallybrook.schemas import ENVELOPE, ORDERS, ORDERS_STORED
-from tallybrook.session import shared_dir
+from tallybrook.session import own_shuffles_dropped, shared_dir
 from tallybrook.sinks.listing import Listing, delete_folder, folders
 
 QUARANTINE = T.StructType(
@@ -137,13 +138,18 @@ def read_counters(spark: SparkSession, target: Target) -> DataFrame:
     return spark.read.schema(COUNTERS).parquet(target.counters)
 
 
+# Tables take less of the disk that way than by Spark's usual codec.
+SMALL = {"compression": "zstd"}
+
+
 def overwrite_partitions(df: DataFrame, path: str, *parts: str, **options: str) -> None:
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.options(**options).partitionBy(*parts).parquet(path)
+    with own_shuffles_dropped(df.sparkSession):
+        writer.options(**{**SMALL, **options}).partitionBy(*parts).parquet(path)
 
 
 # Row groups of moderate size, so that their bounds leave out more.
-ORDER_OPTIONS = {"parquet.block.size": str(16 << 20)}
+ORDER_OPTIONS = {**SMALL, "parquet.block.size": str(16 << 20)}
 # Bloom filters are made where files are made for good.
 BLOOM = {"parquet.bloom.filter.enabled#order_id": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 
@@ -176,26 +182,37 @@ def write_orders(
         # behind the last shuffle, where no task is counted twice
         rows = rows.observe(observed, F.count(F.lit(1)).alias("rows"))
     path = f"{target.orders}/write={write}"
-    rows.write.options(**{**ORDER_OPTIONS, **options}).partitionBy("order_month", "batch_id").parquet(path)
+    with own_shuffles_dropped(orders.sparkSession):
+        rows.write.options(**{**ORDER_OPTIONS, **options}).partitionBy("order_month", "batch_id").parquet(path)
     made = folders(orders.sparkSession, f"{path}/order_month=*/batch_id=*")
     named = [[x.split("=", 1)[1] for x in f.rsplit("/", 2)[1:]] for f in made]
     return [Part(write, month, int(batch), *(bounds or {}).get(month, ())) for month, batch in named]
 
 
-def stage(df: DataFrame, name: str, *parts: str, observed: tuple | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, *parts: str, compression: str = "zstd") -> DataFrame:
     """Write a table into the shared folder and read it back.
 
     Later steps start from the files, so a lost executor does not set the work
-    back to the log. Every run has a folder of its own below the name, so rows of
-    an earlier run cannot come back. ``observed``: an observation and the figures that it takes of the rows as they are written.
+    back to the log, and the shuffle files behind it go at once. Every run has a folder of its own below the name, so rows of
+    an earlier run cannot come back.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stages/{name}/{uuid.uuid4().hex}"
-    rows = df if observed is None else df.observe(observed[0], *observed[1])
-    rows.write.partitionBy(*parts).parquet(path)
+    with own_shuffles_dropped(spark):
+        df.write.option("compression", compression).partitionBy(*parts).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[Callable[..., DataFrame]]:
+    """``stage`` for tables that nobody reads after the block: their files go with it."""
+    folder = f"{name}/{uuid.uuid4().hex}"
+    try:
+        yield lambda df, **how: stage(df, folder, **how)
+    finally:
+        delete_folder(spark, f"{shared_dir(spark)}/stages/{folder}")
+
+
 def evolve(old: DataFrame, schema: T.StructType = ORDERS) -> DataFrame:
     """Rows of an older form of the table in today's columns, new ones null."""
     return old.select(
