@@ -14,7 +14,7 @@ from tallybrook.operators import bounded, classify, dedup, history, load, outcom
 from tallybrook.operators.decode import extract_order_id
 from tallybrook.plans import checks, eventlog, logs, reports
 from tallybrook.schemas import ENVELOPE, ORDERS
-from tallybrook.session import configure, shared_dir
+from tallybrook.session import configure, own_shuffles_dropped, shared_dir
 from tallybrook.sinks import tables, topic
 from tallybrook.sources import generator, log, warehouse
 from tallybrook.sources.warehouse import order_lines, order_messages, stored_orders, table
@@ -222,10 +222,16 @@ def _stream_files(spark) -> int:
 
 def _log_files(spark, sf_dir, folder: str) -> str:
     path = f"{folder}/log"
-    order_messages(spark, sf_dir).repartition(_stream_files(spark), "partition", "offset").write.parquet(path)
+    _write_log(order_messages(spark, sf_dir), path)
     return path
 
 
+def _write_log(messages: DataFrame, path: str, *parts: str) -> None:
+    spread = messages.repartition(_stream_files(messages.sparkSession), "partition", "offset")
+    with own_shuffles_dropped(messages.sparkSession):
+        spread.write.options(**tables.SMALL).partitionBy(*parts).parquet(path)
+
+
 @query
 def pipeline_stream(spark, sf_dir):
     """The loader as a stream of several micro-batches, its table read back."""
