@@ -32,6 +32,7 @@ from tallybrook.sinks.tables import (
     customer_number,
     order_parts,
     overwrite_partitions,
+    packed,
     read_orders,
     read_parts,
     scratch,
@@ -173,11 +174,15 @@ def update_stored(spark: SparkSession, target: Target, updates: DataFrame) -> No
     """
     folder = ["order_month", "batch_id"]
     before = order_parts(spark, target)
-    updated = near(read_parts(spark, target, before), updates).join(updates.select("order_id").distinct(), "order_id", "left_semi")
-    touched = {tuple(r) for r in updated.select(*folder).distinct().collect()}
-    # all rows of such a folder, also those beyond the range of the updated ids
-    rows = read_parts(spark, target, [p for p in before if (p.month, p.batch) in touched])
-    parts = write_orders(apply_updates(rows, updates), target)
+    with scratch(spark, hashlib.md5(target.root.encode()).hexdigest()) as stage:
+        # read several times: only the last update of each order, made once
+        newest = F.max_by(F.struct("status", "updated_at"), F.struct("updated_at", "status")).alias("newest")
+        last = stage(updates.groupBy("order_id").agg(newest).select("order_id", "newest.*"))
+        updated = near(read_parts(spark, target, before), last).join(last.select("order_id").distinct(), "order_id", "left_semi")
+        touched = {tuple(r) for r in updated.select(*folder).distinct().collect()}
+        # all rows of such a folder, also those beyond the range of the updated ids
+        rows = read_parts(spark, target, [p for p in before if (p.month, p.batch) in touched])
+        parts = write_orders(apply_updates(packed(rows), last), target)
     old = {(p.month, p.batch): p for p in before}
     parts = [replace(p, first=old[p.month, p.batch].first, last=old[p.month, p.batch].last) for p in parts]
     places = {(p.month, p.batch) for p in parts}

@@ -54,10 +54,11 @@ def written_table(spark: SparkSession, sf_dir: str) -> tables.Target:
     """The stored orders, written as a loader writes them."""
     target = tables.Target(run_folder(spark))
     rows = stored_orders(spark, sf_dir).withColumn("order_month", ids.order_month(F.col("order_id"))).withColumn("batch_id", F.lit(0).cast("bigint"))
-    rows = tables.stage(rows, "written")
-    ends = load.month_ends(rows)
-    largest, bounds = max((r.customer for r in ends), default=0.0), load.created_bounds(ends)
-    tables.switch_parts(spark, target, lambda part: False, tables.write_orders(rows, target, largest, bounds=bounds))
+    with tables.scratch(spark, "written") as stage:
+        rows = stage(rows)
+        ends = load.month_ends(rows)
+        largest, bounds = max((r.customer for r in ends), default=0.0), load.created_bounds(ends)
+        tables.switch_parts(spark, target, lambda part: False, tables.write_orders(rows, target, largest, bounds=bounds))
     return target
 
 

@@ -159,23 +159,36 @@ def customer_number(customer: str = "customer_id"):
     return F.regexp_extract(customer, r"(\d{1,15})$", 1).try_cast("double")
 
 
+def packed(rows: DataFrame) -> DataFrame:
+    """Rows that leave ``items_json`` out where it is the text of the typed items (``_text`` is true there), so that it need not travel with them."""
+    same = F.col("items_json").eqNullSafe(F.to_json("items")) & F.col("items").isNotNull()
+    return rows.withColumn("_text", same).withColumn("items_json", F.when(~F.col("_text"), F.col("items_json")))
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("items_json", F.when(F.col("_text"), F.to_json("items")).otherwise(F.col("items_json"))).drop("_text")
+
+
 def write_orders(
     orders: DataFrame, target: Target, largest_customer: float = 1e5, observed=None, bounds: dict[str, tuple] | None = None, **options: str
 ) -> list[Part]:
     """Write rows that carry their ``order_month`` and ``batch_id``; the new folders, which no list names yet.
 
     bounds: first and last time of creation in a month. Rows without ``items_json`` get the text of their typed items, behind the shuffle
-    and the sort, so that it travels with neither.
+    and the sort, so that it travels with neither; nor does a text that ``packed`` rows leave out.
 
     Rebalancing gathers each month into few files and still splits a large
     month over many tasks. Rows lie by customer and time of the month in turn (``interleaved``), so bounds of row groups and pages leave out
     most of a month for a customer as well as for a range of time; an order id begins with its day.
     """
     write = uuid.uuid4().hex
-    gathered = orders.select(*[c for c in ORDERS_STORED.names if c in (*orders.columns, *ORDERS.names)]).hint("rebalance", F.col("order_month"))
+    carried = [c for c in (*ORDERS_STORED.names, "_text") if c in (*orders.columns, *ORDERS.names)]
+    gathered = orders.select(*carried).hint("rebalance", F.col("order_month"))
     key = interleaved(scaled(customer_number(), 0, largest_customer), within_month(F.col("created_at")))
     rows = gathered.withColumn("_near", key).sortWithinPartitions("order_month", "batch_id", "_near", "order_id").drop("_near")
-    if "items_json" not in orders.columns:
+    if "_text" in carried:
+        rows = unpacked(rows)
+    elif "items_json" not in carried:
         rows = rows.withColumn("items_json", F.to_json("items"))
     rows = rows.select(*ORDERS_STORED.names)
     if observed is not None:

@@ -4,13 +4,16 @@ import glob
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
-from conftest import envelopes, order
+from conftest import SF, envelopes, order
+from tallybrook.functions.ids import order_month
 from tallybrook.operators import load as load_module
 from tallybrook.operators.dedup import only_rows
-from tallybrook.operators.load import load_batch
+from tallybrook.operators.load import load_batch, update_stored
 from tallybrook.session import shared_dir
 from tallybrook.sinks import tables
+from tallybrook.sources.warehouse import stored_orders
 
 DONE = "2025-01-10 15:00:00"
 
@@ -67,3 +70,17 @@ def test_only_wanted_rows_are_left(spark, wanted):
     asked = spark.createDataFrame([(n,) for n in wanted], "_row bigint")
     with tables.scratch(spark, "only") as stage:
         assert sorted(r[0] for r in only_rows(stage(rows), 4, stage(asked), stage).collect()) == wanted
+
+
+def test_an_update_does_not_move_texts_it_can_make_again(spark, target, monkeypatch):
+    typed = stored_orders(spark, SF).limit(2).withColumn("order_month", order_month(F.col("order_id"))).withColumn("batch_id", F.lit(0).cast("bigint"))
+    tables.switch_parts(spark, target, lambda p: False, tables.write_orders(typed, target))
+    further = [{**order()["items"][0], "note": "by hand"}]
+    load_batch(envelopes(spark, [order(1), order(2, items=further)]), target, 1, DONE)
+    before = {r.order_id: r.items_json for r in tables.read_orders(spark, target).collect()}
+    moved, write = [], load_module.write_orders
+    monkeypatch.setattr(load_module, "write_orders", lambda rows, *a, **k: moved.extend(rows.select("batch_id", "items_json").collect()) or write(rows, *a, **k))
+    update_stored(spark, target, spark.createDataFrame([(i, "done", 1) for i in before], "order_id string, status string, updated_at int"))
+    assert sorted((r.batch_id, r.items_json is None) for r in moved) == [(0, True), (0, True), (1, False), (1, False)]
+    after = tables.read_orders(spark, target).collect()
+    assert {r.order_id: r.items_json for r in after} == before and {r.status for r in after} == {"done"}
