@@ -291,10 +291,13 @@ def late_customers(spark, sf_dir):
     folder = run_folder(spark)
     who = table(spark, sf_dir, "customer").select(ids.customer_id(F.col("c_custkey")).alias("customer_id"), "c_mktsegment")
     orders = customers.WaitingOrders(spark, f"{folder}/orders", f"{folder}/customers")
-    for name, segments, part in zip(("first", "second"), (KNOWN_SEGMENTS, LATE_SEGMENTS), _halves(spark, sf_dir)):
+    # made once, and then a folder for each half, which comes to the log when its turn has come
+    half = F.when(F.col("timestamp") <= F.lit(ASOF).cast("timestamp"), "first").when(F.col("timestamp").isNotNull(), "second")
+    _write_log(order_messages(spark, sf_dir).withColumn("half", half).where("half is not null"), f"{folder}/made", "half")
+    for name, segments in zip(("first", "second"), (KNOWN_SEGMENTS, LATE_SEGMENTS)):
         who.where(F.col("c_mktsegment").isin(segments)).select("customer_id").write.parquet(f"{folder}/customers/{name}")
-        part.repartition(_stream_files(spark), "partition", "offset").write.mode("append").parquet(f"{folder}/log")
-        source = log.file_stream(spark, f"{folder}/log", max_files=_stream_files(spark))
+        log.arrive(spark, f"{folder}/made/half={name}", f"{folder}/log/{name}")
+        source = log.file_stream(spark, f"{folder}/log/*", max_files=_stream_files(spark))
         customers.start_waiting(source, orders, f"{folder}/checkpoint").awaitTermination()
     kept = orders.kept().select("order_id", "customer_id", F.when(F.col("waited"), "after waiting").otherwise("at once").alias("state"))
     return kept.unionByName(orders.waiting().select("order_id", "customer_id", F.lit("waiting").alias("state")))

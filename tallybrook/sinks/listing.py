@@ -29,6 +29,18 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def move_folder(spark: SparkSession, path: str, to: str) -> bool:
+    """Give a folder another place; false if there is none."""
+    files, where = _place(spark, path)
+    if not files.exists(where):
+        return False
+    _, new = _place(spark, to)
+    files.mkdirs(new.getParent())
+    if not files.rename(where, new):
+        raise OSError(f"{path} could not be moved to {to}")
+    return True
+
+
 def folders(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob pattern, without their file system's name."""
     files, where = _place(spark, pattern)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybrook.schemas import ENVELOPE
+from tallybrook.sinks.listing import move_folder
 
 
 def kafka_options(
@@ -61,6 +62,12 @@ def files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENVELOPE).parquet(path)
 
 
+def arrive(spark: SparkSession, made: str, path: str) -> None:
+    """Put a folder of envelopes where a stream reads; an empty one where none was made."""
+    if not move_folder(spark, made, path):
+        spark.createDataFrame([], ENVELOPE).write.parquet(path)
+
+
 def file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Envelope rows as files arrive; ``max_files`` bounds a micro-batch."""
     reader = spark.readStream.schema(ENVELOPE)

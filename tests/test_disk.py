@@ -13,7 +13,9 @@ from tallybrook.operators.dedup import only_rows
 from tallybrook.operators.load import load_batch, update_stored
 from tallybrook.session import shared_dir
 from tallybrook.sinks import tables
+from tallybrook.sources import log
 from tallybrook.sources.warehouse import stored_orders
+from tallybrook.streaming import customers
 
 DONE = "2025-01-10 15:00:00"
 
@@ -84,3 +86,21 @@ def test_an_update_does_not_move_texts_it_can_make_again(spark, target, monkeypa
     assert sorted((r.batch_id, r.items_json is None) for r in moved) == [(0, True), (0, True), (1, False), (1, False)]
     after = tables.read_orders(spark, target).collect()
     assert {r.order_id: r.items_json for r in after} == before and {r.status for r in after} == {"done"}
+
+
+def test_waiting_orders_are_judged_and_joined_once(spark, tmp_path, monkeypatch):
+    plans, write = [], customers.overwrite_partitions
+    monkeypatch.setattr(customers, "overwrite_partitions", lambda rows, *a: plans.append(plan_of(rows)) or write(rows, *a))
+    spark.createDataFrame([("CUST-00001",)], "customer_id string").write.parquet(f"{tmp_path}/customers/a")
+    orders = customers.WaitingOrders(spark, f"{tmp_path}/orders", f"{tmp_path}/customers")
+    orders.store(envelopes(spark, [order(1), order(1), order(2)]), 0)
+    assert not any(word in plans[0] for word in ("parse_json", "parseJson", "Join", "Window"))
+    assert [r.customer_id for r in orders.kept().collect()] == ["CUST-00001"]
+    assert [r.customer_id for r in orders.waiting().collect()] == ["CUST-00002"]
+
+
+def test_a_folder_arrives_or_an_empty_one(spark, tmp_path):
+    envelopes(spark, [order(1)]).write.parquet(f"{tmp_path}/made/half=first")
+    for half, rows in (("first", 1), ("second", 0)):
+        log.arrive(spark, f"{tmp_path}/made/half={half}", f"{tmp_path}/log/{half}")
+        assert log.files(spark, f"{tmp_path}/log/{half}").count() == rows
